@@ -2,33 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.functions.numeric import exact
-
-
-def _dec(text: str) -> Column:
-    return F.lit(text).cast("decimal(10,2)")
+from skylattice.functions.numeric import MILLION, millionths, ratio
 
 
-# Conversion formulas, in exact decimal arithmetic.
-CONVERSIONS: dict[tuple[str, str], Callable[[Column], Column]] = {
-    ("K", "C"): lambda x: x - _dec("273.15"),
-    ("K", "F"): lambda x: (x - _dec("273.15")) * _dec("1.80") + _dec("32"),
-    ("m/s", "km/h"): lambda x: x * _dec("3.60"),
+# target = (source * numerator + addend) / denominator, addend in source units.
+CONVERSIONS = {
+    ("K", "C"): (1, -273.15, 1),
+    ("K", "F"): (9, -2298.35, 5),
+    ("m/s", "km/h"): (18, 0, 5),
 }
 
 
 def convert_unit(x: Column, source: str, target: str) -> Column:
-    """Convert a double column; decimal arithmetic keeps the result free of binary noise."""
+    """Convert a double column; whole millionths keep the result free of binary noise."""
     try:
-        formula = CONVERSIONS[source, target]
+        numerator, addend, denominator = CONVERSIONS[source, target]
     except KeyError:
         raise ValueError(f"no conversion from {source!r} to {target!r}") from None
-    return formula(exact(x)).cast("double")
+    scaled = millionths(x) * numerator + round(addend * MILLION)
+    return ratio(scaled, F.lit(denominator))
 
 
 def convert(df: DataFrame, col: str, source: str, target: str, name: str | None = None) -> DataFrame:

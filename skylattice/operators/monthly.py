@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.functions.numeric import exact, mean
+from skylattice.functions.numeric import difference, mean
 from skylattice.functions.periods import month_period, week_period
 from skylattice.operators.filters import in_dates
 from skylattice.schemas import TABLES, to_table
@@ -32,10 +32,6 @@ def _week_keys() -> dict[str, Column]:
     }
 
 
-def _variation(highest: Column, lowest: Column) -> Column:
-    return (exact(highest) - exact(lowest)).cast("double")
-
-
 def _summary(daily_wide: DataFrame, keys: dict[str, Column], bounds: tuple, table: str) -> DataFrame:
     kept = daily_wide.filter(in_dates("Date", *bounds)).withColumns(keys)
     complete = F.lit(True)
@@ -44,7 +40,7 @@ def _summary(daily_wide: DataFrame, keys: dict[str, Column], bounds: tuple, tabl
     grouped = kept.groupBy("IdCity", *keys).agg(
         *(mean(F.col(source)).alias(name) for source, name in AVERAGES.items()),
         *(F.count(source).alias(f"_n_{source}") for source in AVERAGES),
-        _variation(F.max("TempMax"), F.min("TempMin")).alias("TempVariation"),
+        difference(F.max("TempMax"), F.min("TempMin")).alias("TempVariation"),
     )
     return to_table(grouped.filter(complete), TABLES[table])
 
@@ -78,7 +74,7 @@ def join_monthly(temp: DataFrame, humidity: DataFrame, rain: DataFrame, wind: Da
     """
     keys = ["IdCity", "Year", "Month"]
     joined = temp.join(humidity, keys).join(rain, keys).join(wind, keys)
-    return joined.withColumn("TempVariation", _variation(F.col("MaxTemp"), F.col("MinTemp")))
+    return joined.withColumn("TempVariation", difference(F.col("MaxTemp"), F.col("MinTemp")))
 
 
 def monthly_join(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skylattice.functions.numeric import exact, finite
+from skylattice.functions.numeric import finite, millionths, ratio
 from skylattice.functions.time import epoch_hour
 
 
@@ -22,12 +22,12 @@ def rolling(daily_wide: DataFrame, cols: list[str], days: int) -> DataFrame:
         .orderBy(F.unix_date("Date"))
         .rangeBetween(-(days - 1), Window.currentRow)
     )
-    sums = {f"_s_{c}": F.sum(exact(F.col(c))).over(frame) for c in cols}
-    counts = {f"_n_{c}": F.count(exact(F.col(c))).over(frame) for c in cols}
+    sums = {f"_s_{c}": F.sum(millionths(F.col(c))).over(frame) for c in cols}
+    counts = {f"_n_{c}": F.count(millionths(F.col(c))).over(frame) for c in cols}
     return daily_wide.withColumns(sums | counts).select(
         "IdCity",
         "Date",
-        *(F.try_divide(F.col(f"_s_{c}").cast("double"), F.col(f"_n_{c}")).alias(f"{c}Roll") for c in cols),
+        *(ratio(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias(f"{c}Roll") for c in cols),
     )
 
 

@@ -24,7 +24,7 @@ def _dec(x: str) -> str:
 
 
 def _mean(x: str) -> str:
-    return f"cast(sum({_dec(x)}) as double) / count({x})"
+    return f"cast(cast(sum({_dec(x)}) * 1000000 as hugeint) as double) / (count({x}) * 1e6)"
 
 
 def _avg2(x: str) -> str:
@@ -166,7 +166,9 @@ _DAY_COLUMNS = {
     for f, (_, prefix, extra) in DAY_FAMILIES.items()
 }
 _ROLL = ", ".join(
-    f"cast(sum({_dec(c)}) over w as double) / count({c}) over w as {c}Roll" for c in ROLLING
+    f"cast(cast(sum({_dec(c)}) over w * 1000000 as hugeint) as double)"
+    f" / (count({c}) over w * 1e6) as {c}Roll"
+    for c in ROLLING
 )
 
 _MOMENTS = """
