@@ -72,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "land":
         land_raw(spark, args.incoming, args.raw)
     elif args.job == "load-dims":
-        jobs.load_dims_job(seed_cities(spark, args.seed, args.seed_format), store)
+        jobs.load_dims(seed_cities(spark, args.seed, args.seed_format), store)
     elif args.job == "health":
         written = {n: store.path(n) for n in TABLES if not store.read(n).isEmpty()}
         append_health(table_stats(spark, written), args.as_of, f"{args.root}/health")

@@ -77,8 +77,3 @@ def new_cities(seed: DataFrame, country: DataFrame, city: DataFrame) -> DataFram
     )
     return to_table(assign_keys(absent, city, "IdCity", "seq"), TABLES["city"])
 
-
-def load_dims(seed: DataFrame, country: DataFrame, city: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both dimensions after the load: existing rows unchanged, absent ones added."""
-    countries = country.unionByName(new_countries(seed, country))
-    return countries, city.unionByName(new_cities(seed, countries, city))

@@ -24,7 +24,7 @@ from skylattice.operators.gaps import fill_gaps, gap_report
 from skylattice.operators.hourly import hourly, to_city
 from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
 from skylattice.operators.rolling import anomalies, rolling
-from skylattice.plans.jobs import load_dims_job
+from skylattice.plans.jobs import load_countries, load_dims
 from skylattice.schemas import TABLES, to_table
 from skylattice.sources import star
 from skylattice.sources.raw import land_raw, read_raw
@@ -146,13 +146,17 @@ def month_summary_join(spark: SparkSession, sf: str) -> DataFrame:
     return monthly_join(*sides)
 
 
-def _dims(spark: SparkSession, sf: str) -> FileStore:
+def _loaded(load: Callable[[DataFrame, FileStore], None], name: str) -> Query:
     """Two loads: the seed entries of finished orders first, then the whole list."""
-    store = FileStore(spark, new_dir(spark, "dims"))
-    seed = star.seeds(spark, sf)
-    load_dims_job(seed.filter("o_orderstatus = 'F'"), store)
-    load_dims_job(seed, store)
-    return store
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        store = FileStore(spark, new_dir(spark, "dims"))
+        seed = star.seeds(spark, sf)
+        load(seed.filter("o_orderstatus = 'F'"), store)
+        load(seed, store)
+        return store.read(name)
+
+    return run
 
 
 def insert_absent(spark: SparkSession, sf: str) -> DataFrame:
@@ -263,8 +267,8 @@ QUERIES: dict[str, Query] = {
     "weekly": lambda spark, sf: weekly(daily_wide(spark, sf)),
     "weekly_years": lambda spark, sf: weekly(daily(orders_as_hours(spark, sf))),
     "week_dim": lambda spark, sf: week_dim(orders_as_hours(spark, sf)),
-    "load_country": lambda spark, sf: _dims(spark, sf).read("country"),
-    "load_city": lambda spark, sf: _dims(spark, sf).read("city"),
+    "load_country": _loaded(load_countries, "country"),
+    "load_city": _loaded(load_dims, "city"),
     "insert_if_absent": insert_absent,
     "replace_period": replace_period,
     "unmatched_cells": lambda spark, sf: quality.unmatched_cells(

@@ -68,7 +68,7 @@ def _daily(store: Store, span: Period, on_conflict: str) -> None:
     start, end = span.dates
     with staged(daily(store.read("weather_hour"), start=start, end=end)) as wide:
         for family, (name, _, _) in DAY_FAMILIES.items():
-            write_table(store, day_table(wide, family), name, on_conflict, _within(span))
+            write_table(store, day_table(wide, family), name, on_conflict, _within(span), stored=True)
 
 
 def condition_job(
@@ -105,9 +105,14 @@ def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]
     return monthly(wide), weekly(wide)
 
 
-def load_dims_job(seed: DataFrame, store: Store) -> None:
-    """Add the countries and cities of ``seed`` that the store lacks."""
+def load_countries(seed: DataFrame, store: Store) -> None:
+    """Add the countries of ``seed`` that the store lacks."""
     write_table(store, new_countries(seed, store.read("country")), "country", "skip")
+
+
+def load_dims(seed: DataFrame, store: Store) -> None:
+    """Add the countries and cities of ``seed`` that the store lacks."""
+    load_countries(seed, store)
     rows = new_cities(seed, store.read("country"), store.read("city"))
     write_table(store, rows, "city", "skip")
 

@@ -10,6 +10,8 @@ the table's declaration: no null in a NOT NULL column, no key twice in the batch
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import Column, DataFrame
 
 from skylattice.operators.dims import insert_if_absent
@@ -31,12 +33,13 @@ def write_table(
     name: str,
     on_conflict: str = "error",
     within: Column | None = None,
+    stored: bool = False,
 ) -> None:
     """Write ``df`` to table ``name`` of ``store``.
 
     ``within`` is a predicate on the table's partition columns that holds for every new row. It
     limits the look-up of existing keys to the partitions concerned and tells ``replace`` which
-    periods to overwrite.
+    periods to overwrite. ``stored`` says that ``df`` only reads stored rows and need not be staged.
     """
     if on_conflict not in MODES:
         raise ValueError(f"on_conflict must be one of {MODES}, not {on_conflict!r}")
@@ -47,7 +50,7 @@ def write_table(
         return
     if on_conflict == "replace" and not (isinstance(store, FileStore) and table.partition_by and within is not None):
         raise ValueError("replace needs a partitioned file table and the predicate within")
-    with staged(rows) as fresh:
+    with nullcontext(rows) if stored else staged(rows) as fresh:
         _check(fresh, table, within)
         if on_conflict == "replace":
             store.replace(fresh, table, within)

@@ -1,0 +1,61 @@
+from collections import Counter
+from datetime import date, datetime
+
+from conftest import SF, at, doc, rows
+
+from skylattice.operators.conditions import (
+    condition_counts,
+    condition_daily,
+    modal_condition,
+    modal_condition_aggregate,
+)
+from skylattice.sources import star
+
+T = "2024-01-01T10:00:00"
+
+
+def best(raw, city, *weathers):
+    found = condition_daily(raw(*(doc(T, weather=w) for w in weathers)), city).collect()
+    return [(r.WeatherMain, r.WeatherDescription) for r in found]
+
+
+def test_most_frequent_wins(raw, city):
+    rain, fog = ("Rain", "light"), ("Fog", "fog")
+    assert best(raw, city, [fog], [rain], [rain]) == [rain]
+    assert best(raw, city, [rain, fog], [fog]) == [fog]
+
+
+def test_ties_go_to_the_smaller_name(raw, city):
+    assert best(raw, city, [("B", "x")], [("A", "z")], [("A", "y")]) == [("A", "y")]
+
+
+def test_observations_without_condition_do_not_count(raw, city):
+    assert best(raw, city, None, []) == []
+    assert best(raw, city, None, [], [("A", "y")]) == [("A", "y")]
+
+
+def test_period_is_half_open(raw, city):
+    data = raw(*(doc(t, weather=[(t[-8:], "")]) for t in ["2024-01-01T00:00:00", "2024-01-01T23:59:59", "2024-01-02T00:00:00"]))
+    day = condition_daily(data, city, datetime(2024, 1, 1), datetime(2024, 1, 2))
+    assert [(r.Date, r.WeatherMain) for r in day.collect()] == [(date(2024, 1, 1), "00:00:00")]
+    history = condition_daily(data, city, end=datetime(2024, 1, 3))
+    assert [r.Date for r in history.orderBy("Date").collect()] == [date(2024, 1, 1), date(2024, 1, 2)]
+
+
+def test_both_forms_agree_with_a_count_by_hand(spark):
+    data = star.observations(spark, SF)
+    counts = Counter()
+    for r in condition_counts(data).collect():
+        counts[r.lon_c, r.lat_c, r.Date, r.WeatherMain, r.WeatherDescription] += r.cnt
+    winners = {}
+    for (lon, lat, day, *condition), n in counts.items():
+        rank = (-n, *condition)
+        winners[lon, lat, day] = min(rank, winners.get((lon, lat, day), rank))
+    wanted = sorted((*k, *v[1:]) for k, v in winners.items())
+    assert sorted(rows(modal_condition(data))) == wanted
+    assert sorted(rows(modal_condition_aggregate(data))) == wanted
+
+
+def test_one_ranking_for_the_whole_period(raw):
+    data = raw(*(doc(at(T) + 86400 * i, weather=[(m, m)]) for i, m in enumerate("ABB")))
+    assert [r.WeatherMain for r in modal_condition(data, by_date=False).collect()] == ["B"]

@@ -1,0 +1,132 @@
+import json
+from datetime import date, datetime, timedelta
+
+import pytest
+from conftest import at, doc, rows
+from pyspark.sql import functions as F
+
+from skylattice.operators.hourly import hourly
+from skylattice.schemas import TABLES
+from skylattice.sources.raw import read_raw
+
+# One document as the weather service sends it.
+SAMPLE = {
+    "coord": {"lon": 7.367, "lat": 45.133},
+    "weather": [{"id": 501, "main": "Rain", "description": "moderate rain", "icon": "10d"}],
+    "main": {"temp": 284.2, "feels_like": 282.93, "pressure": 1021, "humidity": 60},
+    "wind": {"speed": 4.09, "deg": 121, "gust": 3.47},
+    "rain": {"1h": 2.73},
+    "clouds": {"all": 83},
+    "dt": 1726660758,
+}
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_sample_document(spark, city, tmp_path, any_zone, multiline):
+    (tmp_path / "a.json").write_text(json.dumps(SAMPLE, indent=3 if multiline else None))
+    found = hourly(read_raw(spark, str(tmp_path), "json", multiline=multiline), city)
+    assert found.columns == list(TABLES["weather_hour"].columns)
+    assert rows(found) == [
+        (1, date(2024, 9, 18), 11, 284.2, 282.93, 83.0, 2.73, 4.09, 1021.0, 60.0)
+    ]
+
+
+def test_missing_rain_counts_as_dry_other_gaps_do_not(raw, city):
+    found = hourly(
+        raw(
+            doc("2024-01-01T10:00:00", rain=3.0, temp=280.0),
+            doc("2024-01-01T10:15:00", rain=None, temp=None),
+            doc("2024-01-01T10:30:00", rain=0.0, temp=281.0),
+        ),
+        city,
+    ).first()
+    assert (found.Rain, found.Temp) == (1.0, 280.5)
+
+
+def test_hour_without_any_reading_is_null(raw, city):
+    found = hourly(raw(doc("2024-01-01T10:00:00", temp=None, feels_like=None)), city).first()
+    assert (found.Temp, found.FeelsLike, found.Rain) == (None, None, 0.0)
+
+
+def test_positions_of_one_cell_meet(raw, city):
+    docs = [doc("2024-01-01T10:00:00", lon=lon, temp=t) for lon, t in [(7.365, 1.0), (7.374, 2.0), (7.375, 9.0)]]
+    assert [(r.IdCity, r.Temp) for r in hourly(raw(*docs), city).collect()] == [(1, 1.5)]
+
+
+def test_cells_without_city_drop_and_shared_cells_fan_out(raw, table):
+    city = table("city", (1, "A", 1, 7.367, 45.133), (2, "B", 1, 7.371, 45.129), (3, "C", 1, None, None))
+    docs = [
+        doc("2024-01-01T10:00:00"),
+        doc("2024-01-01T10:00:00", lon=0.0),
+        doc("2024-01-01T10:00:00", lon=None),
+    ]
+    assert [r.IdCity for r in hourly(raw(*docs), city).orderBy("IdCity").collect()] == [1, 2]
+
+
+def test_calendar_hours_and_bounds(raw, city):
+    times = ["2023-12-31T23:59:59", "2024-01-01T00:00:00", "2024-01-01T00:59:59", "2024-01-01T01:00:00"]
+    data = raw(*(doc(t, temp=float(i)) for i, t in enumerate(times)))
+    columns = ["Date", "Hour", "Temp"]
+    assert rows(hourly(data, city).select(*columns), "Date", "Hour") == [
+        (date(2023, 12, 31), 23, 0.0),
+        (date(2024, 1, 1), 0, 1.5),
+        (date(2024, 1, 1), 1, 3.0),
+    ]
+    bounded = hourly(data, city, start=datetime(2024, 1, 1), end=datetime(2024, 1, 1, 1))
+    assert rows(bounded.select(*columns)) == [(date(2024, 1, 1), 0, 1.5)]
+
+
+def test_backfill_splits_at_midnight(raw, city):
+    docs = [doc(at("2024-01-01") + 1800 * i, temp=float(i % 7)) for i in range(150)]
+    days = [datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 5)]
+    whole = rows(hourly(raw(*docs), city, start=days[0], end=days[2]), "Date", "Hour")
+    parts = [
+        rows(hourly(raw(*docs), city, start=a, end=b), "Date", "Hour")
+        for a, b in zip(days, days[1:])
+    ]
+    assert whole == parts[0] + parts[1]
+
+
+def test_trailing_stamps_the_hour_it_began_in(raw, city, any_zone):
+    docs = [
+        doc("2024-01-01T23:04:59", temp=0.0),
+        doc("2024-01-01T23:05:00", temp=1.0),
+        doc("2024-01-02T00:04:59", temp=2.0),
+        doc("2024-01-02T00:05:00", temp=9.0),
+    ]
+    as_of = datetime(2024, 1, 2, 0, 5)
+    closed = hourly(raw(*docs), city, as_of, "trailing", end=as_of).first()
+    assert (closed.Date, closed.Hour, closed.Temp) == (date(2024, 1, 1), 23, 1.5)
+    opened = hourly(raw(*docs), city, as_of, "trailing").first()
+    assert opened.Temp == 4.0
+
+
+def test_schedule_is_the_union_of_trailing_runs(raw, city):
+    docs = [doc(at("2024-01-01") + 611 * i, temp=float(i % 11)) for i in range(60)]
+    data = raw(*docs)
+    runs = []
+    for i in range(14):
+        as_of = datetime(2024, 1, 1, 0, 5) + timedelta(hours=i)
+        runs += rows(hourly(data, city, as_of, "trailing", end=as_of))
+    assert rows(hourly(data, city, mode="schedule"), "Date", "Hour") == sorted(runs)
+
+
+def test_arguments(raw, city):
+    with pytest.raises(ValueError):
+        hourly(raw(doc(0)), city, mode="weekly")
+    with pytest.raises(ValueError):
+        hourly(raw(doc(0)), city, mode="trailing")
+
+
+def test_result_does_not_depend_on_partitions_or_a_hot_cell(spark, raw, city):
+    wide = raw(doc(at("2024-01-01"))).select("weather", "wind", "rain", "clouds").crossJoin(
+        spark.range(9000)
+    )
+    data = wide.select(
+        F.expr("named_struct('lon', if(id % 3 = 0, 7.367D, 10.75D + id % 5), 'lat', if(id % 3 = 0, 45.133D, 59.91D))").alias("coord"),
+        "weather", "wind", "rain", "clouds",
+        F.expr("named_struct('temp', id % 997 / 100D, 'feels_like', 1D, 'pressure', 1D, 'humidity', 1D)").alias("main"),
+        (F.lit(at("2024-01-01")) + F.col("id") * 10).alias("dt"),
+    )
+    found = [rows(hourly(data.repartition(n), city), "IdCity", "Date", "Hour") for n in (1, 60)]
+    assert found[0] == found[1] and len(found[0]) == 50
