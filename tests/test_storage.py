@@ -1,0 +1,139 @@
+import os
+from datetime import date
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from skylattice.operators.filters import in_dates
+from skylattice.sinks.tables import WriteConflict, write_table
+from skylattice.sources.tables import FileStore, JdbcStore, jdbc_options
+from skylattice.storage import new_dir, shared_dir, staged
+
+A, B, C = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return FileStore(spark, str(tmp_path / "tables"))
+
+
+@pytest.fixture
+def wind(table):
+    return lambda *rs: table("wind_day", *((c, d, x, x, x) for c, d, x in rs))
+
+
+def held(store):
+    return [(r.IdCity, r.Date, r.WindAvg) for r in store.read("wind_day").orderBy("Date", "IdCity").collect()]
+
+
+def test_unwritten_table_is_empty(store):
+    assert store.read("wind_day").collect() == []
+
+
+def test_append_is_unconditional(store, wind):
+    for _ in range(2):
+        write_table(store, wind((1, A, 1.0)), "wind_day", "append")
+    assert held(store) == [(1, A, 1.0)] * 2
+
+
+def test_error_mode_writes_nothing_on_a_clash(store, wind):
+    write_table(store, wind((1, A, 1.0)), "wind_day")
+    with pytest.raises(WriteConflict, match="key exists"):
+        write_table(store, wind((1, A, 2.0), (2, A, 2.0)), "wind_day")
+    assert held(store) == [(1, A, 1.0)]
+    write_table(store, wind((1, B, 2.0)), "wind_day", within=in_dates("Date", B, C))
+    assert held(store) == [(1, A, 1.0), (1, B, 2.0)]
+
+
+def test_skip_mode_twice_is_once(store, wind):
+    write_table(store, wind((1, A, 1.0)), "wind_day", "skip")
+    for _ in range(2):
+        write_table(store, wind((1, A, 9.0), (2, A, 2.0)), "wind_day", "skip")
+    assert held(store) == [(1, A, 1.0), (2, A, 2.0)]
+
+
+def test_replace_mode_replaces_the_period_and_nothing_else(store, wind):
+    write_table(store, wind((1, A, 1.0), (1, B, 1.0), (1, C, 1.0), (2, B, 1.0)), "wind_day")
+    for _ in range(2):
+        write_table(store, wind((1, B, 5.0)), "wind_day", "replace", in_dates("Date", A, C))
+        assert held(store) == [(1, B, 5.0), (1, C, 1.0)]
+
+
+def test_replace_needs_a_period_that_holds_all_rows(store, wind):
+    with pytest.raises(ValueError):
+        write_table(store, wind((1, A, 1.0)), "wind_day", "replace")
+    with pytest.raises(WriteConflict, match="outside"):
+        write_table(store, wind((1, C, 1.0)), "wind_day", "replace", in_dates("Date", A, C))
+    with pytest.raises(ValueError):
+        write_table(store, wind((1, C, 1.0)), "wind_day", "upsert")
+
+
+@pytest.mark.parametrize("mode", ["error", "skip", "replace"])
+def test_declared_constraints_are_checked(store, wind, mode):
+    within = in_dates("Date", A, B)
+    with pytest.raises(WriteConflict, match="NOT NULL"):
+        write_table(store, wind((1, A, None)), "wind_day", mode, within)
+    with pytest.raises(WriteConflict, match="twice"):
+        write_table(store, wind((1, A, 1.0), (1, A, 1.0)), "wind_day", mode, within)
+    assert held(store) == []
+
+
+def test_rows_are_evaluated_once_per_write(spark, store, wind):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    counted = wind((1, A, 1.0), (2, A, 1.0)).mapInPandas(count, wind().schema)
+    write_table(store, counted, "wind_day")
+    assert seen.value == 2 and len(held(store)) == 2
+
+
+def test_month_table_is_replaced_by_its_own_partitions(store, table):
+    row = lambda m, x: (1, 2024, m, x, x, x, x, x)
+    write_table(store, table("AVG_month", row(1, 1.0), row(2, 1.0)), "AVG_month")
+    february = (F.col("Year") == 2024) & (F.col("Month") == 2)
+    write_table(store, table("AVG_month", row(2, 7.0)), "AVG_month", "replace", february)
+    assert [(r.Month, r.AvgTemp) for r in store.read("AVG_month").orderBy("Month").collect()] == [
+        (1, 1.0),
+        (2, 7.0),
+    ]
+
+
+def test_staging_leaves_nothing_behind(spark):
+    with staged(spark.range(5)) as df:
+        folder = df.inputFiles()[0]
+        assert df.count() == 5
+    assert not os.path.exists(os.path.dirname(folder.removeprefix("file://")))
+
+
+def test_shared_dir_comes_from_the_session(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_dir(spark) == configured.rstrip("/")
+    assert new_dir(spark, "x") != new_dir(spark, "x")
+
+
+def test_jdbc_options():
+    url = "jdbc:postgresql://host/db"
+    assert jdbc_options(url, "city", {"user": "u"}) == {"url": url, "dbtable": "city", "user": "u"}
+    found = jdbc_options(url, "weather_hour", {}, "Date", "2024-01-01", "2025-01-01", 8)
+    assert found["partitionColumn"] == "Date" and found["numPartitions"] == "8"
+    with pytest.raises(ValueError):
+        jdbc_options(url, "weather_hour", {}, "Date")
+
+
+def test_jdbc_store_cannot_replace(spark, wind):
+    with pytest.raises(ValueError):
+        write_table(JdbcStore(spark, "jdbc:none"), wind(), "wind_day", "replace", in_dates("Date", A, B))
+
+
+def test_stored_city_filter_prunes_partitions(spark, store, wind):
+    write_table(store, wind((1, A, 1.0), (1, B, 1.0)), "wind_day")
+    from conftest import plan
+
+    found = plan(store.read("wind_day").filter(in_dates("Date", B, C)))
+    assert "PartitionFilters: [isnotnull(Date" in found and rows(store.read("wind_day").filter(in_dates("Date", B, C)))
