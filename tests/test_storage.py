@@ -2,7 +2,7 @@ import os
 from datetime import date
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from skylattice.operators.filters import in_dates
@@ -133,7 +133,5 @@ def test_jdbc_store_cannot_replace(spark, wind):
 
 def test_stored_city_filter_prunes_partitions(spark, store, wind):
     write_table(store, wind((1, A, 1.0), (1, B, 1.0)), "wind_day")
-    from conftest import plan
-
     found = plan(store.read("wind_day").filter(in_dates("Date", B, C)))
-    assert "PartitionFilters: [isnotnull(Date" in found and rows(store.read("wind_day").filter(in_dates("Date", B, C)))
+    assert "PartitionFilters: [isnotnull(Date" in found
