@@ -1,22 +1,31 @@
-"""Command line: ``python -m skylattice JOB --root DIR [--raw DIR] ...`` over file tables."""
+"""Command line: ``python -m skylattice --root DIR JOB [--raw DIR] ...``.
+
+Tables live in folders under ``--root`` or, with ``--jdbc FILE``, in a database: the JSON file
+holds ``url``, ``properties`` (user, password, driver) and ``ranges`` as ``JdbcStore`` takes them.
+"""
 
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame, SparkSession
+
 from skylattice.functions.periods import date_period
 from skylattice.operators.health import append_health, table_stats
 from skylattice.plans import jobs
 from skylattice.schemas import TABLES
 from skylattice.session import build
 from skylattice.sources.raw import land_raw, read_raw
-from skylattice.sources.tables import FileStore, seed_cities
+from skylattice.sources.tables import FileStore, JdbcStore, seed_cities
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="skylattice", description=__doc__)
-    parser.add_argument("--root", required=True, help="folder of the tables")
+    place = parser.add_mutually_exclusive_group(required=True)
+    place.add_argument("--root", help="folder of the tables")
+    place.add_argument("--jdbc", help="JSON file describing the database")
     parser.add_argument("--on-conflict", default="error", choices=["append", "error", "skip", "replace"])
     parser.add_argument("--tz", default="UTC", help="zone of dates and hours")
     parser.add_argument("--master", help="Spark master, for a run outside spark-submit")
@@ -43,18 +52,35 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def _raw_arguments(parser: argparse.ArgumentParser) -> None:
-    parser.add_argument("--raw", required=True, help="folder or table of raw observations")
+    parser.add_argument("--raw", help="folder or table of raw observations")
     parser.add_argument("--raw-format", default="parquet", help="parquet, json or a connector name")
+    parser.add_argument(
+        "--raw-option", action="append", default=[], metavar="KEY=VALUE", help="reader option"
+    )
+
+
+def _store(spark: SparkSession, args: argparse.Namespace) -> FileStore | JdbcStore:
+    if args.root:
+        return FileStore(spark, args.root)
+    with open(args.jdbc) as f:
+        return JdbcStore(spark, **json.load(f))
+
+
+def _read_raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    options = dict(o.split("=", 1) for o in args.raw_option)
+    return read_raw(spark, args.raw, args.raw_format, **options)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
+    if args.job == "health" and not args.root:
+        raise SystemExit("health reads the stored files: it needs --root")
     if args.job == "daily-backfill":
         date_period(args.start_date, args.end_date)
     spark = build("skylattice", args.master)
-    store = FileStore(spark, args.root)
+    store = _store(spark, args)
     mode = {"on_conflict": args.on_conflict, "tz": args.tz}
-    raw = read_raw(spark, args.raw, args.raw_format) if "raw" in args and args.job != "land" else None
+    raw = _read_raw(spark, args) if "raw" in args and args.job != "land" else None
     if args.job == "hourly":
         jobs.hourly_job(raw, store, args.as_of, **mode)
     elif args.job == "hourly-backfill":

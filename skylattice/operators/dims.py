@@ -30,6 +30,7 @@ def assign_keys(new: DataFrame, existing: DataFrame, id_col: str, order_col: str
     ``order_col`` is a unique non-negative integer. Rows are numbered inside ranges of it, and
     a running total over one count per range supplies each range's offset, so no task ever
     orders the whole batch; only the range counts (1 per 100,000 order values) meet in one task.
+    ``new`` is evaluated for the counts and for the rows: pass stored rows where it is costly.
     """
     ranged = new.withColumn("_range", F.floor(F.col(order_col) / KEY_RANGE))
     counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
@@ -51,15 +52,14 @@ def lookup(df: DataFrame, dim: DataFrame, name: str, id_col: str) -> DataFrame:
     return df.join(dim.select(name, id_col), name)
 
 
-def new_countries(seed: DataFrame, country: DataFrame) -> DataFrame:
-    """Countries of the seed list that ``country`` lacks, numbered by first appearance."""
+def absent_countries(seed: DataFrame, country: DataFrame) -> DataFrame:
+    """Countries of the seed list that ``country`` lacks, with the ``seq`` they appear at."""
     first = seed.groupBy(F.col("country").alias("CountryName")).agg(F.min("seq").alias("seq"))
-    absent = insert_if_absent(first, country, ["CountryName"])
-    return to_table(assign_keys(absent, country, "IdCountry", "seq"), TABLES["country"])
+    return insert_if_absent(first, country, ["CountryName"])
 
 
-def new_cities(seed: DataFrame, country: DataFrame, city: DataFrame) -> DataFrame:
-    """Cities of the seed list that ``city`` lacks, numbered by first appearance.
+def absent_cities(seed: DataFrame, country: DataFrame, city: DataFrame) -> DataFrame:
+    """Cities of the seed list that ``city`` lacks, with the ``seq`` they appear at.
 
     ``country`` already holds every country of the seed list. A city that is listed again, or
     exists already, keeps its first coordinates.
@@ -72,8 +72,15 @@ def new_cities(seed: DataFrame, country: DataFrame, city: DataFrame) -> DataFram
         "seq",
     )
     first = top1(named, ["CityName", "CountryName"], [F.asc("seq")])
-    absent = insert_if_absent(
-        lookup(first, country, "CountryName", "IdCountry"), city, ["CityName", "IdCountry"]
-    )
-    return to_table(assign_keys(absent, city, "IdCity", "seq"), TABLES["city"])
+    located = lookup(first, country, "CountryName", "IdCountry")
+    return insert_if_absent(located, city, ["CityName", "IdCountry"])
+
 
+def number_countries(absent: DataFrame, country: DataFrame) -> DataFrame:
+    """``country`` rows for the absent ones, in order of appearance."""
+    return to_table(assign_keys(absent, country, "IdCountry", "seq"), TABLES["country"])
+
+
+def number_cities(absent: DataFrame, city: DataFrame) -> DataFrame:
+    """``city`` rows for the absent ones, in order of appearance."""
+    return to_table(assign_keys(absent, city, "IdCity", "seq"), TABLES["city"])

@@ -13,16 +13,18 @@ from skylattice.functions.units import convert
 from skylattice.operators import health, quality
 from skylattice.operators.alerts import Rule, alerts
 from skylattice.operators.conditions import (
+    CONDITION,
     condition_counts,
     condition_daily,
+    modal_condition,
     modal_condition_aggregate,
 )
 from skylattice.operators.daily import daily, day_table
-from skylattice.operators.dims import insert_if_absent
+from skylattice.operators.dims import insert_if_absent, lookup
 from skylattice.operators.filters import date_range, in_dates, on_date
 from skylattice.operators.gaps import fill_gaps, gap_report
 from skylattice.operators.hourly import hourly, to_city
-from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
+from skylattice.operators.monthly import monthly, monthly_join, monthly_measure, week_dim, weekly
 from skylattice.operators.rolling import anomalies, rolling
 from skylattice.plans.jobs import load_countries, load_dims
 from skylattice.schemas import TABLES, to_table
@@ -140,6 +142,24 @@ def condition_aggregate(spark: SparkSession, sf: str) -> DataFrame:
     return to_table(to_city(found, star.cities(spark, sf)), TABLES["weather_condition_day"])
 
 
+def condition_period(spark: SparkSession, sf: str) -> DataFrame:
+    """One winner per city over the whole history."""
+    found = modal_condition(star.observations(spark, sf), by_date=False)
+    return to_city(found, star.cities(spark, sf)).select("IdCity", *CONDITION)
+
+
+def month_measures(spark: SparkSession, sf: str) -> DataFrame:
+    days = daily(orders_as_hours(spark, sf))
+    return monthly_measure(day_table(days, "Temp"), "Temp")
+
+
+def city_country(spark: SparkSession, sf: str) -> DataFrame:
+    """Every seed entry with the id of its country."""
+    named = star.seeds(spark, sf).withColumnRenamed("country", "CountryName")
+    found = lookup(named, star.countries(spark, sf), "CountryName", "IdCountry")
+    return found.select("seq", "city", "IdCountry")
+
+
 def month_summary_join(spark: SparkSession, sf: str) -> DataFrame:
     wide = daily_wide(spark, sf)
     sides = [day_table(wide, f) for f in ("Temp", "Humidity", "Rain", "Wind")]
@@ -260,6 +280,9 @@ QUERIES: dict[str, Query] = {
     "condition_day": condition_day,
     "condition_backfill": condition_backfill,
     "condition_aggregate": condition_aggregate,
+    "condition_period": condition_period,
+    "month_measures": month_measures,
+    "city_country": city_country,
     "month_summary": lambda spark, sf: monthly(daily_wide(spark, sf)),
     "month_summary_join": month_summary_join,
     "month_summary_years": lambda spark, sf: monthly(daily(orders_as_hours(spark, sf))),

@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from skylattice.functions.periods import Period, date_period, period
 from skylattice.operators.conditions import condition_daily
 from skylattice.operators.daily import daily, day_table
-from skylattice.operators.dims import new_cities, new_countries
+from skylattice.operators.dims import (
+    absent_cities,
+    absent_countries,
+    number_cities,
+    number_countries,
+)
 from skylattice.operators.filters import in_dates
 from skylattice.operators.hourly import hourly
 from skylattice.operators.monthly import monthly, monthly_join, weekly
@@ -107,14 +112,17 @@ def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def load_countries(seed: DataFrame, store: Store) -> None:
     """Add the countries of ``seed`` that the store lacks."""
-    write_table(store, new_countries(seed, store.read("country")), "country", "skip")
+    held = store.read("country")
+    with staged(absent_countries(seed, held)) as absent:
+        write_table(store, number_countries(absent, held), "country", "skip")
 
 
 def load_dims(seed: DataFrame, store: Store) -> None:
     """Add the countries and cities of ``seed`` that the store lacks."""
     load_countries(seed, store)
-    rows = new_cities(seed, store.read("country"), store.read("city"))
-    write_table(store, rows, "city", "skip")
+    held = store.read("city")
+    with staged(absent_cities(seed, store.read("country"), held)) as absent:
+        write_table(store, number_cities(absent, held), "city", "skip")
 
 
 def _range(first: date | None, last: date | None, tz: str) -> Period | None:

@@ -199,6 +199,19 @@ _SELECT = {
     "condition_day": _conditions(f"Date = date '{DAY}'"),
     "condition_backfill": _conditions(),
     "condition_aggregate": _conditions(),
+    "condition_period": """
+        select IdCity, WeatherMain, WeatherDescription from (
+            select lon_c, lat_c, WeatherMain, WeatherDescription, row_number() over (
+                partition by lon_c, lat_c
+                order by sum(cnt) desc, WeatherMain, WeatherDescription) as rn
+            from condition group by 1, 2, 3, 4) join city_cell using (lon_c, lat_c)
+        where rn = 1""",
+    "month_measures": f"""select IdCity, cast(year(Date) as int) as Year,
+            cast(month(Date) as int) as Month, {_mean("TempAvg")} as AvgTemp,
+            min(TempMin) as MinTemp, max(TempMax) as MaxTemp
+        from oday group by 1, 2, 3""",
+    "city_country": """select seq, city, cast(n_nationkey as int) as IdCountry
+        from seed join nation on country = n_name""",
     "month_summary": _summary("day", "year(Date)", "month(Date)", "Month"),
     "month_summary_join": _summary("day", "year(Date)", "month(Date)", "Month"),
     "month_summary_years": _summary("oday", "year(Date)", "month(Date)", "Month"),

@@ -2,9 +2,26 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from skylattice.operators import dims
-from skylattice.operators.dims import assign_keys, insert_if_absent, new_cities, new_countries
+from skylattice.operators.dims import (
+    absent_cities,
+    absent_countries,
+    assign_keys,
+    insert_if_absent,
+    number_cities,
+    number_countries,
+)
 from skylattice.sources.tables import seed_cities
 
+
+
+def new_countries(seed, country):
+    return number_countries(absent_countries(seed, country), country)
+
+
+def new_cities(seed, country, city):
+    return number_cities(absent_cities(seed, country, city), city)
+
+
 SEED = [
     {"country": "Italy", "city": "Turin", "lat": 45.1, "lon": 7.3},
     {"country": "France", "city": "Paris", "lat": 48.8, "lon": 2.3},
