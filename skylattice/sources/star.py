@@ -2,7 +2,7 @@
 
 ``events`` are the observations, ``customer`` and ``supplier`` the cities and ``nation`` the
 countries. Every row of each table is used. A reading's position scatters around its city, at
-times into the next cell, where there is no city; some suppliers share the cell of a customer.
+times into the next cell, where there is no city; suppliers share the cell of a customer.
 """
 
 from __future__ import annotations
