@@ -35,6 +35,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
         if name in ("hourly", "condition", "condition-backfill"):
             _raw_arguments(sub)
+        if name == "health":
+            sub.add_argument("--raw-path", help="landed raw observations, reported as a table too")
     for name in ("hourly-backfill", "daily-backfill"):
         sub = job.add_parser(name)
         required = name == "daily-backfill"
@@ -101,6 +103,8 @@ def main(argv: list[str] | None = None) -> None:
         jobs.load_dims(seed_cities(spark, args.seed, args.seed_format), store)
     elif args.job == "health":
         written = {n: store.path(n) for n in TABLES if not store.read(n).isEmpty()}
+        if args.raw_path:
+            written["raw"] = args.raw_path
         append_health(table_stats(spark, written), args.as_of, f"{args.root}/health")
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from skylattice.functions.units import human_size, size_mb
@@ -15,7 +16,8 @@ from skylattice.functions.units import human_size, size_mb
 def table_stats(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> DataFrame:
     """Row count and stored bytes of each named path, largest first.
 
-    Rows are counted per file from hidden file metadata; no column is read.
+    Rows are counted per file from hidden file metadata; the empty schema spares looking for one
+    and no column is read.
     """
     found = reduce(DataFrame.unionByName, (_stats(spark, n, p, fmt) for n, p in tables.items()))
     return found.withColumns(
@@ -26,6 +28,7 @@ def table_stats(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet
 def _stats(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:
     files = (
         spark.read.format(fmt)
+        .schema(StructType())
         .load(path)
         .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(F.max("_metadata.file_size").alias("size"), F.count("*").alias("n"))

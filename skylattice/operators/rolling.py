@@ -57,8 +57,9 @@ def anomalies(
     )
     n, s, q = (F.col(c).cast("decimal(38,0)") for c in ("_n", "_s", "_q"))
     spread = n * q - s * s
-    deviation = F.sqrt(spread.cast("double") / (F.col("_n") * (F.col("_n") - 1)))
-    score = (F.col("_x") - F.col("_s").cast("double") / F.col("_n")) / deviation
+    deviation = F.sqrt(F.try_divide(spread.cast("double"), F.col("_n") * (F.col("_n") - 1)))
+    trailing = F.try_divide(F.col("_s").cast("double"), F.col("_n"))
+    score = F.try_divide(F.col("_x") - trailing, deviation)
     return (
         moments.filter((F.col("_n") >= max(min_points, 2)) & (spread > 0))
         .withColumn("Z", score)

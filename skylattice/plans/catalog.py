@@ -202,7 +202,8 @@ def not_null_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def orphans(spark: SparkSession, sf: str) -> DataFrame:
     """Cities without any hourly row."""
-    return quality.orphans(star.cities(spark, sf), weather_hour(spark, sf), "IdCity")
+    seen = weather_hour(spark, sf).select("IdCity").distinct()
+    return quality.orphans(star.cities(spark, sf), seen, "IdCity")
 
 
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,6 +11,7 @@ BATCH = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -11,8 +11,6 @@ from skylattice.functions.time import obs_date
 from skylattice.operators.filters import between_half_open
 from skylattice.schemas import CORRUPT, OBS_DATE, RAW, RAW_WITH_CORRUPT
 
-LANDED = f"{RAW_WITH_CORRUPT}, {OBS_DATE} date"
-
 
 def json_options(multiline: bool = False) -> dict[str, str]:
     """Malformed documents become rows that keep their text in the corrupt column."""
@@ -35,14 +33,15 @@ def read_raw(
 ) -> DataFrame:
     """Observations with ``start <= dt < end``.
 
-    ``parquet`` reads what :func:`land_raw` wrote and prunes its date partitions; ``json`` reads
+    ``parquet`` reads what :func:`land_raw` wrote and prunes its date partitions, or observations
+    in files without partitions; ``json`` reads
     documents, one per line unless ``multiline``; any other ``fmt`` names an installed connector
     (a document store, for instance), configured through ``options``. The schema is declared in
     each case, so nothing is sampled and only the fields in use are read.
     """
     if fmt == "json":
         options = json_options(multiline) | options
-    declared = schema or {"parquet": LANDED, "json": RAW_WITH_CORRUPT}.get(fmt, RAW)
+    declared = schema or (RAW_WITH_CORRUPT if fmt in ("parquet", "json") else RAW)
     scan = spark.read.format(fmt).schema(declared).options(**options).load(path)
     return between_half_open(scan, "dt", start, end)
 

@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from skylattice.functions.time import epoch_seconds
 from skylattice.streaming.observations import read_raw_stream
 
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-)
+# Declared, so that opening a table reads no file footer.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _lon(key: Column) -> Column:
@@ -70,7 +75,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observation_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same observations as a file stream."""
-    return as_observations(read_raw_stream(spark, f"{sf_dir}/events*.parquet", "parquet", EVENTS))
+    return as_observations(read_raw_stream(spark, f"{sf_dir}/events*.parquet", "parquet", SCHEMAS["events"]))
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,9 +71,10 @@ def test_all_jobs(spark, place):
         (2024, 1, 283.5, 4.0),
         (2024, 1, 284.5, 4.0),
     ]
-    run(place, "health", "--as-of", "2024-02-01T01:10:00")
+    run(place, "health", "--as-of", "2024-02-01T01:10:00", "--raw-path", str(place / "raw"))
     health = spark.read.parquet(str(place / "t" / "health"))
-    assert {r.table_name: r.row_count for r in health.collect()}["weather_hour"] == 108
+    counts = {r.table_name: r.row_count for r in health.collect()}
+    assert (counts["weather_hour"], counts["raw"]) == (108, 2 * 54 * 4)
 
 
 def test_hourly_runs_add_up_to_days(spark, place):

@@ -60,6 +60,14 @@ def test_replace_mode_replaces_the_period_and_nothing_else(store, wind):
         assert held(store) == [(1, B, 5.0), (1, C, 1.0)]
 
 
+def test_replace_can_empty_the_table(store, wind):
+    write_table(store, wind((1, A, 1.0)), "wind_day")
+    write_table(store, wind(), "wind_day", "replace", in_dates("Date", A, C))
+    assert held(store) == []
+    write_table(store, wind((1, A, 2.0)), "wind_day")
+    assert held(store) == [(1, A, 2.0)]
+
+
 def test_replace_needs_a_period_that_holds_all_rows(store, wind):
     with pytest.raises(ValueError):
         write_table(store, wind((1, A, 1.0)), "wind_day", "replace")
