@@ -114,7 +114,7 @@ def load_countries(seed: DataFrame, store: Store) -> None:
     """Add the countries of ``seed`` that the store lacks."""
     held = store.read("country")
     with staged(absent_countries(seed, held)) as absent:
-        write_table(store, number_countries(absent, held), "country", "skip")
+        write_table(store, number_countries(absent, held), "country", "skip", stored=True)
 
 
 def load_dims(seed: DataFrame, store: Store) -> None:
@@ -122,7 +122,7 @@ def load_dims(seed: DataFrame, store: Store) -> None:
     load_countries(seed, store)
     held = store.read("city")
     with staged(absent_cities(seed, store.read("country"), held)) as absent:
-        write_table(store, number_cities(absent, held), "city", "skip")
+        write_table(store, number_cities(absent, held), "city", "skip", stored=True)
 
 
 def _range(first: date | None, last: date | None, tz: str) -> Period | None:

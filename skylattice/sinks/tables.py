@@ -13,9 +13,9 @@ from __future__ import annotations
 from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from skylattice.operators.dims import insert_if_absent
-from skylattice.operators.quality import check_not_null, duplicate_keys
 from skylattice.schemas import TABLES, Table, to_table
 from skylattice.sources.tables import FileStore, JdbcStore
 from skylattice.storage import staged
@@ -39,7 +39,8 @@ def write_table(
 
     ``within`` is a predicate on the table's partition columns that holds for every new row. It
     limits the look-up of existing keys to the partitions concerned and tells ``replace`` which
-    periods to overwrite. ``stored`` says that ``df`` only reads stored rows and need not be staged.
+    periods to overwrite. ``stored`` says that ``df`` derives cheaply from stored rows and
+    need not be staged.
     """
     if on_conflict not in MODES:
         raise ValueError(f"on_conflict must be one of {MODES}, not {on_conflict!r}")
@@ -59,21 +60,25 @@ def write_table(
         existing = existing if within is None else existing.filter(within)
         keys = list(table.keys)
         if on_conflict == "error":
-            _reject(fresh.join(existing.select(*keys), keys, "left_semi"), f"{name}: key exists")
+            clash = fresh.join(existing.select(*keys), keys, "left_semi").take(3)
+            if clash:
+                raise WriteConflict(f"{name}: key exists, e.g. {clash}")
         else:
             fresh = insert_if_absent(fresh, existing, keys)
         store.append(to_table(fresh, table), table)
 
 
 def _check(rows: DataFrame, table: Table, within: Column | None) -> None:
-    nulls = check_not_null(rows, table.not_null).filter("nulls > 0")
-    _reject(nulls, f"{table.name}: null in a NOT NULL column")
-    _reject(duplicate_keys(rows, list(table.keys)), f"{table.name}: key twice in the batch")
+    """Count all violations in one pass, by key, and raise if there are any."""
+    broken = {f"null in NOT NULL column {c}": F.col(c).isNull() for c in table.not_null}
     if within is not None:
-        _reject(rows.filter(~within), f"{table.name}: row outside the given period")
-
-
-def _reject(found: DataFrame, message: str) -> None:
-    examples = found.take(3)
-    if examples:
-        raise WriteConflict(f"{message}, e.g. {examples}")
+        broken["row outside the given period"] = ~within
+    counted = [F.count_if(broke).alias(what) for what, broke in broken.items()]
+    per_key = rows.groupBy(*table.keys).agg(F.count("*").alias("_n"), *counted)
+    found = per_key.agg(
+        *(F.sum(f"`{what}`").alias(what) for what in broken),
+        F.count_if(F.col("_n") > 1).alias("key twice in the batch"),
+    ).first()
+    problems = [f"{n} x {what}" for what, n in found.asDict().items() if n]
+    if problems:
+        raise WriteConflict(f"{table.name}: {', '.join(problems)}")
