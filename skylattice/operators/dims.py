@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from skylattice.operators.conditions import top1
 from skylattice.schemas import TABLES, to_table
 
-KEY_RANGE = 100_000
+KEY_RANGE = 1_000_000
 
 
 def insert_if_absent(
@@ -24,27 +24,42 @@ def insert_if_absent(
     return absent if order is None else top1(absent, keys, order)
 
 
+def _before(key: str, within: str | None = None) -> Column:
+    """Rows counted (``_n``) by the keys before this one."""
+    order = Window.partitionBy(within) if within else Window
+    ahead = order.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_n").over(ahead), F.lit(0))
+
+
 def assign_keys(new: DataFrame, existing: DataFrame, id_col: str, order_col: str) -> DataFrame:
     """Number ``new`` from ``max(existing.id_col) + 1`` on, ascending by ``order_col``.
 
-    ``order_col`` is a unique non-negative integer. Rows are numbered inside ranges of it, and
-    a running total over one count per range supplies each range's offset, so no task ever
-    orders the whole batch; only the range counts (1 per 100,000 order values) meet in one task.
-    ``new`` is evaluated for the counts and for the rows: pass stored rows where it is costly.
+    ``order_col`` is a unique non-negative integer of any spread. Rows are numbered inside ranges
+    of a million order values, ranges inside groups of a million ranges, and only the groups (at
+    most 9.3 million of a 64-bit integer) meet in one task. ``new`` is evaluated for the counts
+    and for the rows: pass stored rows where it is costly.
     """
-    ranged = new.withColumn("_range", F.floor(F.col(order_col) / KEY_RANGE))
-    counts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    base = existing.agg(
-        F.lit(-1).cast("bigint").alias("_range"),
+    ranged = new.withColumns(
+        {
+            "_range": F.expr(f"`{order_col}` div {KEY_RANGE}"),
+            "_group": F.expr(f"`{order_col}` div {KEY_RANGE * KEY_RANGE}"),
+        }
+    )
+    ranges = ranged.groupBy("_range", "_group").agg(F.count("*").alias("_n"))
+    groups = ranges.groupBy("_group").agg(F.sum("_n").alias("_n"))
+    held = existing.agg(
+        F.lit(-1).cast("bigint").alias("_group"),
         F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("_n"),
     )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.unionByName(base).select("_range", F.sum("_n").over(before).alias("_offset"))
+    bases = groups.unionByName(held).select("_group", _before("_group").alias("_base"))
+    offsets = ranges.join(bases, "_group").select(
+        "_range", (F.col("_base") + _before("_range", "_group")).alias("_offset")
+    )
     position = F.row_number().over(Window.partitionBy("_range").orderBy(order_col))
     numbered = ranged.withColumn("_pos", position).join(offsets, "_range")
     return numbered.withColumn(
         id_col, (F.col("_offset") + F.col("_pos")).cast(existing.schema[id_col].dataType)
-    ).drop("_range", "_pos", "_offset")
+    ).drop("_range", "_group", "_pos", "_offset")
 
 
 def lookup(df: DataFrame, dim: DataFrame, name: str, id_col: str) -> DataFrame:

@@ -60,6 +60,9 @@ def test_keys_are_dense_and_ordered_across_ranges(spark, table, monkeypatch):
     new = spark.range(200).select((F.col("id") * 3).alias("seq"), F.col("id").cast("string").alias("CountryName"))
     found = assign_keys(new.repartition(7), table("country", (100, "x")), "IdCountry", "seq")
     assert [r.IdCountry for r in found.orderBy("seq").collect()] == list(range(101, 301))
+    sparse = new.withColumn("seq", F.col("seq") * 12345 * F.col("seq"))
+    found = assign_keys(sparse.repartition(7), table("country", (100, "x")), "IdCountry", "seq")
+    assert [r.IdCountry for r in found.orderBy("seq").collect()] == list(range(101, 301))
     assert found.schema["IdCountry"].dataType.simpleString() == "int"
 
 
