@@ -243,13 +243,13 @@ def gaps(spark: SparkSession, sf: str) -> DataFrame:
 
 def sql_surface(spark: SparkSession, sf: str) -> DataFrame:
     """Views and SQL text, as a user of the SQL interface writes it."""
-    register(star.observations(spark, sf), "weather_raw")
+    register(star.observations(spark, sf), "observations")
     return spark.sql(
         """
-        SELECT weather_item.main AS WeatherMain, COUNT(*) AS cnt,
-               MIN(main.temp) AS TempMin, MAX(COALESCE(rain.`1h`, 0)) AS RainMax
-        FROM weather_raw LATERAL VIEW explode(weather) AS weather_item
-        GROUP BY weather_item.main
+        SELECT item.main AS WeatherMain, count(*) AS cnt,
+               min(o.main.temp) AS TempMin, max(nvl(o.rain.`1h`, 0)) AS RainMax
+        FROM observations o LATERAL VIEW explode(o.weather) w AS item
+        GROUP BY item.main
         """
     )
 

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 
 from skylattice.schemas import SEED, TABLES, Table, to_table
-from skylattice.storage import delete
+from skylattice.storage import delete, exists
 
 
 def register(df: DataFrame, name: str) -> DataFrame:
@@ -49,13 +48,9 @@ class FileStore:
     def read(self, name: str) -> DataFrame:
         """The table by its declared schema; empty where nothing was written yet."""
         table = TABLES[name]
-        try:
-            found = self.spark.read.schema(table.ddl).parquet(self.path(name))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, self.path(name)):
             return self.spark.createDataFrame([], table.ddl)
-        return to_table(found, table)
+        return to_table(self.spark.read.schema(table.ddl).parquet(self.path(name)), table)
 
     def append(self, rows: DataFrame, table: Table) -> None:
         self._writer(rows, table).mode("append").parquet(self.path(table.name))
@@ -75,8 +70,11 @@ class FileStore:
             folder = "/".join(f"{c}={row[c]}" for c in parts)
             delete(self.spark, f"{self.path(table.name)}/{folder}")
 
-    def _writer(self, rows: DataFrame, table: Table):
-        return rows.hint("rebalance", *table.partition_by).write.partitionBy(*table.partition_by)
+    def _writer(self, rows: DataFrame, table: Table) -> DataFrameWriter:
+        """Few files per partition, each ordered by key so that its statistics prune look-ups."""
+        order = dict.fromkeys([*table.partition_by, *table.keys])
+        spread = rows.hint("rebalance", *table.partition_by).sortWithinPartitions(*order)
+        return spread.write.partitionBy(*table.partition_by)
 
 
 @dataclass

@@ -44,8 +44,18 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         delete(spark, path)
 
 
+def _located(spark: SparkSession, path: str):
+    """The Hadoop file system that holds ``path``, and the path on it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete one folder on whatever file system holds it."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    target.getFileSystem(conf).delete(target, True)
+    files, target = _located(spark, path)
+    files.delete(target, True)

@@ -9,7 +9,7 @@ from skylattice.operators.hourly import hourly
 from skylattice.schemas import TABLES
 from skylattice.sources.raw import read_raw
 
-# One document as the weather service sends it.
+# One document as the weather service sends it.
 SAMPLE = {
     "coord": {"lon": 7.367, "lat": 45.133},
     "weather": [{"id": 501, "main": "Rain", "description": "moderate rain", "icon": "10d"}],

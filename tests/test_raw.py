@@ -79,8 +79,8 @@ def test_stream_lands_each_file_once(spark, tmp_path):
 
 
 def test_sql_over_a_registered_view(spark, raw):
-    register(raw(*DOCS), "weather_raw")
-    found = spark.sql("SELECT MAX(COALESCE(rain.`1h`, 0)) AS r, COUNT(main.temp) AS n FROM weather_raw")
+    register(raw(*DOCS), "observations")
+    found = spark.sql("SELECT max(rain.`1h`) AS r, count(main.temp) AS n FROM observations")
     assert rows(found) == [(1.0, 3)]
 
 
