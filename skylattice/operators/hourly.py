@@ -31,7 +31,7 @@ def measures() -> dict[str, Column]:
 
 
 def by_cell(raw: DataFrame, **extra: Column) -> DataFrame:
-    """``raw`` with its cell key and further derived grouping columns."""
+    """``raw`` with its cell key (hundredths of a degree) and further derived grouping columns."""
     return raw.withColumns(
         {"lon_c": cell(F.col("coord.lon")), "lat_c": cell(F.col("coord.lat"))} | extra
     )

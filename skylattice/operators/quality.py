@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skylattice.functions.numeric import degrees
 from skylattice.operators.hourly import CELL, by_cell, city_cells
 
 
@@ -37,10 +38,16 @@ def unmatched_cells(raw: DataFrame, city: DataFrame) -> DataFrame:
     coordinates (null cell).
     """
     counts = by_cell(raw).groupBy(*CELL).agg(F.count("*").alias("observations"))
-    return counts.join(city_cells(city), CELL, "left_anti")
+    return _located(counts.join(city_cells(city), CELL, "left_anti"), "observations")
 
 
 def ambiguous_cells(city: DataFrame) -> DataFrame:
     """Cells that hold several cities: each of them receives the cell's rows."""
     located = city_cells(city).filter(F.col("lon_c").isNotNull() & F.col("lat_c").isNotNull())
-    return located.groupBy(*CELL).agg(F.count("*").alias("cities")).filter("cities > 1")
+    shared = located.groupBy(*CELL).agg(F.count("*").alias("cities")).filter("cities > 1")
+    return _located(shared, "cities")
+
+
+def _located(cells: DataFrame, *cols: str) -> DataFrame:
+    lon, lat = (degrees(F.col(c)) for c in CELL)
+    return cells.select(lon.alias("lon"), lat.alias("lat"), *cols)

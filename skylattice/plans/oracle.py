@@ -16,7 +16,7 @@ from skylattice.schemas import DAY_FAMILIES, HOUR_MEASURES
 
 
 def _cell(x: str) -> str:
-    return f"cast(round(cast(cast({x} as varchar) as decimal(38,18)), 2) as decimal(7,2))"
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38,18)), 2) * 100 as int)"
 
 
 def _dec(x: str) -> str:
@@ -230,10 +230,12 @@ _SELECT = {
         case when Date < date '{SPLIT}' then -1.0 else TempAvg end as TempAvg, AvgFeelsLike from day""",
     "replace_period": f"""select IdCity, Date, TempMin, TempMax,
         case when Date < date '{SPLIT}' then -1.0 else TempAvg end as TempAvg, AvgFeelsLike from day""",
-    "unmatched_cells": """select lon_c, lat_c, count(*) as observations from obs
+    "unmatched_cells": """select lon_c / 100.0::double as lon, lat_c / 100.0::double as lat,
+            count(*) as observations from obs
         where not exists (select 1 from city_cell c where c.lon_c = obs.lon_c and c.lat_c = obs.lat_c)
         group by 1, 2""",
-    "ambiguous_cells": "select lon_c, lat_c, count(*) as cities from city_cell group by 1, 2 having count(*) > 1",
+    "ambiguous_cells": """select lon_c / 100.0::double as lon, lat_c / 100.0::double as lat,
+            count(*) as cities from city_cell group by 1, 2 having count(*) > 1""",
     "orphans": "select * from city where IdCity not in (select IdCity from wh)",
     "duplicate_keys": "select country, city, count(*) as n from seed group by 1, 2 having count(*) > 1",
     "not_null_report": """select 'dt' as column_name, count(*) - count(dt) as nulls from obs

@@ -5,7 +5,7 @@ from conftest import at, rows
 from pyspark.sql import functions as F
 
 from skylattice.functions import periods
-from skylattice.functions.numeric import avg2, cell, difference, mean
+from skylattice.functions.numeric import avg2, cell, difference, mean, round2
 from skylattice.functions.time import epoch_seconds, hour_start, obs_date, obs_hour, obs_time
 from skylattice.functions.units import convert, human_size, size_mb
 
@@ -51,11 +51,12 @@ def test_mean_is_one_exact_division(spark):
 @pytest.mark.parametrize(
     "x, expected",
     [
-        (7.367, "7.37"),
-        (1.005, "1.01"),
-        (-1.005, "-1.01"),
-        (-0.004, "0.00"),
-        (0.004, "0.00"),
+        (7.367, 737),
+        (1.005, 101),
+        (-1.005, -101),
+        (-177.995, -17800),
+        (-0.004, 0),
+        (0.004, 0),
         (float("nan"), None),
         (float("inf"), None),
         (1e9, None),
@@ -63,13 +64,24 @@ def test_mean_is_one_exact_division(spark):
     ],
 )
 def test_cell(spark, x, expected):
-    got = spark.createDataFrame([(x,)], "x double").select(cell(F.col("x"))).first()[0]
-    assert (None if got is None else str(got)) == expected
+    assert spark.createDataFrame([(x,)], "x double").select(cell(F.col("x"))).first()[0] == expected
 
 
-def test_cell_rounds_like_round(spark):
-    x = spark.range(50000).select(((F.col("id") - 25000) / 1000).alias("x"))
-    assert x.filter(~cell(F.col("x")).eqNullSafe(F.round("x", 2).cast("decimal(7,2)"))).isEmpty()
+def test_fast_rounding_is_round(spark):
+    thousandths = spark.range(400000).select(((F.col("id") - 200000) / 1000).alias("x"))
+    spread = spark.range(200000).select(
+        (F.xxhash64("id") / F.pow(F.lit(10.0), F.col("id") % 19)).alias("x")
+    )
+    x = thousandths.union(spread)
+    assert x.filter(~round2(F.col("x")).eqNullSafe(F.round("x", 2))).isEmpty()
+    by_text = (F.round("x", 2).cast("decimal(20,2)") * 100).cast("int")
+    assert thousandths.filter(~cell(F.col("x")).eqNullSafe(by_text)).isEmpty()
+
+
+@pytest.mark.parametrize("x", [-0.004, -0.0, float("nan"), float("inf"), 1e300, None])
+def test_fast_rounding_of_special_values(spark, x):
+    df = spark.createDataFrame([(x,)], "x double").select(round2(F.col("x")), F.round("x", 2))
+    assert len({str(v) for v in df.first()}) == 1
 
 
 def test_difference_has_no_binary_noise(spark):

@@ -1,5 +1,4 @@
 from datetime import date, datetime
-from decimal import Decimal
 
 from conftest import SF, doc, rows
 
@@ -20,9 +19,9 @@ def test_duplicates_and_orphans(spark, city, hours):
 
 def test_cells(raw, table):
     city = table("city", (1, "A", 1, 7.367, 45.133), (2, "B", 1, 7.371, 45.129), (3, "C", 1, None, 1.0))
-    assert rows(quality.ambiguous_cells(city)) == [(Decimal("7.37"), Decimal("45.13"), 2)]
+    assert rows(quality.ambiguous_cells(city)) == [(7.37, 45.13, 2)]
     data = raw(doc(0), doc(0, lon=1.0, lat=2.0), doc(0, lon=1.001, lat=2.0))
-    assert rows(quality.unmatched_cells(data, city)) == [(Decimal("1.00"), Decimal("2.00"), 2)]
+    assert rows(quality.unmatched_cells(data, city)) == [(1.0, 2.0, 2)]
 
 
 def test_table_stats(spark, tmp_path):
