@@ -7,7 +7,9 @@ they are the same for every partitioning and retry, and nearly as fast as sums o
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MILLION = 1_000_000
@@ -40,11 +42,6 @@ def mean(x: Column) -> Column:
     return ratio(F.sum(m), F.count(m))
 
 
-def avg2(x: Column) -> Column:
-    """Average rounded half up to two decimals."""
-    return round2(mean(x))
-
-
 def difference(x: Column, y: Column) -> Column:
     """``x - y`` without binary noise: 286.82 - 283.06 is 3.76."""
     return (millionths(x) - millionths(y)).cast("double") / F.lit(float(MILLION))
@@ -65,6 +62,14 @@ def round2(x: Column) -> Column:
     return F.when(plain, (F.rint(scaled) + F.lit(0.0)) / F.lit(100.0)).otherwise(F.round(x, 2))
 
 
+def rounded(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """``df`` with ``cols`` rounded, as a step of its own after the one that computes them.
+
+    The rounding mentions its input several times; on finished columns that stays small code.
+    """
+    return df.withColumns({c: round2(F.col(c)) for c in cols})
+
+
 def cell(x: Column) -> Column:
     """A coordinate as its grid cell: whole hundredths of a degree, rounded half up.
 

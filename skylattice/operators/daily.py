@@ -8,20 +8,19 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.functions.numeric import avg2, round2
+from skylattice.functions.numeric import mean, rounded
 from skylattice.operators.filters import in_dates
 from skylattice.schemas import DAY_FAMILIES, TABLES, to_table
 
 
-def _aggregates(family: str) -> list[Column]:
+def _extremes(family: str) -> list[Column]:
+    prefix, x = DAY_FAMILIES[family][1], F.col(family)
+    return [F.round(F.min(x), 2).alias(f"{prefix}Min"), F.round(F.max(x), 2).alias(f"{prefix}Max")]
+
+
+def _averages(family: str) -> dict[str, Column]:
     _, prefix, extra = DAY_FAMILIES[family]
-    x = F.col(family)
-    found = [
-        round2(F.min(x)).alias(f"{prefix}Min"),
-        round2(F.max(x)).alias(f"{prefix}Max"),
-        avg2(x).alias(f"{prefix}Avg"),
-    ]
-    return found + [avg2(F.col("FeelsLike")).alias(name) for name in extra]
+    return {f"{prefix}Avg": mean(F.col(family))} | {n: mean(F.col("FeelsLike")) for n in extra}
 
 
 def daily(
@@ -35,9 +34,13 @@ def daily(
     The five daily tables are projections of this result (:func:`day_table`); asking for one
     family alone prunes the other measures from the scan. ``start <= Date < end``.
     """
-    aggregates = [a for f in families for a in _aggregates(f)]
+    families = list(families)
+    averages = {n: a for f in families for n, a in _averages(f).items()}
     kept = weather_hour.filter(in_dates("Date", start, end))
-    return kept.groupBy("IdCity", "Date").agg(*aggregates)
+    grouped = kept.groupBy("IdCity", "Date").agg(
+        *(e for f in families for e in _extremes(f)), *(a.alias(n) for n, a in averages.items())
+    )
+    return rounded(grouped, averages)
 
 
 def day_table(wide: DataFrame, family: str) -> DataFrame:

@@ -7,11 +7,11 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.functions.numeric import avg2, cell
+from skylattice.functions.numeric import cell, mean, rounded
 from skylattice.functions.periods import aware
 from skylattice.functions.time import obs_date, obs_hour
 from skylattice.operators.filters import between_half_open
-from skylattice.schemas import TABLES, to_table
+from skylattice.schemas import HOUR_MEASURES, TABLES, to_table
 
 CELL = ["lon_c", "lat_c"]
 MODES = ("calendar", "trailing", "schedule")
@@ -43,7 +43,8 @@ def cell_averages(keyed: DataFrame, keys: list[str]) -> DataFrame:
     Averages combine on the map side, so a cell that holds much of the data sends one partial
     row per task and key.
     """
-    return keyed.groupBy(*keys).agg(*(avg2(x).alias(m) for m, x in measures().items()))
+    means = keyed.groupBy(*keys).agg(*(mean(x).alias(m) for m, x in measures().items()))
+    return rounded(means, HOUR_MEASURES)
 
 
 def city_cells(city: DataFrame) -> DataFrame:
