@@ -46,15 +46,15 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
             _raw_arguments(sub)
     land = job.add_parser("land")
     land.add_argument("--incoming", required=True)
-    _raw_arguments(land)
+    _raw_arguments(land, required=True)
     dims = job.add_parser("load-dims")
     dims.add_argument("--seed", required=True)
     dims.add_argument("--seed-format", default="json")
     return parser.parse_args(argv)
 
 
-def _raw_arguments(parser: argparse.ArgumentParser) -> None:
-    parser.add_argument("--raw", help="folder or table of raw observations")
+def _raw_arguments(parser: argparse.ArgumentParser, required: bool = False) -> None:
+    parser.add_argument("--raw", required=required, help="folder or table of raw observations")
     parser.add_argument("--raw-format", default="parquet", help="parquet, json or a connector name")
     parser.add_argument(
         "--raw-option", action="append", default=[], metavar="KEY=VALUE", help="reader option"

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from skylattice.functions.time import obs_date
 from skylattice.operators.filters import between_half_open
 from skylattice.schemas import CORRUPT, OBS_DATE, RAW, RAW_WITH_CORRUPT
+from skylattice.storage import exists
+
+STREAM_LOG = "_spark_metadata"
 
 
 def json_options(multiline: bool = False) -> dict[str, str]:
@@ -58,8 +61,11 @@ def land_raw(
 
     Nothing is lost: malformed documents land in the partition without a date. The rebalance
     writes few files per date and splits a date that is too large for one task. Use
-    ``streaming.land_stream`` where a re-run must not land a file twice.
+    ``streaming.land_stream`` where a re-run must not land a file twice; a folder takes one of
+    the two, as readers of a stream's folder see only what the stream committed.
     """
+    if exists(spark, f"{raw_path}/{STREAM_LOG}"):
+        raise ValueError(f"{raw_path} belongs to a stream")
     incoming = read_raw(spark, incoming_path, "json", multiline=multiline)
     landed = with_obs_date(incoming).hint("rebalance", OBS_DATE)
     landed.write.mode("append").partitionBy(OBS_DATE).parquet(raw_path)

@@ -17,7 +17,8 @@ from skylattice.functions.time import obs_date, obs_hour
 from skylattice.operators.conditions import CONDITION, best_condition, exploded
 from skylattice.operators.hourly import CELL, by_cell, cell_averages, to_city
 from skylattice.schemas import OBS_DATE, RAW_WITH_CORRUPT, TABLES, to_table
-from skylattice.sources.raw import json_options, with_obs_date
+from skylattice.sources.raw import STREAM_LOG, json_options, with_obs_date
+from skylattice.storage import exists
 
 
 def read_raw_stream(
@@ -33,6 +34,9 @@ def land_stream(
     spark: SparkSession, incoming_path: str, raw_path: str, checkpoint: str
 ) -> StreamingQuery:
     """Land every new JSON file exactly once, then stop; start it again for later files."""
+    begun = exists(spark, checkpoint) or exists(spark, f"{raw_path}/{STREAM_LOG}")
+    if exists(spark, raw_path) and not begun:
+        raise ValueError(f"{raw_path} holds files that no stream wrote")
     landed = with_obs_date(read_raw_stream(spark, incoming_path))
     return run_available(landed, raw_path, checkpoint, OBS_DATE)
 

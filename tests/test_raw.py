@@ -1,6 +1,7 @@
 import json
 from datetime import date, datetime
 
+import pytest
 from conftest import at, doc, plan, rows
 from pyspark.sql import functions as F
 
@@ -76,6 +77,11 @@ def test_stream_lands_each_file_once(spark, tmp_path):
         land_stream(spark, *paths).awaitTermination()
     raw = read_raw(spark, paths[1])
     assert raw.count() == 4 and raw.filter("_corrupt is not null").count() == 1
+    with pytest.raises(ValueError):
+        land_raw(spark, *paths[:2])
+    land_raw(spark, paths[0], str(tmp_path / "batch"))
+    with pytest.raises(ValueError):
+        land_stream(spark, paths[0], str(tmp_path / "batch"), str(tmp_path / "other"))
 
 
 def test_sql_over_a_registered_view(spark, raw):
