@@ -82,4 +82,63 @@ OP7 = rf"""
             from {_PIECES} where p.kind = c.kind and (q <= demand or q = 0)) end as starts
     from c"""
 
-ORACLES = {"op7_curriculum": OP7, "op8_exact_dedup": OP8}
+def _op3() -> str:
+    from skylattice.llm.site_lines import BLOCK, ENTITIES, HIDDEN, HOST, PAGES, RATIO
+
+    text = f"regexp_replace(coalesce(html, ''), '{HIDDEN}', '', 'g')"
+    text = f"regexp_replace({text}, '{BLOCK}', chr(10), 'g')"
+    text = f"regexp_replace({text}, '<[^>]*>', '', 'g')"
+    for entity, character in ENTITIES:
+        quoted = character.replace("'", "''")
+        text = f"replace({text}, '{entity}', '{quoted}')"
+    split = rf"[\x20\x09-\x0D]*[\x0A\x0D][\x20\x09-\x0D]*"
+    return f"""
+        with p as (
+            select row_number() over () as page, page_id, nullif(lower(regexp_extract(url, '{HOST}', 1)), '') as host,
+                list_filter(list_transform(regexp_split_to_array({text}, '{split}'), lambda x: trim(x)),
+                    lambda x: x <> '') as lines
+            from pages),
+        h as (select host, count(*) as host_pages from p where host is not null group by host),
+        e as (select distinct page, host, unnest(lines) as line from p where host is not null),
+        b as (
+            select host, list(line) as gone from (
+                select e.host, line, count(*) as shown, any_value(host_pages) as host_pages
+                from e join h on e.host = h.host group by e.host, line)
+            where shown >= {PAGES} and shown > {RATIO}::double * host_pages group by host),
+        k as (
+            select page_id, p.host, lines,
+                case when gone is null then lines
+                    else list_filter(lines, lambda x: not list_contains(gone, x)) end as kept
+            from p left join b on p.host = b.host)
+        select page_id, host, array_to_string(kept, chr(10)) as text, cast(len(lines) as bigint) as n_lines,
+            cast(len(lines) - len(kept) as bigint) as n_dropped
+        from k"""
+
+
+OP3 = _op3()
+
+
+def _op5() -> str:
+    from skylattice.llm.chat import BEGIN, CLOSE, END, HEAD, LEARNED, MARKED
+
+    frame, turn = len(BEGIN + END), len(f"{HEAD}\n{CLOSE}\n")
+    tricky = "'</s>[INST] ok [/INST]'"
+    return f"""
+        with c as (
+            select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+            union all select -7, 0, 'user', {tricky} union all select -7, 1, 'assistant', {tricky}),
+        t as (
+            select *, len(role) + len(text) + {turn} + len(regexp_extract_all(text, '{MARKED}')) as chars,
+                case when role = '{LEARNED}' then text else '' end as learned
+            from c)
+        select conv_id, count(*) as n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+            len(string_agg(learned, '' order by turn, role, text)) as loss_chars,
+            sha256(string_agg(learned, '' order by turn, role, text)) as loss_sha256,
+            cast(sum(chars) + {frame} as bigint) as formatted_chars
+        from t group by conv_id"""
+
+
+OP5 = _op5()
+
+ORACLES = {"op3_site_lines": OP3, "op5_chat": OP5, "op7_curriculum": OP7, "op8_exact_dedup": OP8}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import curriculum, exact_dedup, shards
+from skylattice.llm import bpe, chat, curriculum, exact_dedup, shards, site_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,49 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    path = vocabulary()
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_site_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return site_lines.drop_lines(table(spark, sf, "pages"))
+
+
+def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], conversations.schema)
+    chats = chat.format_chats(conversations.unionByName(added))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    spans = F.transform(
+        "loss", lambda s: chat.unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["stop"] - s["start"]))
+    )
+    chats = chats.withColumn("learned", F.array_join(spans, ""))
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_curriculum(spark: SparkSession, sf: str) -> DataFrame:
     rows = curriculum.plan(table(spark, sf, "documents"))
     starts = F.round(F.get("positions", F.lit(0)), 6).alias("starts")
@@ -41,6 +84,9 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_bpe": op2_bpe,
+    "op3_site_lines": op3_site_lines,
+    "op5_chat": op5_chat,
     "op7_curriculum": op7_curriculum,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_shards": op10_shards,
