@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import bpe, chat, curriculum, exact_dedup, shards, site_lines
+from skylattice.llm import bpe, chat, curriculum, exact_dedup, quality, shards, site_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,18 @@ def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    learned = quality.fit(docs, table(spark, sf, "labels"))
+    scored = quality.score(docs, *learned)
+    return scored.select(
+        "doc_id",
+        (~quality.for_learning()).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op7_curriculum(spark: SparkSession, sf: str) -> DataFrame:
     rows = curriculum.plan(table(spark, sf, "documents"))
     starts = F.round(F.get("positions", F.lit(0)), 6).alias("starts")
@@ -87,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_site_lines": op3_site_lines,
     "op5_chat": op5_chat,
+    "op6_quality": op6_quality,
     "op7_curriculum": op7_curriculum,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_shards": op10_shards,
