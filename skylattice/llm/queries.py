@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import bpe, chat, curriculum, exact_dedup, quality, shards, site_lines
+from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, quality, shards, site_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op3_site_lines(spark: SparkSession, sf: str) -> DataFrame:
     return site_lines.drop_lines(table(spark, sf, "pages"))
 
 
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    rule = ngram_join.Rule(words=4, percent=85)
+    return ngram_join.link(table(spark, sf, "documents"), rule).select("doc_id", "n_shingles", "component_id")
+
+
 def op5_chat(spark: SparkSession, sf: str) -> DataFrame:
     conversations = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
@@ -98,6 +103,7 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_site_lines": op3_site_lines,
+    "op4_ngram_join": op4_ngram_join,
     "op5_chat": op5_chat,
     "op6_quality": op6_quality,
     "op7_curriculum": op7_curriculum,
