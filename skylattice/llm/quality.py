@@ -264,5 +264,6 @@ def score(docs: DataFrame, ratio: np.ndarray, model: Model, settings: Settings =
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.3, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``least``."""
-    scored = score(docs.withColumn("__row", F.lit(0)), *fit(docs, labels, settings), settings)
-    return scored.where(F.col("score") >= least).select(*docs.columns)
+    rows = docs.select("text", F.struct("*").alias("row"))
+    scored = score(rows, *fit(docs, labels, settings), settings)
+    return scored.where(F.col("score") >= least).select("row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, quality, shards, site_lines
+from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, projections, quality, shards, site_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,8 +27,13 @@ def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = vocabulary()
     docs = table(spark, sf, "documents").select("doc_id", "text")
     coded = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
+    return digests(coded, "doc_id")
+
+
+def digests(coded: DataFrame, *keep: str) -> DataFrame:
+    """Number of ids, and digests of the ids in decimal and of the decoded text."""
     return coded.select(
-        "doc_id",
+        *keep,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -86,6 +91,10 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf, "documents"))
 
 
+def op9_projections(spark: SparkSession, sf: str) -> DataFrame:
+    return projections.near_duplicates(table(spark, sf, "embeddings"))
+
+
 def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     rows = shards.shard(table(spark, sf, "documents"))
     text = F.coalesce("text", F.lit(""))
@@ -108,5 +117,6 @@ QUERIES: dict[str, Query] = {
     "op6_quality": op6_quality,
     "op7_curriculum": op7_curriculum,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_projections": op9_projections,
     "op10_shards": op10_shards,
 }
