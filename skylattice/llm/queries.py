@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, projections, quality, shards, site_lines
+from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, projections, quality, shards, site_lines, surrogates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return surrogates.anonymise(docs, key="a key that the owner of the data keeps")
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Place of a public tokenizer's file, the same on every machine."""
     import public_tokenizers
@@ -110,6 +115,7 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_surrogates": op1_surrogates,
     "op2_bpe": op2_bpe,
     "op3_site_lines": op3_site_lines,
     "op4_ngram_join": op4_ngram_join,
