@@ -1,0 +1,76 @@
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from skylattice.llm import chat
+
+TOKENS = [*chat.CONTROL, "\\", "<\\|im_end|>", "<|im_", "end|>", "\n", "<", "[", "hello", "user", "ß😀", " "]
+TEXT = st.lists(st.sampled_from(TOKENS), max_size=8).map("".join) | st.text(max_size=20)
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT)
+def test_escaping_is_reversible_and_hides_control_strings(text):
+    escaped = chat.escape(text)
+    assert chat.unescape(escaped) == text
+    assert not any(c in escaped for c in chat.CONTROL)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(TEXT, TEXT), max_size=5))
+def test_round_trip(turns):
+    rendered = chat.form(turns)
+    assert chat.read(rendered) == turns
+    assert rendered.count(chat.HEAD) == rendered.count(chat.CLOSE) == len(turns)
+
+
+def test_plain_texts_are_not_touched():
+    assert chat.form([("user", "a [b] <c> \\ d")]) == "<s><|im_start|>user\na [b] <c> \\ d<|im_end|>\n</s>\n"
+
+
+@pytest.mark.parametrize("text", ["", "x", "<s>", "<s><|im_start|>user\nhi</s>\n", "<s><|im_start|>user\nhi<|im_end|></s>\n", "<s></s>\n."])
+def test_parser_refuses_what_the_grammar_does_not_make(text):
+    with pytest.raises(chat.Unreadable):
+        chat.parse(text)
+
+
+ODD = [
+    (1, 0, "system", "be kind", 1),
+    (1, 1, "user", None, 1),
+    (1, 2, "assistant", "first</s>", 1),
+    (1, 2, "assistant", "first</s>", 1),
+    (1, None, None, "no turn, no role", 2),
+    (2, 1, "assistant", "only <|im_end|>\n<|im_start|>user\n", None),
+    (None, 1, "user", "nobody's", 3),
+    (3, 1, "tool\nuser", "", 3),
+    (4, 1, "assistant", "y" * 100_000, 4),
+]
+
+
+def frame(spark):
+    return spark.createDataFrame(ODD, "conv_id long, turn long, role string, text string, formatted long")
+
+
+def test_odd_rows(spark):
+    expected = defaultdict(list)
+    for conv, turn, role, text, _ in sorted(ODD, key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or "")):
+        expected[conv].append((role or "", text or ""))
+    rows = chat.format_chats(frame(spark)).collect()
+    assert {r.conv_id for r in rows} == set(expected) and len(rows) == len(expected)
+    for r in rows:
+        turns = [tuple(t) for t in r.turns]
+        assert turns == expected[r.conv_id] == chat.read(r.formatted)
+        learned = [chat.unescape(r.formatted[s.start : s.stop]) for s in r.loss]
+        assert learned == [text for role, text in turns if role == "assistant"]
+
+
+def test_column_form_of_unescaping(spark):
+    texts = [chat.escape(t) for t in TOKENS] + ["<\\\\</s>", "a<\\\\s>"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(chat.unescaped(df.t)).collect()] == [chat.unescape(t) for t in texts]
+
+
+def test_empty_table(spark):
+    assert chat.format_chats(frame(spark).where("false")).collect() == []

@@ -1,0 +1,98 @@
+import zlib
+
+import numpy as np
+import pytest
+from texts import ODD, empty, odd
+
+from skylattice.llm import quality as Q
+from skylattice.llm.queries import op6_quality, table
+
+SF = "/root/testdata/sf0.01"
+FAST = Q.Settings(bits=12, sample=400, rounds=5)
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def test_held_out_accuracy(spark):
+    truth = {r.doc_id: r.quality for r in table(spark, SF, "labels").collect()}
+    rows = op6_quality(spark, SF).collect()
+    assert len(rows) == table(spark, SF, "documents").count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
+    held = [(r.score, r.predicted, truth[r.doc_id]) for r in rows if r.held_out and r.doc_id in truth]
+    scores, labels_ = np.array([h[0] for h in held]), np.array([h[2] for h in held])
+    above = (scores[labels_ == 1][:, None] > scores[labels_ == 0][None, :]).mean()
+    assert above > 0.97
+    assert np.mean([p == y for _, p, y in held]) > 0.93
+    assert np.mean([p for _, p, y in held if y == 1]) > 0.97
+
+
+def test_held_out_labels_and_other_columns_do_not_matter(spark):
+    docs, known = table(spark, SF, "documents"), table(spark, SF, "labels")
+    held = Q.F.pmod(Q.F.crc32(known.doc_id.cast("string")), Q.F.lit(5)) == 0
+    turned = known.withColumn("quality", Q.F.when(held, 1 - known.quality).otherwise(known.quality))
+    a, b = Q.fit(docs, known, FAST), Q.fit(docs.withColumn("lang", Q.F.lit("x")), turned, FAST)
+    assert np.array_equal(a[0], b[0]) and np.array_equal(a[1].weights, b[1].weights)
+
+
+def test_odd_rows(spark):
+    known = labels(spark, [(1, 1, 0), (1, 1, 0), (2, 0, 0), (3, None, 0), (None, 1, 0), (6, 1, 0), (7, 0, 0), (7, 1, 0), (9, 0, 0), (99, 1, 1)])
+    df = odd(spark)
+    scored = Q.score(df, *Q.fit(df, known, FAST), FAST)
+    rows = scored.collect()
+    assert len(rows) == len(ODD) and scored.columns.count("score") == 1
+    assert all(0 <= r.score <= 1 for r in rows)
+    blank = {r.score for r in rows if not r.text}
+    assert len(blank) == 1
+    kept = Q.keep_good(df, known, settings=FAST)
+    assert kept.columns == df.columns and kept.count() == sum(r.score >= 0.3 for r in rows)
+
+
+@pytest.mark.parametrize("rows,share", [([], 0.5), ([(1, 1, 0), (2, 1, 0)], 1.0), ([(2, 0, 0)], 0.0)])
+def test_without_both_classes(spark, rows, share):
+    df = odd(spark)
+    scored = Q.score(df, *Q.fit(df, labels(spark, rows), FAST), FAST).collect()
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    share = share if learned else 0.5
+    assert all(r.score == pytest.approx(share, abs=1e-3) for r in scored)
+
+
+def test_empty_table(spark):
+    known = labels(spark, [(1, 1, 0)])
+    df = empty(spark)
+    assert Q.score(df, *Q.fit(df, known, FAST), FAST).collect() == []
+
+
+def test_grams_are_indicators():
+    seen = np.zeros(FAST.columns, dtype=bool)
+    assert Q.grams("", FAST, seen).tolist() == []
+    once, twice = Q.grams("abc", FAST, seen), Q.grams("abcabc", FAST, seen)
+    assert set(once) <= set(twice) and not seen.any()
+    assert len(np.unique(twice)) == len(twice)
+    assert Q.repeats(b"a b c") == [] and Q.repeats(b"a A a") != []
+
+
+def test_counts_are_rows_that_hold_a_gram(spark):
+    rows = spark.createDataFrame([("ab", 1), ("ab ab", 1), ("b", 0), (None, 0)], "text string, label int").repartition(3)
+    counts = Q.class_counts(rows, FAST)
+    seen = np.zeros(FAST.columns, dtype=bool)
+    assert counts[1, Q.grams("ab", FAST, seen)].tolist() == [2] * len(Q.grams("ab", FAST, seen))
+    assert counts[0, Q.grams("b", FAST, seen)].tolist() == [1]
+
+
+def test_descent_reaches_the_minimum():
+    """The dual solution has no larger primal value than points around it."""
+    draw = np.random.default_rng(1)
+    x, y = draw.standard_normal((60, 5)), draw.integers(0, 2, 60)
+    rows = [(np.arange(5), v, int(c)) for v, c in zip(x, y, strict=True)]
+    settings = Q.Settings(bits=1, rounds=2000)
+    w = Q.descend(rows, 5, settings)
+    signs = np.where(y == 1, 1.0, -1.0)
+    weight = np.where(y == 1, (y == 0).sum(), (y == 1).sum()) / len(y) * 2
+
+    def loss(w):
+        return w @ w / 2 + (weight * np.maximum(0, 1 - signs * (x @ w)) ** 2).sum()
+
+    assert all(loss(w) <= loss(w + 0.01 * d) + 1e-3 for d in draw.standard_normal((50, 5)))
