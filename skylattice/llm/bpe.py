@@ -24,14 +24,15 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-#: Words and fragments that a task remembers; the tables start anew beyond it.
-REMEMBERED = 300_000
+#: Words and fragments that a task remembers; the tables start anew beyond it, and with each task.
+REMEMBERED = 100_000
 #: Bytes of text in one batch of results.
 OUT_BYTES = 2 << 20
 #: The longest stretch without blanks that is remembered as such.
@@ -72,7 +73,7 @@ class Codec:
         self.end = model["end_of_word_suffix"] or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.final = self.tokenizer.model
-        self.inner = BPE(vocab=model["vocab"], merges=merges)
+        self.inner = BPE(vocab=model["vocab"], merges=merges, cache_capacity=0)
         self.letters = byte_letters()
         self.tokens = {i: t for t, i in model["vocab"].items()}
         self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
@@ -142,6 +143,12 @@ class Codec:
         parts.append(self._text(text[at:]))
         return b"".join(parts)
 
+    def forget(self) -> None:
+        """Empty the tables: a worker lives longer than its task."""
+        for table in (self.stretches, self.words, self.mapped, self.fragments):
+            table.clear()
+        pa.default_memory_pool().release_unused()
+
     def decode(self, ids: list[int]) -> str:
         """The library's text of the ids: this vocabulary has no decoder, so tokens and blanks."""
         return " ".join(map(self.names.__getitem__, ids))
@@ -176,13 +183,14 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            for a, b in _slices([len(t or "") for t in texts]):
-                ids = [coder.encode(t or "") for t in texts[a:b]]
+            texts = batch.column(batch.schema.get_field_index(text))
+            for a, b in _slices(pc.binary_length(texts).fill_null(0).to_pylist()):
+                ids = [coder.encode(t or "") for t in texts.slice(a, b - a).to_pylist()]
                 ends = np.cumsum([0, *[len(x) // 4 for x in ids]], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
                 kept = [batch.column(batch.schema.get_field_index(n)).slice(a, b - a) for n in names]
                 yield pa.record_batch([*kept, pa.ListArray.from_arrays(pa.array(ends), values)], schema.names)
+        coder.forget()
 
     return docs.mapInArrow(task, schema)
 

@@ -120,9 +120,11 @@ def class_counts(rows: DataFrame, settings: Settings) -> np.ndarray:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, settings.columns), dtype=np.int64)
         seen = np.zeros(settings.columns, dtype=bool)
-        for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts[label, grams(text or "", settings, seen)] += 1
+        for whole in batches:
+            for start in range(0, whole.num_rows, OUT_ROWS):
+                texts, labels = (c.to_pylist() for c in whole.slice(start, OUT_ROWS).columns)
+                for text, label in zip(texts, labels, strict=True):
+                    counts[label, grams(text or "", settings, seen)] += 1
         parts = [counts[:, i : i + CHUNK] for i in range(0, counts.shape[1], CHUNK)]
         used = [i for i, p in enumerate(parts) if p.any()]
         yield pa.record_batch([pa.array(used, pa.int32()), pa.array([parts[i].tobytes() for i in used], pa.binary())], ["chunk", "counts"])
