@@ -13,12 +13,14 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from skylattice.functions.periods import date_period
-from skylattice.operators.health import append_health, table_stats
+from skylattice.operators.health import all_stats, append_health
 from skylattice.plans import jobs
 from skylattice.schemas import TABLES
 from skylattice.session import build
-from skylattice.sources.raw import land_raw, read_raw
+from skylattice.sources.raw import read_raw
 from skylattice.sources.tables import FileStore, JdbcStore, seed_cities
+from skylattice.storage import exists
+from skylattice.streaming.observations import land_stream
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -30,11 +32,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tz", default="UTC", help="zone of dates and hours")
     parser.add_argument("--master", help="Spark master, for a run outside spark-submit")
     job = parser.add_subparsers(dest="job", required=True)
-    for name in ("hourly", "daily", "condition", "condition-backfill", "monthly", "health"):
+    for name in ("hourly", "daily", "condition", "condition-backfill", "monthly", "weekly", "quality", "health"):
         sub = job.add_parser(name)
         sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
-        if name in ("hourly", "condition", "condition-backfill"):
+        if name in ("hourly", "condition", "condition-backfill", "quality"):
             _raw_arguments(sub)
+        if name == "quality":
+            sub.add_argument("--reports", required=True, help="folder of the reports")
         if name == "health":
             sub.add_argument("--raw-path", help="landed raw observations, reported as a table too")
     for name in ("hourly-backfill", "daily-backfill"):
@@ -46,15 +50,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
             _raw_arguments(sub)
     land = job.add_parser("land")
     land.add_argument("--incoming", required=True)
-    _raw_arguments(land, required=True)
+    land.add_argument("--raw", required=True, help="folder of raw observations")
+    land.add_argument("--checkpoint", help="folder that says which files have landed; by default beside --raw")
+    land.add_argument("--multiline", action="store_true", help="each file is one document")
     dims = job.add_parser("load-dims")
     dims.add_argument("--seed", required=True)
     dims.add_argument("--seed-format", default="json")
     return parser.parse_args(argv)
 
 
-def _raw_arguments(parser: argparse.ArgumentParser, required: bool = False) -> None:
-    parser.add_argument("--raw", required=required, help="folder or table of raw observations")
+def _raw_arguments(parser: argparse.ArgumentParser) -> None:
+    parser.add_argument("--raw", help="folder or table of raw observations")
     parser.add_argument("--raw-format", default="parquet", help="parquet, json or a connector name")
     parser.add_argument(
         "--raw-option", action="append", default=[], metavar="KEY=VALUE", help="reader option"
@@ -97,15 +103,20 @@ def main(argv: list[str] | None = None) -> None:
         jobs.condition_backfill(raw, store, args.as_of, **mode)
     elif args.job == "monthly":
         jobs.monthly_job(store, args.as_of, **mode)
+    elif args.job == "weekly":
+        jobs.weekly_job(store, args.as_of, **mode)
+    elif args.job == "quality":
+        jobs.quality_job(raw, store, args.reports, args.as_of)
     elif args.job == "land":
-        land_raw(spark, args.incoming, args.raw)
+        checkpoint = args.checkpoint or f"{args.raw.rstrip('/')}-landed"
+        land_stream(spark, args.incoming, args.raw, checkpoint, args.multiline).awaitTermination()
     elif args.job == "load-dims":
         jobs.load_dims(seed_cities(spark, args.seed, args.seed_format), store)
     elif args.job == "health":
-        written = {n: store.path(n) for n in TABLES if not store.read(n).isEmpty()}
+        written = {n: store.path(n) for n in TABLES if exists(spark, store.path(n))}
         if args.raw_path:
             written["raw"] = args.raw_path
-        append_health(table_stats(spark, written), args.as_of, f"{args.root}/health")
+        append_health(all_stats(spark, written, TABLES), args.as_of, f"{args.root}/health")
 
 
 if __name__ == "__main__":

@@ -1,8 +1,10 @@
 """Exact averages, two-decimal rounding and the grid-cell key.
 
 Sums of doubles depend on the order in which partitions arrive, and an average that lies on a
-rounding tie then flips between runs. Sums here run over whole millionths in BIGINT instead:
-they are the same for every partitioning and retry, and nearly as fast as sums of doubles.
+rounding tie then flips between runs. Sums here run over whole numbers in BIGINT instead: they
+are the same for every partitioning and retry, and nearly as fast as sums of doubles. A reading is
+split into high and low millionths and, below 1000, the millionths of a millionth that are left;
+no part can overflow in a group of two billion readings, with or without ANSI mode.
 """
 
 from __future__ import annotations
@@ -15,31 +17,63 @@ from pyspark.sql import functions as F
 MILLION = 1_000_000
 
 
+#: Readings from this magnitude on are no measurements: they count as missing, and
+#: ``quality.unusable`` reports them.
+LIMIT = 9e12
+#: Below this magnitude a reading keeps twelve decimals, above it six.
+FINE = 1000.0
+_HALF = 1 << 32
+
+
+def usable(x: Column) -> Column:
+    """Whether ``x`` is a measurement: neither null, NaN, infinite nor beyond the limit."""
+    return F.coalesce(F.abs(x) < F.lit(LIMIT), F.lit(False))
+
+
 def finite(x: Column) -> Column:
-    """``x``, or null where it is NaN or infinite (neither is a measurement)."""
-    return F.when(F.abs(x) < F.lit(float("inf")), x)
+    """``x``, or null where it is no measurement."""
+    return F.when(F.abs(x) < F.lit(LIMIT), x)
 
 
 def millionths(x: Column) -> Column:
-    """A finite double as a whole number of millionths.
-
-    A group may sum to 9.2e12 units; beyond that ANSI mode raises.
-    """
+    """A measurement as a whole number of millionths."""
     return F.rint(finite(x) * F.lit(float(MILLION))).cast("bigint")
 
 
-def ratio(total: Column, count: Column) -> Column:
-    """``total`` millionths over ``count`` in units, null for a count of zero.
+def parts(x: Column) -> dict[str, Column]:
+    """What to sum of a reading: high and low millionths, the rest; and the reading to count."""
+    whole = millionths(x)
+    rest = F.rint((x * F.lit(float(MILLION)) - F.rint(x * F.lit(float(MILLION)))) * F.lit(float(MILLION)))
+    return {
+        "high": F.shiftright(whole, 32),
+        "low": whole.bitwiseAND(F.lit(_HALF - 1)),
+        "rest": F.when(F.abs(x) < F.lit(FINE), rest.cast("bigint")),
+        "count": whole,
+    }
+
+
+def combined(high: Column, low: Column, rest: Column, count: Column) -> Column:
+    """The average of the summed parts.
 
     One division of two whole numbers, so the double is the one nearest to the exact value.
     """
+    total = high.cast("decimal(20,0)") * F.lit(_HALF).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    fine = total.cast("decimal(30,0)") * F.lit(MILLION).cast("decimal(7,0)") + rest.cast("decimal(20,0)")
+    n = count.cast("double")
+    return F.when(
+        F.coalesce(rest, F.lit(0)) == 0, F.try_divide(total.cast("double"), n * F.lit(float(MILLION)))
+    ).otherwise(F.try_divide(fine.cast("double"), n * F.lit(float(MILLION)) * F.lit(float(MILLION))))
+
+
+def ratio(total: Column, count: Column) -> Column:
+    """``total`` millionths over ``count`` in units, null for a count of zero."""
     return F.try_divide(total.cast("double"), count.cast("double") * F.lit(float(MILLION)))
 
 
 def mean(x: Column) -> Column:
-    """Unrounded average."""
-    m = millionths(x)
-    return ratio(F.sum(m), F.count(m))
+    """Unrounded average of the measurements, null without any."""
+    p = parts(x)
+    return combined(F.sum(p["high"]), F.sum(p["low"]), F.sum(p["rest"]), F.count(p["count"]))
 
 
 def difference(x: Column, y: Column) -> Column:

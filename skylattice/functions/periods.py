@@ -14,21 +14,24 @@ from zoneinfo import ZoneInfo
 
 @dataclass(frozen=True)
 class Period:
-    """Half-open span of instants with its epoch seconds and calendar dates."""
+    """Half-open span of instants with its epoch seconds and calendar dates.
 
-    start: datetime
+    ``start`` is None for everything before ``end``.
+    """
+
+    start: datetime | None
     end: datetime
 
     @property
-    def epochs(self) -> tuple[int, int]:
+    def epochs(self) -> tuple[int | None, int]:
         """Whole epoch seconds ``(a, b)``: ``a <= dt < b`` selects the period."""
-        return epoch(self.start), epoch(self.end)
+        return None if self.start is None else epoch(self.start), epoch(self.end)
 
     @property
-    def dates(self) -> tuple[date, date]:
+    def dates(self) -> tuple[date | None, date]:
         """First date and the date after the last one."""
         last = self.end - timedelta(microseconds=1)
-        return self.start.date(), last.date() + timedelta(days=1)
+        return None if self.start is None else self.start.date(), last.date() + timedelta(days=1)
 
 
 def aware(moment: datetime, tz: str = "UTC") -> datetime:
@@ -85,5 +88,5 @@ def period(kind: str, as_of: datetime, tz: str = "UTC") -> Period:
         iso = yesterday.isocalendar()
         return week_period(iso.year, iso.week, tz)
     if kind == "history":
-        return Period(_midnight(date(1970, 1, 1), tz), _midnight(now.date(), tz))
+        return Period(None, _midnight(now.date(), tz))
     raise ValueError(f"unknown period kind {kind!r}")

@@ -8,9 +8,19 @@ from pyspark.sql import functions as F
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
+#: Epoch seconds of the years 1 to 9999, less a day at both ends for time zones.
+FIRST_SECOND, LAST_SECOND = -62_135_510_400, 253_402_214_400
+
+
+def timely(dt: Column) -> Column:
+    """Whether epoch seconds fall into the calendar."""
+    return F.coalesce(dt.between(FIRST_SECOND, LAST_SECOND), F.lit(False))
+
+
 def obs_time(dt: Column, tz: str = "UTC") -> Column:
-    """Epoch seconds as the local wall-clock TIMESTAMP_NTZ of ``tz``."""
-    utc = F.timestamp_add("SECOND", dt.cast("bigint"), F.expr(EPOCH))
+    """Epoch seconds as the local wall-clock TIMESTAMP_NTZ of ``tz``; null outside the calendar."""
+    inside = F.when(timely(dt), dt.cast("bigint"))
+    utc = F.timestamp_add("SECOND", inside, F.expr(EPOCH))
     return utc if tz == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(tz), utc)
 
 

@@ -22,7 +22,7 @@ def convert_unit(x: Column, source: str, target: str) -> Column:
         numerator, addend, denominator = CONVERSIONS[source, target]
     except KeyError:
         raise ValueError(f"no conversion from {source!r} to {target!r}") from None
-    scaled = millionths(x) * numerator + round(addend * MILLION)
+    scaled = millionths(x).cast("decimal(20,0)") * numerator + round(addend * MILLION)
     return ratio(scaled, F.lit(denominator))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skylattice.functions.time import obs_date
+from skylattice.functions.time import obs_date, timely
 from skylattice.operators.filters import between_half_open
 from skylattice.operators.hourly import CELL, by_cell, to_city
 from skylattice.schemas import TABLES, to_table
@@ -34,7 +34,8 @@ def exploded(keyed: DataFrame, *keys: str) -> DataFrame:
 def condition_counts(raw: DataFrame, by_date: bool = True, tz: str = "UTC") -> DataFrame:
     """Observations per cell, [date,] and condition."""
     keys = ["Date"] if by_date else []
-    keyed = by_cell(raw, **{k: obs_date(F.col("dt"), tz) for k in keys})
+    timed = raw.filter(timely(F.col("dt"))) if by_date else raw
+    keyed = by_cell(timed, **{k: obs_date(F.col("dt"), tz) for k in keys})
     return exploded(keyed, *keys).groupBy(*CELL, *keys, *CONDITION).agg(F.count("*").alias("cnt"))
 
 

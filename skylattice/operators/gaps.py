@@ -23,59 +23,64 @@ def _hours(start: datetime, end: datetime) -> tuple[int, int]:
     return -(-epoch(start) // 3600), -(-epoch(end) // 3600)
 
 
-def _placed(weather_hour: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    a, b = _hours(start, end)
-    h = epoch_hour(F.col("Date"), F.col("Hour"))
-    dates = F.col("Date").between(_date_of(a), _date_of(b - 1))
-    return weather_hour.filter(dates).withColumn("_h", h).filter((F.col("_h") >= a) & (F.col("_h") < b))
+def _placed(weather_hour: DataFrame, city: DataFrame, a: int, b: int) -> DataFrame:
+    """Rows of the hours ``[a, b)`` and, for every city of the roster, one row at ``a - 1``.
+
+    The latter holds the last known value of each measure before ``a``, if there is one.
+    """
+    hour = epoch_hour(F.col("Date"), F.col("Hour"))
+    until = weather_hour.filter(F.col("Date") <= _date_of(b - 1)).withColumn("_h", hour).filter(F.col("_h") < b)
+    rows = until.filter(F.col("Date") >= _date_of(a)).filter(F.col("_h") >= a)
+    known = until.filter(F.col("_h") < a).groupBy("IdCity").agg(
+        *(F.max_by(m, F.when(F.col(m).isNotNull(), F.col("_h"))).alias(m) for m in HOUR_MEASURES)
+    )
+    roster = city.select("IdCity").distinct()
+    before = roster.join(known, "IdCity", "left").withColumn("_h", F.lit(a - 1).cast("bigint"))
+    columns = ["IdCity", "_h", *HOUR_MEASURES]
+    return rows.join(roster, "IdCity", "left_semi").select(columns).unionByName(before.select(columns))
 
 
 def _date_of(hour: int) -> Column:
     return F.date_from_unix_date(F.lit(hour // 24))
 
 
-def fill_gaps(weather_hour: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Every hour of ``[start, end)`` for each city that has a row in it.
+def fill_gaps(weather_hour: DataFrame, city: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Every hour of ``[start, end)`` for each city of the roster ``city``.
 
-    A missing hour, and a missing measure in a present hour, takes the city's last known value;
-    before the first known value it is null. ``Filled`` marks hours that had no row. Rows per
-    city are bounded by the hours of the period.
+    A missing hour, and a missing measure in a present hour, takes the city's last known value,
+    also one from before ``start``: filling two periods one after the other gives what filling
+    both at once gives. Before the first known value it is null. ``Filled`` marks hours that had no
+    row. Rows per city are bounded by the hours of the period.
     """
     a, b = _hours(start, end)
     order = Window.partitionBy("IdCity").orderBy("_h")
     known = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = _placed(weather_hour, start, end).withColumns(
+    placed = _placed(weather_hour, city, a, b).withColumns(
         {m: F.last(m, ignorenulls=True).over(known) for m in HOUR_MEASURES}
-        | {
-            "_first": F.lag("_h").over(order).isNull(),
-            "_until": F.lead("_h", 1, b).over(order),
-        }
+        | {"_until": F.lead("_h", 1, b).over(order)}
     )
-    since = F.when(F.col("_first"), F.lit(a).cast("bigint")).otherwise(F.col("_h"))
-    hours = placed.withColumn("_g", F.explode(F.sequence(since, F.col("_until") - 1)))
-    started = F.col("_g") >= F.col("_h")
+    since = F.greatest(F.col("_h"), F.lit(a).cast("bigint"))
+    none = F.array().cast("array<bigint>")
+    each = F.when(since < F.col("_until"), F.sequence(since, F.col("_until") - 1)).otherwise(none)
+    hours = placed.withColumn("_g", F.explode(each))
     seconds = F.col("_g") * 3600
     return hours.select(
         "IdCity",
         obs_date(seconds).alias("Date"),
         obs_hour(seconds).alias("Hour"),
-        *(F.when(started, F.col(m)).alias(m) for m in HOUR_MEASURES),
+        *HOUR_MEASURES,
         (F.col("_g") != F.col("_h")).alias("Filled"),
     )
 
 
-def gap_report(weather_hour: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Per city the hours present and missing in ``[start, end)`` and the longest gap."""
+def gap_report(weather_hour: DataFrame, city: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Per city of the roster the hours present and missing in ``[start, end)`` and the longest gap."""
     a, b = _hours(start, end)
     order = Window.partitionBy("IdCity").orderBy("_h")
-    gaps = _placed(weather_hour, start, end).withColumns(
-        {
-            "_before": F.col("_h") - F.lag("_h", 1, a - 1).over(order) - 1,
-            "_after": F.lead("_h", 1, b).over(order) - F.col("_h") - 1,
-        }
-    )
+    gaps = _placed(weather_hour, city, a, b).withColumn("_after", F.lead("_h", 1, b).over(order) - F.col("_h") - 1)
+    present = F.count_if(F.col("_h") >= a)
     return gaps.groupBy("IdCity").agg(
-        F.count("*").alias("HoursPresent"),
-        (F.lit(b - a) - F.count("*")).alias("HoursMissing"),
-        F.greatest(F.max("_before"), F.max("_after")).alias("LongestGap"),
+        present.alias("HoursPresent"),
+        (F.lit(b - a) - present).alias("HoursMissing"),
+        F.max("_after").alias("LongestGap"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 from functools import reduce
 
@@ -20,9 +21,34 @@ def table_stats(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet
     and no column is read.
     """
     found = reduce(DataFrame.unionByName, (_stats(spark, n, p, fmt) for n, p in tables.items()))
-    return found.withColumns(
+    return sized(found).orderBy(F.desc("size_bytes"), "table_name")
+
+
+def volume(table: DataFrame, name: str) -> DataFrame:
+    """Row count of a table and the bytes of its values written as text, whatever stores it."""
+    text = reduce(
+        lambda a, b: a + b,
+        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns),
+    )
+    return table.agg(
+        F.lit(name).alias("table_name"),
+        F.count("*").alias("row_count"),
+        F.coalesce(F.sum(text.cast("bigint")), F.lit(0)).alias("size_bytes"),
+    )
+
+
+def sized(stats: DataFrame) -> DataFrame:
+    """``stats`` with sizes in megabytes and as text."""
+    return stats.withColumns(
         {"size_mb": size_mb(F.col("size_bytes")), "size": human_size(F.col("size_bytes"))}
-    ).orderBy(F.desc("size_bytes"), "table_name")
+    )
+
+
+def all_stats(spark: SparkSession, written: dict[str, str], names: Iterable[str]) -> DataFrame:
+    """:func:`table_stats` of the paths in ``written``, and a row of zeros for every other name."""
+    absent = [(n, 0, 0) for n in names if n not in written]
+    zeros = sized(spark.createDataFrame(absent, "table_name string, row_count bigint, size_bytes bigint"))
+    return table_stats(spark, written).unionByName(zeros) if written else zeros
 
 
 def _stats(spark: SparkSession, name: str, path: str, fmt: str) -> DataFrame:

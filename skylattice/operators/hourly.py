@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skylattice.functions.numeric import cell, mean, rounded
 from skylattice.functions.periods import aware
-from skylattice.functions.time import obs_date, obs_hour
+from skylattice.functions.time import obs_date, obs_hour, timely
 from skylattice.operators.filters import between_half_open
 from skylattice.schemas import HOUR_MEASURES, TABLES, to_table
 
@@ -74,7 +74,8 @@ def hourly(
 ) -> DataFrame:
     """``weather_hour`` rows.
 
-    ``calendar`` groups by the observation's own date and hour, within ``[start, end)``.
+    ``calendar`` groups by the observation's own date and hour, within ``[start, end)``. Documents
+    without a time in the calendar belong to no hour; ``quality.unusable`` counts them.
 
     ``trailing`` is one scheduled run: everything observed since ``as_of`` minus one hour (and
     before ``end``, when given) is stamped with the date and hour of that instant.
@@ -88,7 +89,7 @@ def hourly(
         return _trailing(raw, city, as_of, end, tz)
     labelled = F.col("dt") - minute * 60 if mode == "schedule" else F.col("dt")
     keyed = by_cell(
-        between_half_open(raw, "dt", start, end), Date=obs_date(labelled, tz), Hour=obs_hour(labelled, tz)
+        between_half_open(raw, "dt", start, end).filter(timely(F.col("dt"))), Date=obs_date(labelled, tz), Hour=obs_hour(labelled, tz)
     )
     rows = to_city(cell_averages(keyed, [*CELL, "Date", "Hour"]), city)
     return to_table(rows, TABLES["weather_hour"])

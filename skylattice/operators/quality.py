@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.functions.numeric import degrees
-from skylattice.operators.hourly import CELL, by_cell, city_cells
+from skylattice.functions.numeric import degrees, usable
+from skylattice.functions.time import timely
+from skylattice.operators.hourly import CELL, by_cell, city_cells, measures
 
 
 def check_not_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
@@ -21,6 +22,27 @@ def check_not_null(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return counts.select(F.inline(pairs))
 
 
+def unusable(raw: DataFrame) -> DataFrame:
+    """Per measure the readings, those that are missing and those that are no measurement.
+
+    NaN, infinity and magnitudes beyond the limit count as missing in every average; here is
+    their number. ``dt`` counts documents without a time in the calendar.
+    """
+    given = {"dt": F.col("dt")} | measures()
+    counts = raw.agg(
+        *(
+            F.struct(
+                F.lit(name).alias("measure"),
+                F.count("*").alias("documents"),
+                F.count_if(x.isNull()).alias("missing"),
+                F.count_if(x.isNotNull() & ~(timely(x) if name == "dt" else usable(x))).alias("unusable"),
+            ).alias(name)
+            for name, x in given.items()
+        )
+    )
+    return counts.select(F.inline(F.array(*given)))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")

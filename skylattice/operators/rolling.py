@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skylattice.functions.numeric import finite, millionths, ratio
+from skylattice.functions.numeric import combined, finite, parts
 from skylattice.functions.time import epoch_hour
 
 
@@ -22,12 +22,16 @@ def rolling(daily_wide: DataFrame, cols: list[str], days: int) -> DataFrame:
         .orderBy(F.unix_date("Date"))
         .rangeBetween(-(days - 1), Window.currentRow)
     )
-    sums = {f"_s_{c}": F.sum(millionths(F.col(c))).over(frame) for c in cols}
-    counts = {f"_n_{c}": F.count(millionths(F.col(c))).over(frame) for c in cols}
-    return daily_wide.withColumns(sums | counts).select(
+    sums = {
+        f"_{name}_{c}": (F.count if name == "count" else F.sum)(part).over(frame)
+        for c in cols
+        for name, part in parts(F.col(c)).items()
+    }
+    names = ("high", "low", "rest", "count")
+    return daily_wide.withColumns(sums).select(
         "IdCity",
         "Date",
-        *(ratio(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias(f"{c}Roll") for c in cols),
+        *(combined(*(F.col(f"_{name}_{c}") for name in names)).alias(f"{c}Roll") for c in cols),
     )
 
 
@@ -46,7 +50,7 @@ def anomalies(
         .orderBy(epoch_hour(F.col("Date"), F.col("Hour")))
         .rangeBetween(-hours, -1)
     )
-    cents = F.round(finite(F.col(col)) * 100).cast("bigint")
+    cents = F.round(finite(F.col(col)) * 100).cast("decimal(18,0)")
     measured = weather_hour.select("IdCity", "Date", "Hour", F.col(col).alias("Value"), cents.alias("_x"))
     moments = measured.withColumns(
         {

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylattice.functions.numeric import mean
 from skylattice.functions.periods import date_period, period
 from skylattice.functions.units import convert
 from skylattice.operators import health, quality
@@ -20,22 +22,25 @@ from skylattice.operators.conditions import (
     modal_condition_aggregate,
 )
 from skylattice.operators.daily import daily, day_table
-from skylattice.operators.dims import insert_if_absent, lookup
+from skylattice.operators.dims import lookup
 from skylattice.operators.filters import date_range, in_dates, on_date
 from skylattice.operators.gaps import fill_gaps, gap_report
 from skylattice.operators.hourly import hourly, to_city
 from skylattice.operators.monthly import monthly, monthly_join, monthly_measure, week_dim, weekly
 from skylattice.operators.rolling import anomalies, rolling
 from skylattice.plans.jobs import load_countries, load_dims
-from skylattice.schemas import TABLES, to_table
+from skylattice.schemas import DAY_FAMILIES, RAW_LANDED, TABLES, to_table
+from skylattice.sinks.tables import WriteConflict, write_table
 from skylattice.sources import star
-from skylattice.sources.raw import land_raw, read_raw
-from skylattice.sources.tables import FileStore, register
+from skylattice.sources.raw import land_raw, read_raw, undeclared
+from skylattice.sources.tables import FileStore, register, seed_cities
 from skylattice.storage import new_dir
 from skylattice.streaming.observations import (
     condition_stream,
     hourly_stream,
+    into_table,
     land_stream,
+    read_document_stream,
     run_available,
 )
 
@@ -53,7 +58,19 @@ RULES = [
     Rule("downpour", "Rain", True, 2.0),
     Rule("low pressure", "Pressure", False, 1010.0),
 ]
-STATS_TABLES = ["customer", "documents", "events", "lineitem", "orders", "pages", "supplier"]
+STATS_TABLES = [
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels",
+    "lineitem", "nation", "orders", "pages", "part", "region", "supplier",
+]
+#: A column of whole numbers or text in each table, for volumes that any engine sees alike.
+VOLUME = {
+    "benchmark": ["item_id", "text"], "conversations": ["conv_id", "turn", "role", "text"], "customer": ["c_custkey", "c_name"],
+    "documents": ["doc_id", "text", "lang", "source"], "embeddings": ["vec_id", "label"], "events": ["event_id", "user_id", "event_type", "props"],
+    "labels": ["doc_id", "quality", "toxic"], "lineitem": ["l_orderkey", "l_linenumber"], "nation": ["n_nationkey", "n_name"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus"], "pages": ["page_id", "url", "html"], "part": ["p_partkey", "p_name"],
+    "region": ["r_regionkey", "r_name"], "supplier": ["s_suppkey", "s_name"],
+}
+GAP_FIRST, GAP_LAST = date(2024, 1, 16), date(2024, 1, 22)
 
 
 def weather_hour(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,9 +117,40 @@ def hourly_landed(spark: SparkSession, sf: str) -> DataFrame:
     documents, raw = new_dir(spark, "documents"), new_dir(spark, "raw")
     star.observations(spark, sf).write.json(documents)
     land_raw(spark, documents, raw)
-    span = date_period(FIRST, LAST)
-    landed = read_raw(spark, raw, start=span.start, end=span.end)
-    return hourly(landed, star.cities(spark, sf))
+    return hourly(read_raw(spark, raw), star.cities(spark, sf))
+
+
+def undeclared_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents with fields that no column is declared for, landed, and read from the kept text."""
+    documents, raw = new_dir(spark, "documents"), new_dir(spark, "raw")
+    seen = star.observations(spark, sf)
+    snow = F.struct(F.col("main.humidity").alias("1h"), F.lit("wet").alias("kind"))
+    seen.withColumn("snow", F.when(F.col("main.humidity") > 50, snow)).write.json(documents)
+    land_raw(spark, documents, raw)
+    landed = read_raw(spark, raw, schema=RAW_LANDED)
+    return landed.groupBy(F.col("obs_date").alias("Date")).agg(
+        F.count(undeclared(landed, "$.snow.kind")).alias("with_snow"),
+        F.sum(undeclared(landed, "$.snow['1h']").cast("double").cast("bigint")).alias("snow"),
+    )
+
+
+def unusable(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings that are no measurements: here every ninth temperature is beyond the limit."""
+    seen = star.observations(spark, sf)
+    wild = F.when(F.col("dt") % 9 == 0, F.lit(9.9e13)).otherwise(F.col("main.temp"))
+    return quality.unusable(seen.withColumn("main", F.col("main").withField("temp", wild)))
+
+
+def wide_range(spark: SparkSession, sf: str) -> DataFrame:
+    """Averages of very large, very small and ordinary numbers over one group a customer."""
+    price = F.col("o_totalprice")
+    values = star.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("key"),
+        (F.floor(price) * F.lit(1e6)).alias("large"),
+        ((F.col("o_orderkey") % 1000) * F.lit(1e-9)).alias("tiny"),
+        price.alias("plain"),
+    )
+    return values.groupBy("key").agg(*(mean(F.col(c)).alias(c) for c in ("large", "tiny", "plain")))
 
 
 def raw_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -161,9 +209,14 @@ def city_country(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def month_summary_join(spark: SparkSession, sf: str) -> DataFrame:
-    wide = daily_wide(spark, sf)
-    sides = [day_table(wide, f) for f in ("Temp", "Humidity", "Rain", "Wind")]
-    return monthly_join(*sides)
+    """From stored daily tables, as the monthly job reads them: one pass over the raw data."""
+    store = FileStore(spark, new_dir(spark, "tables"))
+    path = new_dir(spark, "days")
+    daily_wide(spark, sf).write.parquet(path)
+    wide, families = spark.read.parquet(path), ("Temp", "Humidity", "Rain", "Wind")
+    for f in families:
+        write_table(store, day_table(wide, f), DAY_FAMILIES[f][0], "append")
+    return monthly_join(*(store.read(DAY_FAMILIES[f][0]) for f in families))
 
 
 def _loaded(load: Callable[[DataFrame, FileStore], None], name: str) -> Query:
@@ -179,19 +232,53 @@ def _loaded(load: Callable[[DataFrame, FileStore], None], name: str) -> Query:
     return run
 
 
-def insert_absent(spark: SparkSession, sf: str) -> DataFrame:
-    """Days before the split are held already, with other values; the rest is added."""
-    new = day_table(daily_wide(spark, sf), "Temp")
-    held = new.filter(in_dates("Date", None, SPLIT)).withColumn("TempAvg", F.lit(-1.0))
-    return held.unionByName(insert_if_absent(new, held, ["IdCity", "Date"]))
+def seeded_city(spark: SparkSession, sf: str) -> DataFrame:
+    """A seed file as a list of places, without positions, loaded."""
+    store, listed = FileStore(spark, new_dir(spark, "dims")), new_dir(spark, "seed")
+    star.seeds(spark, sf).select("country", "city", "lat", "lon").write.json(listed)
+    load_dims(seed_cities(spark, listed), store)
+    return store.read("city")
+
+
+def _written(write: Callable[[FileStore, DataFrame, DataFrame], None]) -> Query:
+    """The temperature table after a write to one that holds placeholder values before the split."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        store = FileStore(spark, new_dir(spark, "tables"))
+        path = new_dir(spark, "days")
+        day_table(daily_wide(spark, sf), "Temp").write.parquet(path)
+        new = spark.read.schema(TABLES["temperature_day"].ddl).parquet(path)
+        held = new.filter(in_dates("Date", None, SPLIT)).withColumn("TempAvg", F.lit(-1.0))
+        write_table(store, held, "temperature_day", "append")
+        write(store, new, held)
+        return store.read("temperature_day")
+
+    return run
+
+
+def _skip(store: FileStore, new: DataFrame, held: DataFrame) -> None:
+    write_table(store, new, "temperature_day", "skip")
+
 
+def _append(store: FileStore, new: DataFrame, held: DataFrame) -> None:
+    write_table(store, new.filter(in_dates("Date", SPLIT, None)), "temperature_day", "append")
 
-def replace_period(spark: SparkSession, sf: str) -> DataFrame:
-    """A table of placeholder values whose days from the split on are replaced."""
-    new = day_table(daily_wide(spark, sf), "Temp")
-    held = new.withColumn("TempAvg", F.lit(-1.0))
+
+def _replace(store: FileStore, new: DataFrame, held: DataFrame) -> None:
+    """The period from the split on first holds days that the new rows lack; those vanish."""
     within = in_dates("Date", SPLIT, None)
-    return held.filter(~within).unionByName(new.filter(within))
+    stale = held.withColumn("Date", F.date_add("Date", 60))
+    write_table(store, stale, "temperature_day", "append")
+    write_table(store, new.filter(within), "temperature_day", "replace", within)
+
+
+def _refused(store: FileStore, new: DataFrame, held: DataFrame) -> None:
+    """A write that meets an existing key changes nothing."""
+    try:
+        write_table(store, new, "temperature_day", "error")
+    except WriteConflict:
+        return
+    raise AssertionError("the write met existing keys")
 
 
 def not_null_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -214,6 +301,16 @@ def _stats(spark: SparkSession, sf: str) -> DataFrame:
     return health.table_stats(spark, {n: f"{sf}/{n}.parquet" for n in STATS_TABLES})
 
 
+def table_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and volume of every table, in megabytes and as text, and of all together, as a snapshot."""
+    tables = (health.volume(spark.read.parquet(f"{sf}/{n}.parquet").select(VOLUME[n]), n) for n in STATS_TABLES)
+    stats = reduce(DataFrame.unionByName, tables)
+    both = stats.unionByName(
+        stats.agg(F.lit("all").alias("table_name"), F.sum("row_count").alias("row_count"), F.sum("size_bytes").alias("size_bytes"))
+    )
+    return health.health_snapshot(health.sized(both), AS_OF)
+
+
 def stats_trend(spark: SparkSession, sf: str) -> DataFrame:
     """Daily volume per event type as a history of table sizes."""
     history = (
@@ -232,13 +329,13 @@ def units(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gap_fill(spark: SparkSession, sf: str) -> DataFrame:
-    span = date_period(FIRST, LAST)
-    return fill_gaps(weather_hour(spark, sf), span.start, span.end)
+    span = date_period(GAP_FIRST, GAP_LAST)
+    return fill_gaps(weather_hour(spark, sf), star.cities(spark, sf), span.start, span.end)
 
 
 def gaps(spark: SparkSession, sf: str) -> DataFrame:
     span = date_period(FIRST, LAST)
-    return gap_report(weather_hour(spark, sf), span.start, span.end)
+    return gap_report(weather_hour(spark, sf), star.cities(spark, sf), span.start, span.end)
 
 
 def sql_surface(spark: SparkSession, sf: str) -> DataFrame:
@@ -264,12 +361,26 @@ def _streamed(build: Callable[[DataFrame, DataFrame], DataFrame], name: str) ->
     return run
 
 
+def table_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as lines of text, streamed into the hourly table and read from the store."""
+    documents, state = new_dir(spark, "documents"), new_dir(spark, "state")
+    store = FileStore(spark, new_dir(spark, "tables"))
+    star.observations(spark, sf).write.json(documents)
+    rows = hourly_stream(read_document_stream(spark, documents), star.cities(spark, sf))
+    into_table(rows, store, "weather_hour", state).awaitTermination()
+    return store.read("weather_hour")
+
+
 QUERIES: dict[str, Query] = {
     "hourly_calendar": weather_hour,
     "hourly_trailing": hourly_trailing,
     "hourly_schedule": hourly_schedule,
     "hourly_landed": hourly_landed,
     "raw_stream": raw_stream,
+    "undeclared_fields": undeclared_fields,
+    "unusable": unusable,
+    "wide_range": wide_range,
+    "table_sizes": table_sizes,
     "temperature_day": _family("Temp"),
     "wind_day": _family("Wind"),
     "humidity_day": _family("Humidity"),
@@ -293,8 +404,11 @@ QUERIES: dict[str, Query] = {
     "week_dim": lambda spark, sf: week_dim(orders_as_hours(spark, sf)),
     "load_country": _loaded(load_countries, "country"),
     "load_city": _loaded(load_dims, "city"),
-    "insert_if_absent": insert_absent,
-    "replace_period": replace_period,
+    "seeded_city": seeded_city,
+    "insert_if_absent": _written(_skip),
+    "append_rows": _written(_append),
+    "replace_period": _written(_replace),
+    "refused_write": _written(_refused),
     "unmatched_cells": lambda spark, sf: quality.unmatched_cells(
         star.observations(spark, sf), star.cities(spark, sf)
     ),
@@ -313,6 +427,7 @@ QUERIES: dict[str, Query] = {
     "alerts": lambda spark, sf: alerts(weather_hour(spark, sf), RULES),
     "anomalies": lambda spark, sf: anomalies(weather_hour(spark, sf), "Temp", 168, 2.0),
     "sql_surface": sql_surface,
+    "table_stream": table_stream,
     "hourly_stream": _streamed(hourly_stream, "weather_hour"),
     "condition_stream": _streamed(condition_stream, "weather_condition_day"),
 }

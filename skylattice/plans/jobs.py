@@ -7,6 +7,7 @@ is a ``FileStore`` or ``JdbcStore``; ``replace`` needs the former.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +23,10 @@ from skylattice.operators.dims import (
 )
 from skylattice.operators.filters import in_dates
 from skylattice.operators.hourly import hourly
-from skylattice.operators.monthly import monthly, monthly_join, weekly
-from skylattice.schemas import DAY_FAMILIES
+from skylattice.operators import quality
+from skylattice.operators.health import health_snapshot
+from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
+from skylattice.schemas import DAY_FAMILIES, TABLES
 from skylattice.sinks.tables import write_table
 from skylattice.sources.tables import FileStore, JdbcStore
 from skylattice.storage import staged
@@ -104,6 +107,44 @@ def monthly_job(store: Store, as_of: datetime, on_conflict: str = "error", tz: s
     write_table(store, rows, "AVG_month", on_conflict, within)
 
 
+def weekly_job(store: Store, as_of: datetime, on_conflict: str = "error", tz: str = "UTC") -> None:
+    """``AVGWeek`` for the ISO week of yesterday and its ``Week`` row, from hourly rows."""
+    span = period("week", as_of, tz)
+    start, end = span.dates
+    iso = start.isocalendar()
+    with staged(daily(store.read("weather_hour"), start=start, end=end)) as wide:
+        within = (F.col("Year") == iso.year) & (F.col("NumWeek") == iso.week)
+        write_table(store, weekly(wide, iso.year, iso.week), "AVGWeek", on_conflict, within)
+        kept = "append" if on_conflict == "append" else "skip"
+        write_table(store, week_dim(wide), "Week", kept)
+
+
+def quality_job(raw: DataFrame, store: Store, target: str, as_of: datetime) -> None:
+    """Append the quality reports to folders under ``target``, marked with ``as_of``.
+
+    ``unmatched``: cells whose observations no city receives; ``ambiguous``: cells of several
+    cities; ``unusable``: readings that count as missing; ``orphans``: hourly rows per city
+    that the city table lacks; ``duplicates``: keys that occur twice, by table.
+    """
+    city, hours = store.read("city"), store.held("weather_hour")
+    lost = quality.orphans(hours, city, "IdCity").groupBy("IdCity").agg(F.count("*").alias("rows"))
+    twice = [
+        quality.duplicate_keys(store.held(name), list(TABLES[name].keys)).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("keys")
+        )
+        for name in TABLES
+    ]
+    reports = {
+        "unmatched": quality.unmatched_cells(raw, city),
+        "ambiguous": quality.ambiguous_cells(city),
+        "unusable": quality.unusable(raw),
+        "orphans": lost,
+        "duplicates": reduce(DataFrame.unionByName, twice),
+    }
+    for name, report in reports.items():
+        health_snapshot(report, as_of).write.mode("append").parquet(f"{target}/{name}")
+
+
 def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Monthly and weekly summaries straight from hourly rows, without stored daily tables."""
     wide = daily(weather_hour)
@@ -112,17 +153,17 @@ def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]
 
 def load_countries(seed: DataFrame, store: Store) -> None:
     """Add the countries of ``seed`` that the store lacks."""
-    held = store.read("country")
-    with staged(absent_countries(seed, held)) as absent:
-        write_table(store, number_countries(absent, held), "country", "skip", stored=True)
+    held = store.held("country")
+    with staged(absent_countries(seed, held)) as absent, staged(number_countries(absent, held)) as rows:
+        write_table(store, rows, "country", "error", stored=True)
 
 
 def load_dims(seed: DataFrame, store: Store) -> None:
     """Add the countries and cities of ``seed`` that the store lacks."""
     load_countries(seed, store)
-    held = store.read("city")
-    with staged(absent_cities(seed, store.read("country"), held)) as absent:
-        write_table(store, number_cities(absent, held), "city", "skip", stored=True)
+    held = store.held("city")
+    with staged(absent_cities(seed, store.read("country"), held)) as absent, staged(number_cities(absent, held)) as rows:
+        write_table(store, rows, "city", "error", stored=True)
 
 
 def _range(first: date | None, last: date | None, tz: str) -> Period | None:

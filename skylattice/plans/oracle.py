@@ -6,11 +6,14 @@ from skylattice.plans.catalog import (
     AS_OF,
     DAY,
     FIRST,
+    GAP_FIRST,
+    GAP_LAST,
     LAST,
     ROLLING,
     RULES,
     SPLIT,
     STATS_TABLES,
+    VOLUME,
 )
 from skylattice.schemas import DAY_FAMILIES, HOUR_MEASURES
 
@@ -24,7 +27,12 @@ def _dec(x: str) -> str:
 
 
 def _mean(x: str) -> str:
-    return f"cast(cast(sum({_dec(x)}) * 1000000 as hugeint) as double) / (count({x}) * 1e6)"
+    """Twelve decimals are summed; the sum is brought to whole millionths for one exact division."""
+    return f"cast(cast(round(sum(cast({x} as decimal(38,12))), 6) * 1000000 as hugeint) as double) / (count({x}) * 1e6)"
+
+
+def _fine_mean(x: str) -> str:
+    return f"cast(cast(sum(cast({x} as decimal(38,12))) * 1000000000000 as hugeint) as double) / (count({x}) * 1e12)"
 
 
 def _avg2(x: str) -> str:
@@ -144,9 +152,10 @@ hours as (select *, datediff('day', date '1970-01-01', Date) * 24 + Hour as h fr
 closed as (select max(dt) - 900 as mark from obs)
 """
 
+_GAP_BEGIN, _GAP_END = (GAP_FIRST.toordinal() - 719163) * 24, (GAP_LAST.toordinal() - 719162) * 24
 _GRID = f"""
-    select IdCity, g as h from (select distinct IdCity from hours),
-        range({(FIRST.toordinal() - 719163) * 24}, {(LAST.toordinal() - 719162) * 24}) t(g)"""
+    select city.IdCity, t.g as h from city, range({_GAP_BEGIN}, {_GAP_END}) t(g)
+    union select IdCity, h from hours where h < {_GAP_BEGIN}"""
 _SPAN = (LAST.toordinal() - FIRST.toordinal() + 1) * 24
 _BEGIN = (FIRST.toordinal() - 719163) * 24
 _LOCF = ", ".join(
@@ -177,6 +186,12 @@ _MOMENTS = """
     from (select *, cast(round(Temp * 100) as hugeint) as x from hours)
     window w as (partition by IdCity order by h range between 168 preceding and 1 preceding)"""
 
+_VOLUMES = " union all ".join(
+    f"select '{n}' as table_name, count(*) as n, sum("
+    + " + ".join(f"coalesce(strlen(cast({c} as varchar)), 0)" for c in VOLUME[n])
+    + f") as b from {n}"
+    for n in STATS_TABLES
+)
 _SELECT = {
     "hourly_calendar": "select * from wh",
     "hourly_landed": "select * from wh",
@@ -226,6 +241,35 @@ _SELECT = {
         from oh)""",
     "load_country": "select * from country_load",
     "load_city": "select * from city_load",
+    "seeded_city": """
+        select row_number() over (order by country, city) as IdCity, city as CityName, IdCountry, lon as Lon, lat as Lat
+        from (select * from seed qualify row_number() over (partition by country, city order by lat, lon) = 1)
+        join (select country as name, cast(row_number() over (order by country) as int) as IdCountry
+            from (select distinct country from seed)) on country = name""",
+    "append_rows": f"""select IdCity, Date, TempMin, TempMax,
+        case when Date < date '{SPLIT}' then -1.0 else TempAvg end as TempAvg, AvgFeelsLike from day""",
+    "refused_write": f"""select IdCity, Date, TempMin, TempMax, cast(-1.0 as double) as TempAvg, AvgFeelsLike
+        from day where Date < date '{SPLIT}'""",
+    "undeclared_fields": """select Date, count(*) filter (k > 50) as with_snow,
+        cast(sum(k) filter (k > 50) as bigint) as snow from obs group by 1""",
+    "unusable": """select measure, count(*) as documents, count(*) filter (x is null) as missing,
+            count(*) filter (abs(x) >= 9e12) as unusable
+        from (select unnest(['dt', 'Temp', 'FeelsLike', 'Clouds', 'Rain', 'Wind', 'Pressure', 'Humidity']) as measure,
+            unnest([0, case when dt % 9 = 0 then 9.9e13 else Temp end, FeelsLike, Clouds, Rain, Wind, Pressure, Humidity]) as x
+            from obs) group by 1""",
+    "wide_range": f"""select key, {_mean("large")} as large, {_fine_mean("tiny")} as tiny, {_mean("plain")} as plain
+        from (select o_custkey as key, floor(o_totalprice) * 1e6 as large,
+            (o_orderkey % 1000) * cast(1e-9 as double) as tiny, o_totalprice as plain from orders)
+        group by 1""",
+    "table_sizes": f"""select *, round(size_bytes / 1048576, 2) as size_mb,
+            case when size_bytes >= 10 * 1024 ** 3 then cast(cast(round(size_bytes / 1024 ** 3) as bigint) as varchar) || ' GB'
+                when size_bytes >= 10 * 1024 ** 2 then cast(cast(round(size_bytes / 1024 ** 2) as bigint) as varchar) || ' MB'
+                when size_bytes >= 10240 then cast(cast(round(size_bytes / 1024) as bigint) as varchar) || ' kB'
+                else cast(size_bytes as varchar) || ' bytes' end as size,
+            timestamp '{AS_OF}' as as_of
+        from (select coalesce(table_name, 'all') as table_name, cast(sum(n) as bigint) as row_count,
+                cast(sum(b) as bigint) as size_bytes
+            from ({_VOLUMES}) group by rollup (table_name))""",
     "insert_if_absent": f"""select IdCity, Date, TempMin, TempMax,
         case when Date < date '{SPLIT}' then -1.0 else TempAvg end as TempAvg, AvgFeelsLike from day""",
     "replace_period": f"""select IdCity, Date, TempMin, TempMax,
@@ -257,14 +301,15 @@ _SELECT = {
         cast({_dec("Temp")} - 273.15 as double) as TempC,
         cast(({_dec("Temp")} - 273.15) * 1.8 + 32 as double) as TempF,
         cast({_dec("Wind")} * 3.6 as double) as WindKmh from wh""",
-    "gap_fill": f"""select g.IdCity, cast(date '1970-01-01' + cast(g.h // 24 as int) as date) as Date,
+    "gap_fill": f"""select * exclude (h) from (select g.h, g.IdCity, cast(date '1970-01-01' + cast(g.h // 24 as int) as date) as Date,
             cast(g.h % 24 as int) as Hour, {_LOCF}, hours.h is null as Filled
-        from ({_GRID}) g left join hours on g.IdCity = hours.IdCity and g.h = hours.h""",
-    "gap_report": f"""select IdCity, count(*) as HoursPresent, {_SPAN} - count(*) as HoursMissing,
-            greatest(max(h - before - 1), max(after - h - 1)) as LongestGap
-        from (select IdCity, h, lag(h, 1, {_BEGIN - 1}) over w as before,
-                lead(h, 1, {_BEGIN + _SPAN}) over w as after
-            from hours window w as (partition by IdCity order by h)) group by 1""",
+        from ({_GRID}) g left join hours on g.IdCity = hours.IdCity and g.h = hours.h)
+        where h >= {_GAP_BEGIN}""",
+    "gap_report": f"""select IdCity, count(*) filter (h >= {_BEGIN}) as HoursPresent,
+            {_SPAN} - count(*) filter (h >= {_BEGIN}) as HoursMissing, max(after - h - 1) as LongestGap
+        from (select IdCity, h, lead(h, 1, {_BEGIN + _SPAN}) over (partition by IdCity order by h) as after
+            from (select IdCity, h from hours where h >= {_BEGIN} and h < {_BEGIN + _SPAN}
+                union all select IdCity, {_BEGIN - 1} from city)) group by 1""",
     "alerts": f"""select IdCity, cast(Date as timestamp) + to_hours(Hour) as Timestamp,
             case {_ALERT} end as AlertType, concat_ws('; ', {_DETAIL}) as Details
         from wh where {" or ".join(_FIRES)}""",
@@ -277,6 +322,8 @@ _SELECT = {
         from (select event_type as WeatherMain, Temp, Rain from obs where k % 10 <> 0
             union all select 'mist', Temp, Rain from obs where k % 10 <> 0 and event_type = 'error')
         group by 1""",
+    "table_stream": """select * exclude (mark) from wh, closed
+        where epoch(cast(Date as timestamp)) + (Hour + 1) * 3600 <= mark""",
     "hourly_stream": """select * exclude (mark) from wh, closed
         where epoch(cast(Date as timestamp)) + (Hour + 1) * 3600 <= mark""",
     "condition_stream": f"""select * exclude (mark) from ({_conditions()}), closed

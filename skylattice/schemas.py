@@ -33,6 +33,9 @@ RAW = """
     cod int
 """
 RAW_WITH_CORRUPT = f"{RAW}, {CORRUPT} string"
+#: The text of the landed document, with every field it had, declared or not.
+DOCUMENT = "document"
+RAW_LANDED = f"{RAW_WITH_CORRUPT}, {DOCUMENT} string"
 
 SEED = "country string, city string, lat double, lon double, seq bigint"
 

@@ -56,7 +56,7 @@ def write_table(
         if on_conflict == "replace":
             store.replace(fresh, table, within)
             return
-        existing = store.read(name)
+        existing = store.held(name)
         existing = existing if within is None else existing.filter(within)
         keys = list(table.keys)
         if on_conflict == "error":

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.functions.time import obs_date
 from skylattice.operators.filters import between_half_open
-from skylattice.schemas import CORRUPT, OBS_DATE, RAW, RAW_WITH_CORRUPT
+from skylattice.schemas import CORRUPT, DOCUMENT, OBS_DATE, RAW, RAW_WITH_CORRUPT
 from skylattice.storage import exists
 
 STREAM_LOG = "_spark_metadata"
@@ -49,6 +49,25 @@ def read_raw(
     return between_half_open(scan, "dt", start, end)
 
 
+def parse_documents(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Observations from a text or binary column, one document a row.
+
+    Any source of texts will do: files, or a message source, batch or stream. The text itself
+    stays in ``document``, so that fields without a declared column can be read later. Blank texts
+    are no documents.
+    """
+    body = F.col(text).cast("string")
+    options = {k: v for k, v in json_options().items() if k != "multiLine"}
+    parsed = F.from_json(F.col(DOCUMENT), RAW_WITH_CORRUPT, options)
+    written = lines.select(body.alias(DOCUMENT)).filter(F.col(DOCUMENT).rlike(r"\S"))
+    return written.select(parsed.alias("o"), DOCUMENT).select("o.*", DOCUMENT)
+
+
+def undeclared(landed: DataFrame, path: str) -> Column:
+    """A field of the kept text by JSON path, as text: ``undeclared(df, "$.snow.1h")``."""
+    return F.get_json_object(landed[DOCUMENT], path)
+
+
 def with_obs_date(raw: DataFrame) -> DataFrame:
     """Add the UTC observation date; it is null where the document had no usable ``dt``."""
     return raw.withColumn(OBS_DATE, obs_date(F.col("dt")))
@@ -59,13 +78,14 @@ def land_raw(
 ) -> None:
     """Append JSON documents to the raw table, partitioned by observation date.
 
-    Nothing is lost: malformed documents land in the partition without a date. The rebalance
+    Nothing is lost: the text of each document is kept next to its fields, and malformed documents
+    land in the partition without a date. With ``multiline`` a file is one document. The rebalance
     writes few files per date and splits a date that is too large for one task. Use
     ``streaming.land_stream`` where a re-run must not land a file twice; a folder takes one of
     the two, as readers of a stream's folder see only what the stream committed.
     """
     if exists(spark, f"{raw_path}/{STREAM_LOG}"):
         raise ValueError(f"{raw_path} belongs to a stream")
-    incoming = read_raw(spark, incoming_path, "json", multiline=multiline)
-    landed = with_obs_date(incoming).hint("rebalance", OBS_DATE)
+    texts = spark.read.text(incoming_path, wholetext=multiline)
+    landed = with_obs_date(parse_documents(texts)).hint("rebalance", OBS_DATE)
     landed.write.mode("append").partitionBy(OBS_DATE).parquet(raw_path)

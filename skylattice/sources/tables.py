@@ -6,6 +6,8 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from skylattice.schemas import SEED, TABLES, Table, to_table
 from skylattice.storage import delete, exists
@@ -22,12 +24,18 @@ def seed_cities(
 ) -> DataFrame:
     """The seed list: country, city, lat, lon and ``seq``, the position in the list.
 
-    A list of dicts is numbered in its order. A file must carry ``seq`` itself, as the rows of
-    a distributed scan have no order.
+    A list of dicts is numbered in its order. Rows of a file have no order in a distributed scan:
+    they go by the file's ``seq`` or, where it has none, by country, city, lat and lon
+    (:func:`in_order`). An entry without country or city is an error.
     """
     if isinstance(rows_or_path, str):
         reader = spark.read.format(fmt).schema(SEED)
-        return reader.option("header", "true").load(rows_or_path) if fmt == "csv" else reader.load(rows_or_path)
+        if fmt == "csv":
+            reader = reader.option("header", "true").option("enforceSchema", "false")
+            names = spark.read.option("header", "true").csv(rows_or_path).columns
+            declared = ", ".join(c for c in SEED.split(", ") if c.split()[0] in names)
+            reader = reader.schema(declared)
+        return in_order(reader.load(rows_or_path))
     rows = [
         (r["country"], r["city"], float(r["lat"]), float(r["lon"]), i)
         for i, r in enumerate(rows_or_path)
@@ -35,6 +43,40 @@ def seed_cities(
     return spark.createDataFrame(rows, SEED)
 
 
+def in_order(seed: DataFrame) -> DataFrame:
+    """``seed`` with a ``seq`` that is unique and not negative.
+
+    A given ``seq`` is checked. Otherwise entries are numbered by country, city, lat and lon:
+    countries one after the other, entries inside each. Entries alike in all four get any of their
+    numbers, which changes nothing.
+    """
+    numbered = "seq" in seed.columns
+    seq = F.col("seq") if numbered else F.lit(None).cast("bigint")
+    found = seed.agg(
+        F.count("*").alias("n"),
+        F.count(seq).alias("given"),
+        F.count_if(seq < 0).alias("negative"),
+        F.count_if(F.col("country").isNull() | F.col("city").isNull()).alias("nameless"),
+    ).first()
+    if found.nameless:
+        raise ValueError(f"{found.nameless} seed entries without country or city")
+    if found.given:
+        again = seed.groupBy("seq").count().filter("count > 1").limit(1).count()
+        if found.given < found.n or found.negative or again:
+            raise ValueError("seq must be there for all entries or for none, unique and not negative")
+        return seed
+    sizes = seed.groupBy("country").agg(F.count("*").alias("_n"))
+    ahead = Window.orderBy("country").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("country", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("country").orderBy("city", "lat", "lon")
+    ranked = seed.withColumn("_at", F.row_number().over(inside)).join(offsets, "country")
+    return ranked.withColumn("seq", F.col("_before") + F.col("_at") - 1).drop("_before", "_at")
+
+
+class MissingTable(FileNotFoundError):
+    """A table that a job reads was never written."""
+
+
 @dataclass
 class FileStore:
     """Tables as parquet folders under ``root``, facts partitioned by period."""
@@ -46,12 +88,18 @@ class FileStore:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str) -> DataFrame:
-        """The table by its declared schema; empty where nothing was written yet."""
+        """The table by its declared schema; one that was never written is an error."""
         table = TABLES[name]
         if not exists(self.spark, self.path(name)):
-            return self.spark.createDataFrame([], table.ddl)
+            raise MissingTable(self.path(name))
         return to_table(self.spark.read.schema(table.ddl).parquet(self.path(name)), table)
 
+    def held(self, name: str) -> DataFrame:
+        """What a table to be written holds: nothing yet, or its rows."""
+        if not exists(self.spark, self.path(name)):
+            return self.spark.createDataFrame([], TABLES[name].ddl)
+        return self.read(name)
+
     def append(self, rows: DataFrame, table: Table) -> None:
         self._writer(rows, table).mode("append").parquet(self.path(table.name))
 
@@ -62,7 +110,7 @@ class FileStore:
         deleted. Running it again gives the same table.
         """
         parts = list(table.partition_by)
-        held = self.read(table.name).filter(within).select(*parts).distinct()
+        held = self.held(table.name).filter(within).select(*parts).distinct()
         stale = held.join(rows.select(*parts).distinct(), parts, "left_anti").collect()
         writer = self._writer(rows, table).mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path(table.name))
@@ -82,8 +130,8 @@ class JdbcStore:
     """Tables of a relational database through Spark's JDBC source.
 
     ``ranges`` maps a table to (column, lower, upper, partitions): its reads are split into
-    that many queries. Without an entry a table is read in one task, which suits dimensions
-    only. A write that loses an executor may have stored some partitions: run it again with
+    that many queries. Without an entry a table is read in one task, so a table by period needs
+    one. A write that loses an executor may have stored some partitions: run it again with
     ``on_conflict='skip'``.
     """
 
@@ -95,9 +143,14 @@ class JdbcStore:
     def read(self, name: str) -> DataFrame:
         """The table; filters on the result are pushed into the database."""
         split = self.ranges.get(name, ())
+        if TABLES[name].partition_by and not split:
+            raise ValueError(f"{name} grows with time: give its reads a range")
         options = jdbc_options(self.url, name, self.properties, *split)
         return to_table(self.spark.read.format("jdbc").options(**options).load(), TABLES[name])
 
+    def held(self, name: str) -> DataFrame:
+        return self.read(name)
+
     def append(self, rows: DataFrame, table: Table) -> None:
         rows.write.mode("append").jdbc(self.url, table.name, properties=self.properties)
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,14 +21,29 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _own_folder()
+
+
+@cache
+def _own_folder() -> str:
+    """One temporary folder for a local session's process."""
     return tempfile.mkdtemp(prefix="skylattice-")
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
-    """A folder name of its own under :func:`shared_dir`."""
-    return f"{shared_dir(spark)}/skylattice-{label}-{uuid.uuid4().hex}"
+    """A folder name of its own under :func:`shared_dir`; deleted when the program ends."""
+    path = f"{shared_dir(spark)}/skylattice-{label}-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder if its session can still be reached; a lost one keeps its files."""
+    with suppress(Exception):  # the program is ending and its JVM may be gone
+        delete(spark, path)
 
 
 @contextmanager

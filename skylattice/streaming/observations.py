@@ -3,8 +3,8 @@
 The original design names a real-time path without defining it; these definitions are ours.
 Rows later than ``delay`` behind the newest observation are dropped, and a window is emitted
 once, after the watermark has passed its end. State per cell and window is one buffer, as tasks
-combine their rows first. For large state set ``spark.sql.streaming.stateStore.providerClass``
-to the RocksDB provider (see ``session.STREAMING``).
+combine their rows first. Large state needs ``spark.sql.streaming.stateStore.providerClass`` set to
+the RocksDB provider (``session.STREAMING``); a backlog needs a bound on the files of a batch.
 """
 
 from __future__ import annotations
@@ -17,30 +17,64 @@ from skylattice.functions.time import obs_date, obs_hour
 from skylattice.operators.conditions import CONDITION, best_condition, exploded
 from skylattice.operators.hourly import CELL, by_cell, cell_averages, to_city
 from skylattice.schemas import OBS_DATE, RAW_WITH_CORRUPT, TABLES, to_table
-from skylattice.sources.raw import STREAM_LOG, json_options, with_obs_date
+from skylattice.sources.raw import STREAM_LOG, json_options, parse_documents, with_obs_date
+from skylattice.sources.tables import FileStore
 from skylattice.storage import exists
 
 
+#: Files in one batch of a stream, unless the caller says otherwise.
+FILES = 1000
+
+
 def read_raw_stream(
     spark: SparkSession, path: str, fmt: str = "json", schema: str = RAW_WITH_CORRUPT, **options: str
 ) -> DataFrame:
-    """New observation files as a stream."""
+    """New observation files as a stream, at most ``FILES`` in a batch by default.
+
+    A message source brings texts of its own schema: give those to ``parse_documents``.
+    """
+    options = {"maxFilesPerTrigger": str(FILES)} | options
     if fmt == "json":
         options = json_options() | options
     return spark.readStream.format(fmt).schema(schema).options(**options).load(path)
 
 
+def read_document_stream(
+    spark: SparkSession, path: str, multiline: bool = False, files: int = FILES
+) -> DataFrame:
+    """Documents of new text files, ``files`` of them in a batch at most, with their text."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files)
+    return parse_documents(reader.text(path, wholetext=multiline))
+
+
 def land_stream(
-    spark: SparkSession, incoming_path: str, raw_path: str, checkpoint: str
+    spark: SparkSession,
+    incoming_path: str,
+    raw_path: str,
+    checkpoint: str,
+    multiline: bool = False,
+    files: int = FILES,
 ) -> StreamingQuery:
-    """Land every new JSON file exactly once, then stop; start it again for later files."""
+    """Land every new JSON file exactly once, then stop; start it again for later files.
+
+    A backlog goes in batches of ``files`` files, each committed by itself.
+    """
     begun = exists(spark, checkpoint) or exists(spark, f"{raw_path}/{STREAM_LOG}")
     if exists(spark, raw_path) and not begun:
         raise ValueError(f"{raw_path} holds files that no stream wrote")
-    landed = with_obs_date(read_raw_stream(spark, incoming_path))
+    landed = with_obs_date(read_document_stream(spark, incoming_path, multiline, files))
     return run_available(landed, raw_path, checkpoint, OBS_DATE)
 
 
+def into_table(df: DataFrame, store: FileStore, name: str, checkpoint: str) -> StreamingQuery:
+    """Process all available input into table ``name`` of ``store``, in the table's partitions.
+
+    A table takes either a stream or the checked writes: its readers see what the stream committed.
+    """
+    rows = to_table(df, TABLES[name])
+    return run_available(rows, store.path(name), checkpoint, *TABLES[name].partition_by)
+
+
 def run_available(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:
     """Process all available input into parquet files at ``path``."""
     return (

@@ -33,6 +33,21 @@ def frame(hours, data):
     )
 
 
+def roster(hours, n):
+    """Cities 0 to n - 1; the last one is silent."""
+    return hours().sparkSession.range(n).withColumnRenamed("id", "IdCity")
+
+
+def test_filling_in_two_steps_is_filling_in_one(hours):
+    data, city = series(7), roster(hours, 4)
+    at = lambda h: START + timedelta(hours=h)
+    df = frame(hours, data)
+    whole = fill_gaps(df, city, at(5), at(90)).collect()
+    steps = fill_gaps(df, city, at(5), at(41)).collect() + fill_gaps(df, city, at(41), at(90)).collect()
+    assert sorted(map(str, whole)) == sorted(map(str, steps))
+    assert fill_gaps(df, city.filter("false"), at(5), at(9)).count() == 0
+
+
 def hour_of(row):
     return int((datetime.combine(row.Date, datetime.min.time()) - START).total_seconds() // 3600) + row.Hour
 
@@ -41,22 +56,25 @@ def hour_of(row):
 def test_fill_gaps_against_a_loop(hours, seed):
     data = series(seed)
     a, b = 10, 80
-    found = fill_gaps(frame(hours, data), START + timedelta(hours=a), START + timedelta(hours=b))
+    city = roster(hours, 4)
+    found = fill_gaps(frame(hours, data), city, START + timedelta(hours=a), START + timedelta(hours=b))
     got = {(r.IdCity, hour_of(r)): (r.Temp, r.Filled) for r in found.collect()}
     wanted = {}
-    for c in {c for c, h in data if a <= h < b}:
+    for c in range(4):
         last = None
-        for h in range(a, b):
+        for h in range(b):
             last = data[c, h] if data.get((c, h)) is not None else last
-            wanted[c, h] = (last, (c, h) not in data)
+            if h >= a:
+                wanted[c, h] = (last, (c, h) not in data)
     assert got == wanted
     assert found.columns == ["IdCity", "Date", "Hour", *HOUR_MEASURES, "Filled"]
 
 
 def test_gap_report_against_a_loop(hours):
     data = series(3)
-    found = gap_report(frame(hours, data), START, START + timedelta(hours=96))
-    for r in found.collect():
+    found = gap_report(frame(hours, data), roster(hours, 4), START, START + timedelta(hours=96)).collect()
+    assert {r.IdCity for r in found} == {0, 1, 2, 3}
+    for r in found:
         present = sorted(h for c, h in data if c == r.IdCity)
         edges = [-1, *present, 96]
         longest = max(y - x - 1 for x, y in zip(edges, edges[1:]))

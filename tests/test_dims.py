@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -10,7 +11,8 @@ from skylattice.operators.dims import (
     number_cities,
     number_countries,
 )
-from skylattice.sources.tables import seed_cities
+from skylattice.schemas import SEED as SEED_COLUMNS
+from skylattice.sources.tables import in_order, seed_cities
 
 
 
@@ -77,3 +79,26 @@ def test_insert_if_absent_first_wins(spark):
 def test_seed_file(spark, tmp_path):
     (tmp_path / "s.csv").write_text("country,city,lat,lon,seq\nItaly,Turin,45.1,7.3,0\n")
     assert rows(seed_cities(spark, str(tmp_path / "s.csv"), "csv")) == [("Italy", "Turin", 45.1, 7.3, 0)]
+
+
+@pytest.mark.parametrize("fmt", ["json", "csv"])
+def test_seed_file_without_positions(spark, table, tmp_path, fmt):
+    listed = spark.createDataFrame([(s["country"], s["city"], float(s["lat"]), float(s["lon"])) for s in SEED], "country string, city string, lat double, lon double")
+    listed.repartition(3).write.format(fmt).option("header", "true").save(str(tmp_path / "seed"))
+    seed = seed_cities(spark, str(tmp_path / "seed"), fmt)
+    assert rows(seed.select("country", "city", "lat", "seq"), "seq") == [
+        ("France", "Paris", 48.8, 0), ("Italy", "Paris", 1.0, 1), ("Italy", "Turin", 9.0, 2), ("Italy", "Turin", 45.1, 3),
+    ]
+    assert rows(new_countries(seed, table("country")), "IdCountry") == [(1, "France"), (2, "Italy")]
+
+
+@pytest.mark.parametrize("given", [[0, 0], [0, None], [-1, 3]])
+def test_seed_positions_must_be_unique_and_whole(spark, given):
+    seed = spark.createDataFrame([("a", str(i), 0.0, 0.0, s) for i, s in enumerate(given)], SEED_COLUMNS)
+    with pytest.raises(ValueError):
+        in_order(seed)
+
+
+def test_seed_entries_need_names(spark):
+    with pytest.raises(ValueError, match="1 seed entries"):
+        in_order(spark.createDataFrame([(None, "x", 0.0, 0.0, 1), ("a", "x", 0.0, 0.0, 2)], SEED_COLUMNS))

@@ -158,3 +158,30 @@ def test_sizes(spark):
     found = rows(df.select("i", human_size(F.col("s")), size_mb(F.col("s"))), "i")
     assert [r[1] for r in found] == ["0 bytes", "10239 bytes", "10 kB", "5120 kB", "12 MB", "30 TB"]
     assert found[3][2] == 5.0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    "values, wanted",
+    [
+        ([1e12] * 20, 1e12),
+        ([8.9e12] * 3000, 8.9e12),
+        ([-1e12] * 7, -1e12),
+        ([4e-7] * 4, 4e-7),
+        ([1e-9, 3e-9], 2e-9),
+        ([9.9e13, 2.0, 4.0], 3.0),
+        ([float("nan"), float("inf"), None, 1.5], 1.5),
+        ([9.9e13], None),
+        ([1.0, 1.01], 1.005),
+        ([-0.5, 0.25], -0.125),
+        ([123456.789] * 11, 123456.789),
+    ],
+)
+def test_averages_hold_for_any_size(spark, ansi, values, wanted):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert df.agg(mean(F.col("x"))).first()[0] == wanted
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

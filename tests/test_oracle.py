@@ -5,6 +5,7 @@ from conftest import SF
 
 import __spark_entry__ as contract
 from check import compare, connect
+from skylattice.plans.catalog import QUERIES
 from skylattice.plans.oracle import ORACLES
 
 
@@ -13,14 +14,15 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_its_oracle(spark, duck, name):
     assert compare(spark, duck, SF, name) == ""
 
 
 def test_only_stored_sizes_have_no_oracle():
-    assert set(contract.queries()) - set(ORACLES) == {"table_stats", "table_total"}
-    assert set(ORACLES) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLES) == {"table_stats", "table_total"}
+    assert set(ORACLES) <= set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_queries_hold_in_another_session_zone(spark, duck, any_zone):

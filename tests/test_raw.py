@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from skylattice.operators.filters import before, between_half_open, since
 from skylattice.operators.hourly import hourly
-from skylattice.operators.quality import unmatched_cells
-from skylattice.sources.raw import land_raw, read_raw
+from skylattice.operators.quality import unmatched_cells, unusable
+from skylattice.schemas import RAW_LANDED
+from skylattice.sources.raw import land_raw, read_raw, undeclared
 from skylattice.sources.tables import register
 from skylattice.streaming.observations import land_stream
 
@@ -36,6 +37,32 @@ def test_landing_keeps_every_document(spark, tmp_path, city):
     assert rows(unmatched_cells(raw, city)) == [(None, None, 2)]
 
 
+def test_landing_keeps_undeclared_fields(spark, tmp_path):
+    write(tmp_path / "in", "a.json", doc("2024-01-01") | {"snow": {"1h": 0.5}, "new": [1]}, "", "not json")
+    land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    raw = read_raw(spark, str(tmp_path / "raw"), schema=RAW_LANDED)
+    found = raw.select(undeclared(raw, "$.snow['1h']"), undeclared(raw, "$.new"), "_corrupt")
+    assert sorted(rows(found), key=str) == [("0.5", "[1]", None), (None, None, "not json")]
+
+
+def test_multiline_documents(spark, tmp_path, city):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(json.dumps(DOCS[0], indent=2))
+    land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"), multiline=True)
+    assert rows(read_raw(spark, str(tmp_path / "raw")).select("dt", "_corrupt")) == [(DOCS[0]["dt"], None)]
+    land_stream(spark, str(tmp_path / "in"), str(tmp_path / "s"), str(tmp_path / "state"), multiline=True).awaitTermination()
+    assert read_raw(spark, str(tmp_path / "s")).count() == 1
+
+
+def test_any_time_lands(spark, tmp_path, city):
+    write(tmp_path / "in", "a.json", *(doc(t) for t in (10**15, -(10**15), 0)), doc(0) | {"dt": None})
+    land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    raw = read_raw(spark, str(tmp_path / "raw"))
+    assert raw.count() == 4 and raw.filter("obs_date is null").count() == 3
+    assert hourly(raw, city).count() == 1
+    assert {r.measure: (r.missing, r.unusable) for r in unusable(raw).collect()}["dt"] == (1, 2)
+
+
 def test_period_reads_only_its_partitions(spark, tmp_path):
     write(tmp_path / "in", "a.json", *DOCS)
     land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))

@@ -24,11 +24,13 @@ def wind(table):
 
 
 def held(store):
-    return [(r.IdCity, r.Date, r.WindAvg) for r in store.read("wind_day").orderBy("Date", "IdCity").collect()]
+    return [(r.IdCity, r.Date, r.WindAvg) for r in store.held("wind_day").orderBy("Date", "IdCity").collect()]
 
 
 def test_unwritten_table_is_empty(store):
-    assert store.read("wind_day").collect() == []
+    assert store.held("wind_day").collect() == []
+    with pytest.raises(FileNotFoundError):
+        store.read("wind_day")
 
 
 def test_append_is_unconditional(store, wind):

@@ -9,9 +9,13 @@ from skylattice.operators.hourly import hourly
 from skylattice.schemas import TABLES
 from skylattice.session import STREAMING
 from skylattice.sources import star
+from skylattice.sources.raw import parse_documents
+from skylattice.sources.tables import FileStore
 from skylattice.streaming.observations import (
     condition_stream,
     hourly_stream,
+    into_table,
+    read_document_stream,
     read_raw_stream,
     run_available,
 )
@@ -69,3 +73,19 @@ def test_stream_equals_batch_once_all_windows_closed(spark, tmp_path, build, bat
     feed(tmp_path, "last.json", doc("2030-01-01T00:00:00", lon=0.0, lat=0.5))
     out = run(spark, tmp_path, build, city, table)
     assert sorted(map(str, rows(out))) == sorted(map(str, rows(batch(data, city))))
+
+
+def test_documents_of_a_text_column_stream_into_a_table(spark, tmp_path, city):
+    feed(tmp_path, "1.txt", doc("2024-01-01T10:10:00", temp=1.0), doc("2024-01-01T10:50:00", temp=2.0))
+    feed(tmp_path, "2.txt", doc("2024-01-01T12:30:00"))
+    store = FileStore(spark, str(tmp_path / "t"))
+    for _ in range(2):
+        stream = hourly_stream(read_document_stream(spark, str(tmp_path / "in"), files=1), city, "15 minutes")
+        into_table(stream, store, "weather_hour", str(tmp_path / "state")).awaitTermination()
+    found = store.read("weather_hour").select("IdCity", "Date", "Hour", "Temp")
+    assert rows(found) == [(1, date(2024, 1, 1), 10, 1.5)]
+
+
+def test_binary_texts_are_parsed(spark):
+    texts = spark.createDataFrame([(bytearray(json.dumps(doc(5)), "utf-8"),)], "value binary")
+    assert [r.dt for r in parse_documents(texts).collect()] == [5]
