@@ -69,7 +69,8 @@ def ends(x: np.ndarray, y: np.ndarray, level: float) -> tuple[np.ndarray, np.nda
     can reach the level with the best partner are paired.
     """
     high = level * math.sqrt(2)
-    at, direction, value = [], [], []
+    none = np.zeros(0, dtype=np.int64)
+    at, direction, value = [none], [none], [none.astype(np.float64)]
     for sx in (1, -1):
         for sy in (1, -1):
             best = (sy * y).max(axis=1)
