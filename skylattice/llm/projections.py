@@ -51,8 +51,6 @@ class Plan:
 
     first: np.ndarray
     second: np.ndarray
-    centre: np.ndarray
-    spread: float
     level: float
     window: float
     least: int
@@ -86,11 +84,12 @@ def ends(x: np.ndarray, y: np.ndarray, level: float) -> tuple[np.ndarray, np.nda
     return np.concatenate(at), np.concatenate(direction), np.concatenate(value)
 
 
-def calibrate(n: int, centre: np.ndarray, settings: Settings) -> Plan:
-    """Directions, level and count for ``n`` vectors around a centre."""
-    size = len(centre)
-    spread = math.sqrt(max(1 - float(centre @ centre), 0.05))
-    apart = math.sqrt(2 - 2 * settings.cosine) / spread  # of a pair that just links, in projections
+def calibrate(n: int, size: int, settings: Settings) -> Plan:
+    """Directions, level and count for ``n`` vectors of ``size`` components.
+
+    What a linked pair's collisions depend on is its cosine alone, wherever other vectors lie.
+    """
+    apart = math.sqrt(2 - 2 * settings.cosine)  # of a pair that just links, in projections
     share = settings.above / max(n, 2048)
     level = -NormalDist().inv_cdf(share)
     draw = np.random.default_rng(settings.seed)
@@ -99,8 +98,7 @@ def calibrate(n: int, centre: np.ndarray, settings: Settings) -> Plan:
     w = draw.standard_normal((settings.pairs, size))
     w -= (w * u).sum(axis=1, keepdims=True) * u
     w /= np.linalg.norm(w, axis=1, keepdims=True)
-    close = max(1 - apart**2 / 2, 0.0)
-    v = close * u + math.sqrt(1 - close**2) * w
+    v = settings.cosine * u + math.sqrt(1 - settings.cosine**2) * w
     bases = max(4, math.ceil(math.sqrt(settings.collisions / (0.5 * share) / 4)))
     while True:
         base = np.random.default_rng([settings.seed, size])
@@ -114,7 +112,7 @@ def calibrate(n: int, centre: np.ndarray, settings: Settings) -> Plan:
         np.add.at(counts, both[met] // (4 * bases * bases), 1)
         least = int(np.sort(counts)[math.floor((1 - settings.recall) * settings.pairs)])
         if least >= 3 or bases >= 1 << 14:
-            return Plan(first, second, centre, spread, level, settings.window * apart, max(least, 1))
+            return Plan(first, second, level, settings.window * apart, max(least, 1))
         bases = math.ceil(bases * 1.2)
 
 
@@ -142,22 +140,9 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.linalg.norm(m, axis=1, keepdims=True)
 
 
-def _centre(found: DataFrame, size: int) -> np.ndarray:
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
-        n = 0
-        for batch in batches:
-            total += _unit(_matrix(batch.column(0), size)).sum(axis=0)
-            n += batch.num_rows
-        yield pa.record_batch([pa.array(range(size), pa.int32()), pa.array(total), pa.array([n] * size)], ["i", "x", "n"])
-
-    sums = found.select("vector").mapInArrow(task, "i int, x double, n long").groupBy("i").agg(F.sum("x"), F.sum("n"))
-    return np.array([x / n for _, x, n in sorted(sums.collect())])  # one row a component
-
-
 def collisions(found: DataFrame, plan: Plan) -> DataFrame:
     """``(a, b)`` once for every projection in which two classes collide."""
-    size = len(plan.centre)
+    size = plan.first.shape[1]
     shared = found.sparkSession.sparkContext.broadcast(plan)  # two sets of base directions
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +150,7 @@ def collisions(found: DataFrame, plan: Plan) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 1024):
                 batch = whole.slice(start, 1024)
-                u = (_unit(_matrix(batch.column(1), size)) - plan.centre) / plan.spread
+                u = _unit(_matrix(batch.column(1), size))
                 at, direction, value = ends(u @ plan.first.T, u @ plan.second.T, plan.level)
                 names = batch.column(0).to_numpy()[at]
                 yield pa.record_batch([pa.array(direction), pa.array(value), pa.array(names)], ["direction", "value", "class"])
@@ -242,7 +227,7 @@ def links(found: DataFrame, settings: Settings = Settings()) -> DataFrame:
     pairs = found.sparkSession.createDataFrame([], "a long, b long")
     for size in sorted(spaces):  # one vector length as a rule
         own = found.where(F.size("vector") == size)
-        plan = calibrate(own.count(), _centre(own, size), settings)
+        plan = calibrate(own.count(), size, settings)
         counted = collisions(own, plan).groupBy("a", "b").agg(F.count("*").alias("n"))
         pairs = pairs.unionByName(verified(counted.where(F.col("n") >= plan.least).select("a", "b"), own, settings.cosine))
     return stage(pairs, "links")
