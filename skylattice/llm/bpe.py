@@ -18,7 +18,7 @@ from __future__ import annotations
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from operator import add
 
@@ -149,7 +149,7 @@ class Codec:
             table.clear()
         pa.default_memory_pool().release_unused()
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The library's text of the ids: this vocabulary has no decoder, so tokens and blanks."""
         return " ".join(map(self.names.__getitem__, ids))
 
@@ -175,10 +175,17 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``ids``, the token ids of the whole text, no tokens added, none cut off."""
+def encode(docs: DataFrame, path: str, text: str = "text", back: bool = False) -> DataFrame:
+    """``docs`` with ``ids``, the token ids of the whole text, no tokens added, none cut off.
+
+    ``back`` adds what :func:`decode` makes of the ids, in the same pass.
+    """
     schema = _with(docs, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False))
     names = schema.names[:-1]
+    if back:
+        names = [n for n in names if n != "decoded"]
+        fields = [f for f in schema.fields if f.name != "decoded"]
+        schema = T.StructType([*fields, T.StructField("decoded", T.StringType(), False)])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -189,7 +196,10 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 ends = np.cumsum([0, *[len(x) // 4 for x in ids]], dtype=np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), dtype=np.int32))
                 kept = [batch.column(batch.schema.get_field_index(n)).slice(a, b - a) for n in names]
-                yield pa.record_batch([*kept, pa.ListArray.from_arrays(pa.array(ends), values)], schema.names)
+                columns = [*kept, pa.ListArray.from_arrays(pa.array(ends), values)]
+                if back:
+                    columns.append(pa.array([coder.decode(array("i", x)) for x in ids], pa.string()))
+                yield pa.record_batch(columns, schema.names)
         coder.forget()
 
     return docs.mapInArrow(task, schema)

@@ -31,8 +31,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def op2_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = vocabulary()
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
-    return digests(coded, "doc_id")
+    return digests(bpe.encode(docs, path, back=True), "doc_id")
 
 
 def digests(coded: DataFrame, *keep: str) -> DataFrame:
