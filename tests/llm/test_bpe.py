@@ -68,6 +68,8 @@ def test_cuts_are_where_no_token_reaches(library):
 
 def test_odd_rows(spark, library):
     coded = bpe.decode(bpe.encode(odd(spark), PATH), PATH)
+    both = bpe.encode(odd(spark), PATH, back=True)
+    assert sorted(map(str, both.collect())) == sorted(map(str, coded.collect()))
     rows = coded.collect()
     assert len(rows) == len(ODD)
     assert coded.columns.count("ids") == 1 and "size" in coded.columns

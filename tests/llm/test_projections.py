@@ -42,11 +42,12 @@ def result(df):
 
 def test_odd_rows(spark):
     inf, nan = float("inf"), float("nan")
+    v = [0.0, *map(float, np.random.default_rng(6).standard_normal(63))]
+    times = lambda k: [x * k for x in v]
     vectors = [
-        (1, [1.0, 0.0, 0.5]), (2, [1.0, 0.0, 0.5]), (2, [1.0, 0.0, 0.5]), (3, [2.0, 0.0, 1.0]), (4, [-1.0, 0.0, -0.5]),
-        (5, None), (6, []), (7, [0.0, 0.0, 0.0]), (8, [nan, 1.0, 0.0]), (9, [inf, 1.0, 0.0]), (10, [None, 1.0, 0.0]),
-        (None, [1.0, 0.0, 0.5]), (11, [1e-30, 0.0, 5e-31]), (12, [1.0, -0.0, 0.5]), (13, [1e30, 0.0, 5e29]),
-        (14, [1.0, 0.5]), (15, [1.0, 0.5]),
+        (1, v), (2, v), (2, v), (3, times(2.0)), (4, times(-1.0)), (5, None), (6, []), (7, times(0.0)),
+        (8, [nan, *v[1:]]), (9, [inf, *v[1:]]), (10, [None, *v[1:]]), (None, v), (11, times(1e-30)),
+        (12, [-0.0, *v[1:]]), (13, times(1e30)), (14, v[:32]), (15, v[:32]),
     ]
     df = spark.createDataFrame([(i, v, None, 3, "x") for i, v in vectors], SCHEMA)
     assert result(df) == brute([(i, v and [x if x is None else float(np.float32(x)) for x in v]) for i, v in vectors])
