@@ -29,7 +29,7 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     For staged tables of a few numbers a row; beyond the bound Spark's shuffle join is used,
     with the same result.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def components(edges: DataFrame) -> DataFrame:
