@@ -22,11 +22,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skylattice.llm.common import BLANK, stage
+from skylattice.llm.common import BLANK, small, stage
 
 FILTER = "block long, occupied binary, ends binary, remainders binary, counts binary"
 #: Fingerprints that a task gathers before it writes a filter.
 BATCH = 2_000_000
+#: Groups of copies (about a hundred bytes each) up to which texts need no shuffle to find theirs.
+GROUPS = 300_000
 
 
 def normalised(text: str | Column = "text") -> Column:
@@ -189,7 +191,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     )
     rows = docs.withColumn("__norm", normalised())
     rows = rows.withColumn("__print", F.xxhash64("__norm")).withColumn("__sha", F.sha2("__norm", 256))
-    rows = rows.drop("__norm").join(groups, ["__print", "__sha"], "left")
+    rows = rows.drop("__norm").join(small(groups, GROUPS), ["__print", "__sha"], "left")
     rows = rows.where(F.col("__n_keep").isNull() | F.col("doc_id").eqNullSafe(F.col("__keep")))
     if groups.where("__n_keep > 1").isEmpty():
         return rows.select(*docs.columns)
