@@ -70,7 +70,7 @@ VOLUME = {
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus"], "pages": ["page_id", "url", "html"], "part": ["p_partkey", "p_name"],
     "region": ["r_regionkey", "r_name"], "supplier": ["s_suppkey", "s_name"],
 }
-GAP_FIRST, GAP_LAST = date(2024, 1, 16), date(2024, 1, 22)
+GAP_FIRST, GAP_LAST = FIRST, LAST
 
 
 def weather_hour(spark: SparkSession, sf: str) -> DataFrame:

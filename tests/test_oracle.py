@@ -5,8 +5,11 @@ from conftest import SF
 
 import __spark_entry__ as contract
 from check import compare, connect
-from skylattice.plans.catalog import QUERIES
+from skylattice.functions.periods import date_period
+from skylattice.operators.gaps import fill_gaps
+from skylattice.plans.catalog import FIRST, LAST, QUERIES, SPLIT, weather_hour
 from skylattice.plans.oracle import ORACLES
+from skylattice.sources import star
 
 
 @pytest.fixture(scope="module")
@@ -30,5 +33,18 @@ def test_queries_hold_in_another_session_zone(spark, duck, any_zone):
         assert compare(spark, duck, SF, name) == ""
 
 
+def test_gap_fill_covers_the_whole_period(spark):
+    """Every hour of FIRST to LAST for every city, and the same hours from a start in its middle."""
+    whole, city = QUERIES["gap_fill"](spark, SF), star.cities(spark, SF)
+    days, n = (LAST - FIRST).days + 1, city.select("IdCity").distinct().count()
+    dates = {r.Date: r["count"] for r in whole.groupBy("Date").count().collect()}
+    assert len(dates) == days and (min(dates), max(dates)) == (FIRST, LAST) and set(dates.values()) == {24 * n}
+    late = date_period(SPLIT, LAST)
+    rest = fill_gaps(weather_hour(spark, SF), city, late.start, late.end)
+    wanted = whole.where(whole.Date >= SPLIT)
+    assert rest.exceptAll(wanted).count() == wanted.exceptAll(rest).count() == 0
+    assert rest.where("Filled and Temp is not null").count() > 0
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
