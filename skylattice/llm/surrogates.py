@@ -46,7 +46,19 @@ FAMILY = {
     "greek": "Αγγελόπουλος Βλάχος Γεωργίου Δημητρίου Ιωάννου Κωνσταντίνου Μακρής Νικολάου Παππάς Σταύρου".split(),
 }
 
-SECRET = r"(?i:passwords?|passwd|pwd|token|secret|api[_\-]?key)[\x20\x09]{0,3}[:=][\x20\x09]{0,3}[\"']?"
+#: What stands before a secret: a keyword, which may be a part of a word, a sign, and opening quotes.
+SECRET = (
+    r"(?i:passwords?|passwd|pwd|tokens?|secrets?|api[_\-\x20]?keys?)"
+    r"(?:(?i:keys?|values?|hash|phrase|id|\d+)(?![\p{L}\p{N}])|[_\-.][\p{L}\p{N}_\-.]*|(?<=\p{Ll})\p{Lu}[\p{L}\p{N}_\-.]*)?"
+    r"(?:\\?[\"'])?[\x20\x09]*+(?::=|=>|={1,3}|:)[\x20\x09]*+(?:\\?[\"'])?"
+)
+#: A quoted secret ends at its closing quote in the paragraph, another one at a blank.
+_QUOTED = r"(?:[^{q}\\\n]++|\\[\s\S]|\n(?!\s*\n))++(?={q})"
+VALUE = (
+    r"(?:(?<=\\[\"'])[^\"'\\\n]++(?=\\[\"'])"
+    + "|(?<=\")" + _QUOTED.format(q='"') + "|(?<=')" + _QUOTED.format(q="'")
+    + r"|(?![\"'])(?:\S*[\p{L}\p{N}]|\S+))"
+)
 _TITLES = [form for word in MASCULINE + FEMININE + NEUTRAL for form in (word, word.upper())]
 TITLE = "(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?\x20"
 WORD = r"\p{Lu}[\p{L}'’\-]+"
@@ -54,7 +66,7 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NOT_IN_WORD, NOT_IN_NUMBER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
-    "secret": NOT_IN_WORD + SECRET + r"(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{8,}",
+    "secret": SECRET + VALUE,
     "key": NOT_IN_WORD + r"AKIA[A-Z0-9]{16}" + NOT_IN_NUMBER,
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.\-]?)?\(\d{2,4}\)[\x20.\-]?\d{3,4}[\x20.\-]?\d{4}(?!\d)"
     r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[\x20.\-]?\d{2,4}){2,4}(?!\d)"
@@ -66,12 +78,14 @@ PATTERNS = {
     "name": NOT_IN_WORD + TITLE + WORD + rf"(?:\x20{WORD}){{0,2}}",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Every entity holds a digit or an at sign, is a key, or follows a form of address. Few texts have any
-#: of these, and this is found in one quick pass.
+#: Every entity holds a digit or an at sign, is a key or a secret, or follows a form of address. Few
+#: texts have any of these, and this is found in one quick pass.
 _FIRST = "".join(sorted({form[0] for form in _TITLES}))
-TRIGGER = rf"[0-9@]|(?=[A{_FIRST}])(?:AKIA|{TITLE}\p{{Lu}})"
-#: Draws after which names are lengthened and private addresses may become public ones.
+TRIGGER = rf"[0-9@]|(?=[A{_FIRST}])(?:AKIA|{TITLE}\p{{Lu}})|(?=[pPtTsSaA]){SECRET}"
+#: Draws after which names and secrets are lengthened and private addresses may become public ones.
 DRAWS = 4
+#: What secrets without letters and digits are drawn from.
+SYMBOLS = "!#$%&*+-/=?@^_~"
 SYLLABLES = {"latin": "ba de li mo ru ta ve so".split(), "cyrillic": "ба де ли мо ру та ве со".split(), "greek": "βα δε λι μο ρυ τα νε σο".split()}
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
@@ -259,10 +273,17 @@ def drawn(key: str, what: Column, canon: Column, tries: Column) -> Column:
         ),
     )
     plain = F.array_join(F.transform(each, lambda x: _drawn_character(x, hexadecimal)), "")
+    symbolic = (what == "secret") & ~canon.rlike(r"[\p{L}\p{N}]")
+    symbols = F.array_join(F.transform(each, lambda x: _letter(SYMBOLS, x["n"])), "")
+    # Short secrets may be more than there are others of their length.
+    more = F.transform(F.sequence(F.lit(-2), -1 - F.greatest(tries - DRAWS + 2, F.lit(1)), F.lit(-1)), lambda i: _letter("abcdef", draw(i)))
+    secret = F.when(symbolic, symbols).otherwise(plain)
+    secret = F.when(tries < DRAWS, secret).otherwise(F.concat(secret, F.array_join(more, "")))
     return (
         F.when(what == "ip", _drawn_address(canon, draw, tries))
         .when(what.startswith("given") | what.startswith("family"), _drawn_name(what, draw, tries))
         .when(what == "card", _drawn_card(canon, plain, draw(F.lit(-1))))
+        .when(what == "secret", secret)
         .otherwise(plain)
     )
 

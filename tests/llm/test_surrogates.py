@@ -132,3 +132,42 @@ def test_main_path_is_free_of_python(spark):
     df = spark.createDataFrame([(1, FORMATS[0])], "doc_id long, text string")
     plan = P.anonymise(df, KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+SECRETS = {
+    '{"api_key": "4d44c79e", "n": 1}': "4d44c79e",
+    "{'token': 'aXbY'}": "aXbY",
+    '"password":"s3cretpass"': "s3cretpass",
+    'secret_key = "4d44c79e"': "4d44c79e",
+    "accessToken=ab12cd34ef": "ab12cd34ef",
+    "dbPassword: ab12cd34ef": "ab12cd34ef",
+    "password=hunter2!": "hunter2",
+    "password: correcthorsebattery": "correcthorsebattery",
+    "password: Abcdefg1$xyz9!longer": "Abcdefg1$xyz9!longer",
+    'password: "correct horse $9 battery"': "correct horse $9 battery",
+    'pwd = "it\'s \\" mine"': 'it\'s \\" mine',
+    r'{\"password\": \"two words\"}': "two words",
+    "PASSWORD=x": "x",
+    "secret: $%!?": "$%!?",
+    'token = "never closed': "never",
+}
+
+
+def test_secrets_in_every_form_go(spark):
+    news = rewrite(spark, *[f"so {text} it" for text in SECRETS])
+    for (text, value), new in zip(SECRETS.items(), news, strict=True):
+        before, after = f"so {text} it".split(value)
+        assert new.startswith(before) and new.endswith(after)
+        drawn = new[len(before) : len(new) - len(after)]
+        parts = re.findall(r"[A-Za-z0-9]{3,}", value)
+        assert len(drawn) == len(value) and drawn != value and not any(part in drawn for part in parts)
+
+
+def test_words_without_a_secret_stay(spark):
+    texts = ["the secretary: Anna", "a tokenizer: fast", 'password: ""', "token =", "secret of the password"]
+    assert rewrite(spark, *texts) == texts
+
+
+def test_short_secrets_that_use_up_their_length(spark):
+    new = rewrite(spark, *[f"password: {i}" for i in range(10)])
+    assert len(set(new)) == 10 and not set(new) & {f"password: {i}" for i in range(10)}
