@@ -61,11 +61,13 @@ VALUE = (
 )
 _TITLES = [form for word in MASCULINE + FEMININE + NEUTRAL for form in (word, word.upper())]
 TITLE = "(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?\x20"
+#: Signs before an e-mail address that are not a part of it.
+SIGNS = r"^[._%+\-]*"
 WORD = r"\p{Lu}[\p{L}'’\-]+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NOT_IN_WORD, NOT_IN_NUMBER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
+    "email": r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[._%+\-]*+[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
     "secret": SECRET + VALUE,
     "key": NOT_IN_WORD + r"AKIA[A-Z0-9]{16}" + NOT_IN_NUMBER,
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.\-]?)?\(\d{2,4}\)[\x20.\-]?\d{3,4}[\x20.\-]?\d{4}(?!\d)"
@@ -147,15 +149,17 @@ def _parts(x: Column) -> Column:
     value = x["value"]
     bare = F.upper(F.regexp_replace(x["m"], r"[^\p{L}\p{N}]", ""))
     canon = (
-        F.when(x["kind"] == "email", F.lower(x["m"]))
+        F.when(x["kind"] == "email", F.lower(F.regexp_replace(x["m"], SIGNS, "")))
         .when((x["kind"] == "secret") & value.rlike("^[0-9A-Fa-f]+$"), F.lower(value))
         .when(x["kind"] == "secret", value)
         .when(x["kind"].isin("key", "ip"), x["m"])
         .otherwise(bare)
     )
     secret = x["kind"] == "secret"
-    before = F.when(secret, F.regexp_extract(x["m"], "^" + SECRET, 0)).otherwise("")
-    one = F.array(_part(before, x["kind"], canon, F.when(secret, value).otherwise(x["m"])))
+    email = x["kind"] == "email"
+    before = F.when(secret, F.regexp_extract(x["m"], "^" + SECRET, 0)).when(email, F.regexp_extract(x["m"], SIGNS, 0)).otherwise("")
+    written = F.when(secret, value).when(email, F.regexp_replace(x["m"], SIGNS, "")).otherwise(x["m"])
+    one = F.array(_part(before, x["kind"], canon, written))
     return F.when(x["kind"] == "name", F.transform(x["words"], _name_part(x))).otherwise(one)
 
 

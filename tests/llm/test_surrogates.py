@@ -171,3 +171,12 @@ def test_words_without_a_secret_stay(spark):
 def test_short_secrets_that_use_up_their_length(spark):
     new = rewrite(spark, *[f"password: {i}" for i in range(10)])
     assert len(set(new)) == 10 and not set(new) & {f"password: {i}" for i in range(10)}
+
+
+def test_addresses_behind_signs(spark):
+    texts = [f"so {sign}john.doe@example.com" for sign in ("", "-", "_", ".", "+", "%", "...", "--")]
+    news = rewrite(spark, *texts, "_john.doe@example.com_", "john.doe@example.com_jane@example.com")
+    new = news[0][3:]
+    assert new != "john.doe@example.com" and shape(new)[-4:] == "a.aaa"[-4:]
+    assert news[:8] == [text.replace("john.doe@example.com", new) for text in texts]
+    assert news[8] == f"_{new}_" and news[9].startswith(f"{new}_") and "jane" not in news[9]
