@@ -5,7 +5,7 @@ card, account and social-security numbers, IP addresses, and names behind a form
 entity gets a surrogate drawn by a keyed digest of its type and canonical form, so the same entity has
 the same surrogate in every document (coreference), however it is written. Surrogates keep type and
 format: digits stay digits, letters keep script and case, separators stay, a card number stays valid or
-invalid, a private address private, a given name keeps the gender of its form of address.
+invalid, a private address private (IPv6 addresses are written out in eight groups), a given name keeps the gender of its form of address.
 
 Collision check: over all distinct entities, two that draw the same surrogate, or one that draws
 another's real value, draw again (all but the smallest), until all surrogates differ. Only
@@ -65,6 +65,12 @@ TITLE = "(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?\x20"
 SIGNS = r"^[._%+\-]*"
 WORD = r"\p{Lu}[\p{L}'’\-]+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+GROUP = r"[0-9A-Fa-f]{1,4}"
+#: Telephone numbers without a plus sign or brackets: American ones, others behind a zero.
+NATIONAL = (
+    r"(?:1[\x20.\-])?\d{3}[\x20.\-]\d{3}[\x20.\-]\d{4}|00\d{1,3}(?:[\x20.\-]\d{2,8}){2,4}"
+    r"|0\d{1,4}[\x20/\-]\d{6,8}|0\d{1,4}[\x20/\-]\d{3,4}[\x20\-]\d{3,5}|0\d{1,4}[\x20/\-]\d{3,4}(?:[\x20\-]\d{2}){2}|0\d(?:[\x20.\-]\d{2}){4}"
+)
 NOT_IN_WORD, NOT_IN_NUMBER = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = {
     "email": r"(?:\G|(?<![\p{L}\p{N}._%+\-]))[._%+\-]*+[\p{L}\p{N}][\p{L}\p{N}._%+\-]*+@[\p{L}\p{N}\-]+(?:\.[\p{L}\p{N}\-]+)*\.\p{L}{2,}",
@@ -72,10 +78,12 @@ PATTERNS = {
     "key": NOT_IN_WORD + r"AKIA[A-Z0-9]{16}" + NOT_IN_NUMBER,
     "phone": r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[\x20.\-]?)?\(\d{2,4}\)[\x20.\-]?\d{3,4}[\x20.\-]?\d{4}(?!\d)"
     r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[\x20.\-]?\d{2,4}){2,4}(?!\d)"
-    r"|(?<![\p{L}\p{N}.\-])\d{3}[.\-]\d{3}[.\-]\d{4}(?![\d\-])",
+    rf"|(?<![\p{{L}}\p{{N}}.\-])(?:{NATIONAL})(?![\d\-])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
-    "card": NOT_IN_WORD + r"(?:\d{4}[\x20\-]\d{4}[\x20\-]\d{4}[\x20\-]\d{1,7}|\d{13,19})" + NOT_IN_NUMBER,
+    "card": NOT_IN_WORD + r"(?:\d{4}[\x20\-]\d{4}[\x20\-]\d{4}[\x20\-]\d{1,7}|\d{4}[\x20\-]\d{6}[\x20\-]\d{4,5}|\d{13,19})" + NOT_IN_NUMBER,
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
+    "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:{GROUP}(?::{GROUP}){{7}}|(?:{GROUP}:{GROUP}|[0-9A-Fa-f]{{3,4}})(?::{GROUP}){{0,5}}::(?:{GROUP}(?::{GROUP}){{0,5}})?)"
+    r"(?![\p{L}\p{N}:])",
     "account": NOT_IN_WORD + r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?" + NOT_IN_NUMBER,
     "name": NOT_IN_WORD + TITLE + WORD + rf"(?:\x20{WORD}){{0,2}}",
 }
@@ -105,10 +113,11 @@ def kind(m: Column) -> Column:
         ("email", F.contains(m, F.lit("@"))),
         ("key", m.rlike("^AKIA[A-Z0-9]{16}$")),
         ("name", m.rlike("^" + TITLE)),
+        ("ip6", m.rlike("^[0-9A-Fa-f]{1,4}:")),
         ("account", m.rlike(r"^[A-Z]{2}\d{2}")),
         ("ip", m.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$")),
         ("ssn", m.rlike(r"^\d{3}-\d{2}-\d{4}$")),
-        ("phone", m.rlike(r"^(?:\+|\(|\d{3}[.\-]\d{3}[.\-]\d{4}$)")),
+        ("phone", m.rlike(rf"^(?:\+|\(|(?:{NATIONAL})$)")),
     ]
     return reduce(lambda rest, t: F.when(t[1], t[0]).otherwise(rest), reversed(tests), F.lit("card"))
 
@@ -144,6 +153,13 @@ def _name_part(mention: Column):
     return part
 
 
+def _whole_address(m: Column) -> Column:
+    """The eight groups of four digits of an IPv6 address."""
+    left, right = (F.filter(F.split(F.coalesce(F.get(F.split(m, "::"), F.lit(i)), F.lit("")), ":"), lambda g: g != "") for i in (0, 1))
+    zeros = F.array_repeat(F.lit("0"), F.greatest(8 - F.size(left) - F.size(right), F.lit(0)))
+    return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
+
+
 def _parts(x: Column) -> Column:
     """The entities of a typed mention, each with what stands before it."""
     value = x["value"]
@@ -153,6 +169,7 @@ def _parts(x: Column) -> Column:
         .when((x["kind"] == "secret") & value.rlike("^[0-9A-Fa-f]+$"), F.lower(value))
         .when(x["kind"] == "secret", value)
         .when(x["kind"].isin("key", "ip"), x["m"])
+        .when(x["kind"] == "ip6", _whole_address(F.lower(x["m"])))
         .otherwise(bare)
     )
     secret = x["kind"] == "secret"
@@ -262,9 +279,10 @@ def drawn(key: str, what: Column, canon: Column, tries: Column) -> Column:
     def draw(i: Column) -> Column:
         return _number(key, what, canon, tries, i)
 
-    hexadecimal = (what == "secret") & canon.rlike("^[0-9a-f]+$")
-    # Parts that say nothing of a person stay: key prefix, country of an account, top-level domain.
-    head = F.when(what == "key", 4).when(what == "account", 2).otherwise(0)
+    hexadecimal = (what == "secret") & canon.rlike("^[0-9a-f]+$") | (what == "ip6")
+    # Parts that say nothing of a person stay: key prefix, country of an account, top-level domain,
+    # kind of a private address.
+    head = F.when(what == "key", 4).when(what == "account", 2).when((what == "ip6") & canon.rlike("^f[cde]"), 4).otherwise(0)
     tail = F.when(what == "email", F.length(F.regexp_extract(canon, r"(?:\.example)?\.\p{L}+$", 0))).otherwise(0)
     numbers, n = what.isin("phone", "card", "ssn"), F.length(canon)
     each = F.transform(
@@ -356,7 +374,7 @@ def replaced(key: str, found: Column, again: Column) -> Column:
             F.when(name & shouted, F.upper(word))
             .when(name, title)
             .when(p["kind"].isin("secret", "email"), _cased(written, new))
-            .when(p["kind"].isin("key", "ip"), new)
+            .when(p["kind"].isin("key", "ip", "ip6"), new)
             .otherwise(_laid_out(written, new)),
         )
 

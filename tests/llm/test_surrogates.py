@@ -180,3 +180,17 @@ def test_addresses_behind_signs(spark):
     assert new != "john.doe@example.com" and shape(new)[-4:] == "a.aaa"[-4:]
     assert news[:8] == [text.replace("john.doe@example.com", new) for text in texts]
     assert news[8] == f"_{new}_" and news[9].startswith(f"{new}_") and "jane" not in news[9]
+
+
+def test_national_numbers_long_cards_and_ipv6(spark):
+    numbers = ["555 123 4567", "1-800-555-0199", "030 12345678", "020 7946 0958", "01 42 68 53 00", "0049 30 123456", "3782 822463 10005", "3782-822463-10005"]
+    nets = ["2001:db8::1", "2001:0db8:0:0:0:0:0:1", "fe80::1ff:fe23:4567:890a", "2001:DB8:1:2:3:4:5:6"]
+    clean = ["at 12:34:56", "std::string", "[::2]", "01.02.2024", "aa:bb:cc:dd:ee:ff", "ab::cd"]
+    news = rewrite(spark, *[f"so {x}, it" for x in numbers + nets + clean])
+    for old, new in zip(numbers, news, strict=False):
+        assert shape(new) == shape(f"so {old}, it") and old not in new
+    assert news[6].replace(" ", "")[2:17] == news[7].replace(" ", "").replace("-", "")[2:17] and luhn(news[6][3:20].replace(" ", ""))
+    v6 = [x[3:-4] for x in news[8:12]]
+    assert all(re.fullmatch("[0-9a-f]{4}(:[0-9a-f]{4}){7}", x) for x in v6)
+    assert v6[0] == v6[1] and v6[2].startswith("fe80:") and "db8" not in v6[0] and len(set(v6)) == 3
+    assert news[12:] == [f"so {x}, it" for x in clean]
