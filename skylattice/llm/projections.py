@@ -13,7 +13,7 @@ with just the cosine that links are drawn and projected, and the count is the la
 
 Equal vectors form a class and are projected once. Defined results: vectors that are null, empty,
 zero, or hold null or non-finite components link with nothing, as do rows without ``vec_id``;
-vectors of different lengths never link; rows that repeat are vectors of their own. Other columns
+vectors of different lengths never link; vectors of one component link by sign; rows that repeat are vectors of their own. Other columns
 are not read.
 """
 
@@ -221,12 +221,21 @@ def verified(pairs: DataFrame, found: DataFrame, cosine: float) -> DataFrame:
     return sides.select("a", "b", "va", "vb").mapInArrow(task, "a long, b long")
 
 
+def _of_one_sign(found: DataFrame) -> DataFrame:
+    """``(a, b)`` of the classes of one component: the cosine is 1 for a same sign, else -1."""
+    rows = found.select(F.col("class").alias("a"), (F.col("vector")[0] > 0).alias("sign"))
+    return rows.join(rows.withColumnRenamed("a", "b"), "sign").where("a < b").select("a", "b")
+
+
 def links(found: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``(a, b)``: classes that link, each pair once. ``found`` is staged."""
     spaces = [r[0] for r in found.select(F.size("vector")).distinct().collect()]
     pairs = found.sparkSession.createDataFrame([], "a long, b long")
     for size in sorted(spaces):  # one vector length as a rule
         own = found.where(F.size("vector") == size)
+        if size == 1:
+            pairs = pairs.unionByName(_of_one_sign(own))
+            continue
         plan = calibrate(own.count(), size, settings)
         counted = collisions(own, plan).groupBy("a", "b").agg(F.count("*").alias("n"))
         pairs = pairs.unionByName(verified(counted.where(F.col("n") >= plan.least).select("a", "b"), own, settings.cosine))

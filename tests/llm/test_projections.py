@@ -113,3 +113,9 @@ def test_windows_across_batches(spark):
         assert got >= 0.95 * sum(r[1] for r in brute(rows))
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_vectors_of_one_component(spark):
+    """They link by sign, and do not stop the query."""
+    rows = [(1, [2.0]), (2, [0.5]), (3, [-1.0]), (4, [-3.0]), (5, [0.0]), (6, [2.0])]
+    assert result(spark.createDataFrame(rows, "vec_id long, embedding array<float>")) == brute(rows)
