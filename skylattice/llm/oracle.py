@@ -141,4 +141,92 @@ def _op5() -> str:
 
 OP5 = _op5()
 
-ORACLES = {"op3_site_lines": OP3, "op5_chat": OP5, "op7_curriculum": OP7, "op8_exact_dedup": OP8}
+OP12 = r"""
+    with items as (
+        select item_id, term, count(*) as times from (
+            select item_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from (select distinct item_id, text from benchmark))
+        group by 1, 2),
+    d as (
+        select row_number() over () as row, doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms
+        from documents),
+    t as (
+        select cast(count(*) as bigint) as docs, cast(sum(len(terms)) as bigint) as words from d where len(terms) > 0),
+    tf as (
+        select row, term, count(*) as tf from (select row, unnest(terms) as term from d)
+        where term in (select term from items) group by 1, 2),
+    w as (
+        select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1))) as bigint) as w
+        from (select term, count(*) as df from tf group by 1), t),
+    m as (
+        select row, doc_id, 100 - 75 + (75 * len(terms) * docs) // words as m from d, t),
+    s as (
+        select i.item_id, m.row, any_value(m.doc_id) as doc_id,
+            cast(sum(i.times * w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * m.m))) as bigint) as score
+        from items i join w using (term) join tf using (term) join m on m.row = tf.row
+        group by i.item_id, m.row),
+    r as (
+        select item_id, doc_id, score,
+            cast(row_number() over (partition by item_id order by score desc, doc_id nulls last) as int) as rank
+        from s where score > 0)
+    select item_id, rank, doc_id, score from r where rank <= 10"""
+
+_PARTS, _ENTRIES, _WIDTH = 16, 64, 4  # embeddings have 64 components
+
+
+def _assigned(entries: str) -> str:
+    """Each part's nearest entry and squared distance."""
+    return f"""
+        select row, part, v, key % {_ENTRIES} as entry, key // {_ENTRIES} as apart from (
+            select p.row, p.part, any_value(p.v) as v, min({_ENTRIES} * cast(
+                list_inner_product(p.v, p.v) - 2 * list_inner_product(p.v, e.v) + list_inner_product(e.v, e.v) as bigint)
+                + e.entry) as key
+            from p join {entries} e on p.part = e.part group by 1, 2)"""
+
+
+def _moved(assigned: str, entries: str) -> str:
+    """Entries at the whole means of their parts; those without parts stay."""
+    return f"""
+        select e.part, e.entry, coalesce(n.v, e.v) as v from {entries} e left join (
+            select part, entry, list(floor(total / number) order by j) as v from (
+                select part, entry, j, sum(v[j]) as total, count(*) as number
+                from {assigned}, range(1, {_WIDTH + 1}) x(j) group by 1, 2, 3)
+            group by 1, 2) n on n.part = e.part and n.entry = e.entry"""
+
+
+OP13 = f"""
+    with kept as (
+        select row_number() over (order by vec_id) - 1 as row, vec_id, label,
+            list_transform(embedding, lambda x: floor(256 * x::double)) as v
+        from embeddings
+        where len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    p as (
+        select row, part, v[{_WIDTH} * part + 1:{_WIDTH} * part + {_WIDTH}] as v from kept, range({_PARTS}) y(part)),
+    e0 as (select part, row as entry, v from p where row < {_ENTRIES}),
+    a0 as ({_assigned('e0')}),
+    e1 as ({_moved('a0', 'e0')}),
+    a1 as ({_assigned('e1')}),
+    e2 as ({_moved('a1', 'e1')}),
+    a2 as ({_assigned('e2')}),
+    c as (
+        select row, string_agg(printf('%02x', entry), '' order by part) as code, cast(sum(apart) as bigint) as error
+        from a2 group by 1),
+    h as (
+        select sha256(string_agg(array_to_string(list_transform(v, lambda x: cast(x as bigint)), ','), ',' order by part, entry))
+            as codebooks_sha256
+        from e2)
+    select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+    from kept join c using (row), h"""
+
+ORACLES = {
+    "op3_site_lines": OP3,
+    "op5_chat": OP5,
+    "op7_curriculum": OP7,
+    "op8_exact_dedup": OP8,
+    "op12_nra_search": OP12,
+    "op13_anchor_codes": OP13,
+}

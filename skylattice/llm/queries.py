@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylattice.llm import bpe, chat, curriculum, exact_dedup, ngram_join, projections, quality, shards, site_lines, surrogates
+from skylattice.llm import (
+    anchor_codes,
+    bpe,
+    chat,
+    curriculum,
+    exact_dedup,
+    lexical,
+    ngram_join,
+    projections,
+    quality,
+    shards,
+    site_lines,
+    surrogates,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -113,6 +127,25 @@ def op10_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+    return scored.select(
+        "doc_id",
+        (~toxicity.for_learning()).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op12_nra_search(spark: SparkSession, sf: str) -> DataFrame:
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op13_anchor_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return anchor_codes.compress(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_bpe": op2_bpe,
@@ -124,4 +157,7 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_projections": op9_projections,
     "op10_shards": op10_shards,
+    "op11_toxicity": op11_toxicity,
+    "op12_nra_search": op12_nra_search,
+    "op13_anchor_codes": op13_anchor_codes,
 }
