@@ -257,9 +257,10 @@ def sums(held: DataFrame, entries: np.ndarray, settings: Settings) -> tuple[np.n
         total, number = np.zeros(entries.shape, dtype=np.int64), np.zeros((len(entries), len(parts)), dtype=np.int64)
         for batch in batches:
             for points, trees in zip(batch.column(0), batch.column(1), strict=True):
-                whole = np.frombuffer(points.as_py(), "<i8").reshape(-1, length)
+                flat = np.frombuffer(points.as_py(), "<i8")
                 for k, c in enumerate(parts):
-                    balls, own = _unpacked(trees[k].as_py()), whole[:, c]
+                    balls = _unpacked(trees[k].as_py())
+                    own = flat.reshape(len(balls["order"]), length)[:, c]
                     ball, by_ball, place, by_place = owned(balls, own, entries[:, c])
                     np.add.at(total[:, c], by_ball, balls["total"][ball])
                     np.add.at(number[:, k], by_ball, balls["end"][ball] - balls["begin"][ball])

@@ -7,12 +7,12 @@ documents is that of all text less the toxic share of it, and as a share of text
 negative. Where the estimate of a batch falls below zero, the step goes against it instead, so that
 the classifier does not learn the unlabelled documents by heart.
 
-Features are indicators of words (runs of letters and digits, A-Z lower-cased, hashed). How many
-toxic and how many unlabelled documents hold each word is counted over all rows for learning; the
-words whose share differs most, in standard errors, are the model's columns. Each of
+Features are indicators of words (letters and digits, A-Z lower-cased) and of runs of five bytes in
+them, both hashed. How many toxic and how many unlabelled documents hold each is counted over all rows
+for learning; those whose share differs most, in standard errors, are the model's columns. Each of
 ``Settings.members`` linear classifiers is trained by numpy in a task of its own on its own sample
 of about ``positives`` toxic and ``unlabelled`` other rows at most, drawn by a keyed hash of
-``doc_id``; a score is the mean of their probabilities. Text of held-out rows takes no part, and label 0 is
+``doc_id``, a fifth of it kept aside to bring margins to probabilities; a score is the mean of these. Text of held-out rows takes no part, and label 0 is
 not learned from: it only serves, with label 1, to give the prior unless that is set.
 
 Defined results: a null text is scored as an empty one, which has no words; label rows that repeat
@@ -40,18 +40,28 @@ from skylattice.llm.words import words
 @dataclass(frozen=True)
 class Settings:
     bits: int = 18
-    columns: int = 2_048
-    least: int = 3
+    #: Bytes in a run.
+    order: int = 5
+    columns: int = 512
+    #: Standard errors by which shares differ at least.
+    apart: float = 3.5
     members: int = 4
-    positives: int = 2_000
-    unlabelled: int = 8_000
+    positives: int = 4_000
+    unlabelled: int = 16_000
     prior: float | None = None
-    epochs: int = 40
-    batches: int = 8
+    epochs: int = 150
+    batches: int = 4
     rate: float = 0.05
     decay: float = 1e-4
+    #: Confirmed rows of a sample from which on margins are brought to probabilities.
+    enough: int = 200
     seed: int = 29
 
+    @property
+    def hashes(self) -> int:
+        """Columns of runs and of words, before the telling ones are chosen."""
+        return 2 << self.bits
+
 
 @dataclass(frozen=True)
 class Model:
@@ -62,15 +72,28 @@ class Model:
     base: np.ndarray
 
 
+#: Odd multiplier that spreads runs over the columns.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 #: Hashed words in one message of counts, and rows scored at a time.
 CHUNK = 8_192
 OUT_ROWS = 2_048
 
 
-def hashed(text: str | None, bits: int) -> np.ndarray:
-    """The columns of a text's words, each once unless two words share one."""
-    found = set(words(text))
-    return np.fromiter(map(crc32, found), np.int64, len(found)) & ((1 << bits) - 1)
+def hashed(text: str | None, bits: int, order: int) -> np.ndarray:
+    """The columns of a text's words and of the ``order`` byte runs in them, ascending, each once.
+
+    A run may take in the blank before or behind a word, so stems and endings count as well.
+    """
+    found = words(text)
+    data = np.frombuffer(b" " + b" ".join(found) + b" ", dtype=np.uint8).astype(np.uint64)
+    n = max(len(data) - order + 1, 0)
+    gram = np.zeros(n, dtype=np.uint64)
+    for k in range(order):
+        gram = (gram << np.uint64(8)) | data[k : n + k]
+    gram = ((gram * SPREAD) >> np.uint64(64 - bits)).astype(np.int64)
+    found = set(found)
+    whole = np.fromiter(map(crc32, found), np.int64, len(found)) & ((1 << bits) - 1)
+    return np.unique(np.concatenate([gram, whole | (1 << bits)]))
 
 
 def for_learning(doc_id: str | Column = "doc_id") -> Column:
@@ -94,16 +117,16 @@ def learning_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(toxic, "doc_id", "left").withColumn("toxic", F.coalesce("toxic", F.lit(0)))
 
 
-def word_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def word_counts(rows: DataFrame, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Rows that hold each hashed word, unlabelled and confirmed (two rows), and how many rows there are."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, n = np.zeros((2, 1 << bits), dtype=np.int64), np.zeros(2, dtype=np.int64)
+        counts, n = np.zeros((2, settings.hashes), dtype=np.int64), np.zeros(2, dtype=np.int64)
         for batch in batches:
             for text, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                np.add.at(counts[toxic], np.unique(hashed(text, bits)), 1)
+                counts[toxic, hashed(text, settings.bits, settings.order)] += 1
                 n[toxic] += 1
-        parts = {i // CHUNK: counts[:, i : i + CHUNK] for i in range(0, 1 << bits, CHUNK)}
+        parts = {i // CHUNK: counts[:, i : i + CHUNK] for i in range(0, settings.hashes, CHUNK)}
         found = [(k, p.tobytes()) for k, p in parts.items() if p.any()] + [(-1, n.tobytes())]
         yield pa.record_batch([pa.array([k for k, _ in found], pa.int32()), pa.array([p for _, p in found], pa.binary())], ["chunk", "counts"])
 
@@ -116,7 +139,7 @@ def word_counts(rows: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
     schema = "chunk int, counts binary"
     sums = rows.select("text", "toxic").mapInArrow(task, schema).groupBy("chunk").applyInArrow(add, schema)
-    counts, n = np.zeros((2, 1 << bits), dtype=np.int64), np.zeros(2, dtype=np.int64)
+    counts, n = np.zeros((2, settings.hashes), dtype=np.int64), np.zeros(2, dtype=np.int64)
     for chunk, part in sums.collect():  # a fixed number of columns
         part = np.frombuffer(part, dtype=np.int64)
         if chunk < 0:
@@ -136,10 +159,9 @@ def telling(counts: np.ndarray, n: np.ndarray, settings: Settings) -> np.ndarray
     both = counts.sum(axis=0) / max(n.sum(), 1)
     error = np.sqrt(np.maximum(both * (1 - both), 1e-12) * (1 / np.maximum(n, 1)).sum())
     apart = np.abs(share[1] - share[0]) / error
-    apart[counts.sum(axis=0) < settings.least] = 0
     order = np.lexsort((np.arange(len(apart)), -apart))[: settings.columns]
     places = np.full(len(apart), -1, dtype=np.int64)
-    order = order[apart[order] > 0]
+    order = order[apart[order] >= settings.apart]
     places[order] = np.arange(len(order))
     return places
 
@@ -163,7 +185,7 @@ def drawn(rows: DataFrame, n: np.ndarray, places: np.ndarray, settings: Settings
         for whole in batches:
             for start in range(0, whole.num_rows, OUT_ROWS):
                 batch = whole.slice(start, OUT_ROWS)
-                found = (np.unique(places[hashed(t, settings.bits)]) for t in batch.column(0).to_pylist())
+                found = (places[hashed(t, settings.bits, settings.order)] for t in batch.column(0).to_pylist())
                 kept = pa.array([f[f >= 0].astype("<u4").tobytes() for f in found], pa.binary())
                 yield pa.record_batch([batch.column(1), kept], ["places", "found"])
 
@@ -212,6 +234,28 @@ def descend(x: np.ndarray, toxic: np.ndarray, prior: float, settings: Settings,
     return at[:size], float(at[size])
 
 
+def curve(margins: np.ndarray, toxic: np.ndarray, prior: float) -> tuple[float, float]:
+    """Slope and base that bring margins of rows kept aside to probabilities.
+
+    The same risk without the bound, which two parameters do not need: with the logistic loss it
+    is convex, and at its minimum the mean probability of all text is the prior. By Newton's method.
+    """
+    rest, ones = margins[toxic == 0], margins[toxic == 1]
+    if not len(rest) or not len(ones):
+        return 1.0, 0.0
+    a, b = 1.0, 0.0
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * rest + b, -500, 500)))
+        v = np.maximum(p * (1 - p), 1e-9)
+        grad = np.array([(p * rest).mean() - prior * ones.mean() + 1e-3 * (a - 1), p.mean() - prior])
+        bend = np.array([[(v * rest**2).mean() + 1e-3, (v * rest).mean()], [(v * rest).mean(), v.mean() + 1e-6]])
+        step = np.clip(np.linalg.solve(bend, grad), -1, 1)
+        a, b = a - step[0], b - step[1]
+        if np.abs(step).max() < 1e-8:
+            break
+    return max(float(a), 1e-6), float(b)
+
+
 def trained(samples: DataFrame, size: int, prior: float, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Weights and base of each member, each trained in a task of its own on its sample."""
 
@@ -230,7 +274,11 @@ def trained(samples: DataFrame, size: int, prior: float, settings: Settings) ->
         if min(np.sum(y == 1), np.sum(y == 0)) == 0:
             weights, base = np.zeros(size), np.log(prior / (1 - prior))
         else:
-            weights, base = descend(x, y, prior, settings, settings.seed + member)
+            kept = np.random.default_rng(settings.seed + member).random(len(y)) < 0.2
+            kept &= np.sum(y) >= settings.enough
+            weights, base = descend(x[~kept], y[~kept], prior, settings, settings.seed + member)
+            slope, shift = curve(x[kept] @ weights + base, y[kept], prior)
+            weights, base = slope * weights, slope * base + shift
         yield pa.record_batch([pa.array([member], pa.int32()), pa.array([np.append(weights, base).tobytes()], pa.binary())], ["member", "weights"])
 
     found = samples.groupBy("member").applyInArrow(train, "member int, weights binary").orderBy("member").collect()
@@ -247,10 +295,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     total = sum(by_label.values())
     prior = settings.prior if settings.prior is not None else by_label.get(1, 0) / total if total else 0.5
     prior = min(max(prior, 1e-4), 1 - 1e-4)
-    none = Model(np.full(1 << settings.bits, -1), np.zeros((1, 1)), np.array([np.log(prior / (1 - prior))]))
+    none = Model(np.full(settings.hashes, -1), np.zeros((1, 1)), np.array([np.log(prior / (1 - prior))]))
     if not by_label.get(1):
         return none
-    counts, n = word_counts(rows, settings.bits)
+    counts, n = word_counts(rows, settings)
     places = telling(counts, n, settings)
     size = int(places.max()) + 1
     if not size:
@@ -271,7 +319,7 @@ def score(docs: DataFrame, model: Model, settings: Settings = Settings()) -> Dat
                 batch = whole.slice(start, OUT_ROWS)
                 scores = np.zeros(batch.num_rows)
                 for i, text in enumerate(batch.column(batch.schema.get_field_index("text")).to_pylist()):
-                    found = np.unique(model.places[hashed(text, settings.bits)])
+                    found = model.places[hashed(text, settings.bits, settings.order)]
                     margins = model.weights[:, found[found >= 0]].sum(axis=1) + model.base
                     scores[i] = (1 / (1 + np.exp(-np.clip(margins, -500, 500)))).mean()
                 kept = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]

@@ -1,0 +1,123 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from skylattice.llm import anchor_codes as A
+from skylattice.llm.queries import op13_anchor_codes, table
+
+
+def plain(rows, settings=A.Settings()):
+    """The contract for vectors of one length, every part compared with every entry."""
+    kept = [(i, label, [math.floor(settings.scale * x) for x in v]) for i, label, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    points = np.array([v for _, _, v in kept], dtype=np.int64).reshape(len(kept), -1)
+    entries = points[: settings.entries].copy()
+    length, codes = points.shape[1], np.zeros((len(kept), settings.parts), dtype=int)
+    for step in range(settings.rounds + 1):
+        error = np.zeros(len(kept), dtype=np.int64)
+        for k in range(settings.parts):
+            c = slice(k * length // settings.parts, (k + 1) * length // settings.parts)
+            apart = ((points[:, None, c] - entries[None, :, c]) ** 2).sum(axis=2)
+            codes[:, k] = apart.argmin(axis=1)
+            error += apart.min(axis=1)
+            if step < settings.rounds:
+                for e in range(len(entries)):
+                    own = points[codes[:, k] == e][:, c]
+                    if len(own):
+                        entries[e, c] = [s // len(own) for s in own.sum(axis=0).tolist()]
+    by_label = {}
+    for (_, label, _), e in zip(kept, error, strict=True):
+        by_label[label] = by_label.get(label, 0) + int(e)
+    cuts = [slice(k * length // settings.parts, (k + 1) * length // settings.parts) for k in range(settings.parts)]
+    text = ",".join(str(x) for c in cuts for e in entries for x in e[c].tolist())
+    digest = hashlib.sha256(text.encode()).hexdigest()
+    return sorted(((i, bytes(codes[n].tolist()).hex(), int(error[n]), by_label[label], digest) for n, (i, label, _) in enumerate(kept)), key=str)
+
+
+def vectors(spark, rows, kind="float"):
+    return spark.createDataFrame(rows, f"vec_id long, label int, embedding array<{kind}>")
+
+
+def found(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def test_embeddings(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, r.label, r.embedding) for r in table(spark, sf, "embeddings").collect()]
+    assert found(op13_anchor_codes(spark, sf)) == plain(rows)
+
+
+@pytest.mark.parametrize("settings", [A.Settings(), A.Settings(block=37, leaf=3), A.Settings(entries=5, rounds=4, parts=4, leaf=2)])
+def test_groups_ties_and_copies(spark, settings):
+    """A third of the rows are copies, another third lies on a coarse grid where distances tie."""
+    draw = np.random.default_rng(5)
+    rows = [(int(i), int(i) % 3 if i % 5 else None, v.tolist()) for i, v in enumerate(np.round(draw.standard_normal((400, 32)) * 2) / 256)]
+    rows += [(1000 + i, 7, [0.25] * 32) for i in range(300)]
+    rows += [(2000 + i, 1, v.tolist()) for i, v in enumerate(draw.standard_normal((200, 32)) - 3)]
+    rows += rows[:20]
+    df = vectors(spark, rows, "double").repartition(5)
+    assert found(A.compress(df, settings)) == plain(rows, settings)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    fine = [(1, 1, [0.5] * 16), (2, None, [-0.001] * 16), (2, None, [0.25] * 16), (None, 3, [0.75] * 16), (4, 3, [-0.0] * 16)]
+    bad = [(5, 1, None), (6, 1, [nan] * 16), (7, 1, [inf] + [0.0] * 15), (8, 1, [None] + [0.0] * 15)]
+    df = vectors(spark, fine + bad).withColumn("code", A.F.lit("x")).withColumn("ints", A.F.lit(1))
+    assert found(A.compress(df)) == plain(fine + bad)
+    result = A.compress(df.where("false"))
+    assert result.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"] and result.collect() == []
+
+
+def test_other_lengths(spark):
+    draw = np.random.default_rng(6)
+    rows = [(i, i % 2, draw.standard_normal(n).tolist()) for n in (0, 3, 20) for i in range(n * 100, n * 100 + 70)]
+    got = {r.vec_id: r for r in A.compress(vectors(spark, rows, "double")).collect()}
+    assert len(got) == 210
+    for n in (0, 3, 20):
+        for vec_id, code, error, _, digest in plain([r for r in rows if len(r[2]) == n]):
+            assert (got[vec_id].code, got[vec_id].error, got[vec_id].codebooks_sha256) == (code, error, digest)
+    by_label = {0: 0, 1: 0}
+    for r in got.values():
+        by_label[r.vec_id % 2] += r.error
+    assert all(r.label_error == by_label[r.vec_id % 2] for r in got.values())
+
+
+def test_too_large_components_are_an_error(spark):
+    with pytest.raises(ValueError, match="beyond 64 bits"):
+        A.compress(vectors(spark, [(1, 1, [1e30] * 16)], "double"))
+
+
+def test_balls_hold_their_points():
+    draw = np.random.default_rng(7)
+    points = np.concatenate([draw.integers(-500, 500, (700, 4)), np.full((300, 4), 9)])
+    balls = A.tree(points, 10)
+    assert sorted(balls["order"].tolist()) == list(range(1000))
+    for k in range(len(balls["parent"])):
+        own = points[balls["order"][balls["begin"][k] : balls["end"][k]]]
+        assert (own.sum(axis=0) == balls["total"][k]).all()
+        assert np.sqrt(((own - balls["middle"][k]) ** 2).sum(axis=1)).max() <= balls["radius"][k] * (1 + 1e-12)
+        below = np.flatnonzero(balls["parent"] == k)
+        assert balls["leaf"][k] == (not len(below))
+        if len(below):
+            assert balls["end"][below].max() == balls["end"][k] and balls["begin"][below].min() == balls["begin"][k]
+
+
+def test_balls_are_owned_whole():
+    """Points in clear groups: whole balls are given to an entry, few points are looked at singly."""
+    draw = np.random.default_rng(8)
+    middles = draw.integers(-9000, 9000, (64, 4))
+    points = middles[draw.integers(0, 64, 4000)] + draw.integers(-20, 20, (4000, 4))
+    balls = A.tree(points, 24)
+    ball, by_ball, place, by_place = A.owned(balls, points, middles)
+    assert (balls["end"][ball] - balls["begin"][ball]).sum() + len(place) == 4000
+    assert len(place) < 400
+    nearest = ((points[:, None] - middles[None]) ** 2).sum(axis=2).argmin(axis=1)
+    for b, e in zip(ball, by_ball, strict=True):
+        assert (nearest[balls["order"][balls["begin"][b] : balls["end"][b]]] == e).all()
+    assert (nearest[place] == by_place).all()

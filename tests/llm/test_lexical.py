@@ -1,0 +1,114 @@
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from texts import ODD, empty, odd
+
+from skylattice.llm import lexical as L
+from skylattice.llm.queries import op12_nra_search, table
+from skylattice.llm.words import words
+
+PATTERN = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def plain_words(text):
+    return PATTERN.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def plain(docs, items, top=10):
+    """The contract, one document after the other."""
+    held = [(d, Counter(plain_words(t))) for d, t in docs]
+    n = sum(1 for _, c in held if c)
+    length = sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    wanted = {}
+    for item, text in dict.fromkeys(items):
+        wanted.setdefault(item, Counter()).update(plain_words(text))
+    out = []
+    for item, terms in wanted.items():
+        scores = []
+        for doc, c in held:
+            if c:
+                m = 25 + 75 * sum(c.values()) * n // length
+                each = (
+                    times * math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                    for t, times in terms.items()
+                    if c[t]
+                )
+                scores.append((-sum(each), doc is None, doc or 0))
+        best = sorted(s for s in scores if s[0] < 0)[:top]
+        out += [(item, i + 1, None if none else d, -s) for i, (s, none, d) in enumerate(best)]
+    return sorted(out, key=str)
+
+
+def found(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("text", ["", None, "Ünï-Çödé; A_b c'd 12.5 中文 😀 ÄÖ\x00\x7fx", "\t\n ,;", "AbC" * 9000])
+def test_words_are_those_of_the_pattern(text):
+    assert [w.decode() for w in words(text)] == plain_words(text)
+
+
+def test_odd_rows(spark):
+    df = odd(spark)
+    items = [(1, "The quick fox, the dog"), (1, "The quick fox, the dog"), (2, None), (3, ""), (None, "one 中文 words"), (4, "nothing alike"), (5, "word"), (5, "end"), (6, "éé ünï")]
+    wanted = spark.createDataFrame(items, "item_id long, text string").withColumn("score", L.F.lit("x"))
+    docs = [(r[0], r[1]) for r in ODD]
+    for settings in (L.Settings(), L.Settings(documents=2, depth=1), L.Settings(items=2, top=2)):
+        assert found(L.search(df, wanted, settings)) == plain(docs, items, settings.top)
+    assert L.search(empty(spark), wanted).collect() == []
+    assert L.search(df, wanted.where("false")).collect() == []
+    assert L.search(df, wanted).columns == ["item_id", "rank", "doc_id", "score"]
+
+
+def test_ties_and_repeated_rows(spark):
+    docs = [(i % 40, "same words here") for i in range(120)] + [(None, "same words here")] * 3 + [(500 + i, "other") for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    items = [(1, "same"), (2, "here same"), (3, "other")]
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+    assert found(L.search(df, wanted, L.Settings(depth=1, growth=2))) == plain(docs, items)
+
+
+def test_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
+    items = [(r.item_id, r.text) for r in table(spark, sf, "benchmark").collect()]
+    assert found(op12_nra_search(spark, sf)) == plain(docs, items)
+
+
+def test_reading_stops_before_the_end():
+    """Where high impacts settle the result, the low ends of long lists are not read."""
+    draw = np.random.default_rng(4)
+    documents, terms = 5000, 3
+    term = np.repeat(np.arange(terms), documents)
+    doc = np.concatenate([draw.permutation(documents) for _ in range(terms)])
+    impact = draw.integers(1, 1000, len(doc))
+    best = np.arange(12)
+    impact[np.isin(doc, best)] = 100_000 + doc[np.isin(doc, best)]
+    lists = L.Lists(term, doc, impact, terms)
+    near, scores, entries = L.nra(lists, np.arange(terms), np.array([3, 2, 1]), documents, L.Settings())
+    whole = np.zeros(documents, dtype=np.int64)
+    np.add.at(whole, doc, impact * np.array([3, 2, 1])[term])
+    order = np.lexsort((near, -scores))[:10]
+    assert near[order].tolist() == np.lexsort((np.arange(documents), -whole))[:10].tolist()
+    assert (scores == whole[near]).all() and entries < len(doc) / 10
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_intervals_settle_any_lists(seed):
+    draw = np.random.default_rng(seed)
+    documents, terms = int(draw.integers(1, 60)), int(draw.integers(1, 6))
+    held = draw.random((terms, documents)) < draw.random()
+    term, doc = np.nonzero(held)
+    impact = draw.integers(0, 5, len(doc))
+    by = draw.integers(0, 4, terms)
+    settings = L.Settings(top=int(draw.integers(1, 12)), depth=1, growth=2)
+    near, scores, _ = L.nra(L.Lists(term, doc, impact, terms), np.arange(terms), by, documents, settings)
+    whole = np.zeros(documents, dtype=np.int64)
+    np.add.at(whole, doc, impact * by[term])
+    expected = [d for d in np.lexsort((np.arange(documents), -whole)) if whole[d] > 0][: settings.top]
+    assert near[np.lexsort((near, -scores))[: settings.top]].tolist() == expected
+    assert (whole[near] == scores).all()
