@@ -32,10 +32,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tz", default="UTC", help="zone of dates and hours")
     parser.add_argument("--master", help="Spark master, for a run outside spark-submit")
     job = parser.add_subparsers(dest="job", required=True)
-    for name in ("hourly", "daily", "condition", "condition-backfill", "monthly", "weekly", "quality", "health"):
+    for name in ("hourly", "daily", "condition", "condition-backfill", "monthly", "weekly", "quality", "health", "increment"):
         sub = job.add_parser(name)
-        sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
-        if name in ("hourly", "condition", "condition-backfill", "quality"):
+        if name == "increment":
+            sub.add_argument("--lot", required=True, help="name of the observations in --raw, which hold this lot alone")
+        else:
+            sub.add_argument("--as-of", type=datetime.fromisoformat, required=True)
+        if name in ("hourly", "condition", "condition-backfill", "quality", "increment"):
             _raw_arguments(sub)
         if name == "quality":
             sub.add_argument("--reports", required=True, help="folder of the reports")
@@ -105,6 +108,10 @@ def main(argv: list[str] | None = None) -> None:
         jobs.monthly_job(store, args.as_of, **mode)
     elif args.job == "weekly":
         jobs.weekly_job(store, args.as_of, **mode)
+    elif args.job == "increment":
+        if not args.root:
+            raise SystemExit("increment keeps its sums in files: it needs --root")
+        jobs.increment_job(raw, store, args.lot, args.tz)
     elif args.job == "quality":
         jobs.quality_job(raw, store, args.reports, args.as_of)
     elif args.job == "land":

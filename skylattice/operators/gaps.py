@@ -23,48 +23,53 @@ def _hours(start: datetime, end: datetime) -> tuple[int, int]:
     return -(-epoch(start) // 3600), -(-epoch(end) // 3600)
 
 
-def _placed(weather_hour: DataFrame, city: DataFrame, a: int, b: int) -> DataFrame:
-    """Rows of the hours ``[a, b)`` and, for every city of the roster, one row at ``a - 1``.
+def _placed(hours: DataFrame, city: DataFrame, a: int) -> DataFrame:
+    """Rows by hour (``_h``) with one more for every city of the roster at ``a - 1``, without values."""
+    nothing = {m: F.lit(None).cast("double") for m in HOUR_MEASURES}
+    listed = city.select("IdCity").withColumns({"_h": F.lit(a - 1).cast("bigint")} | nothing)
+    columns = ["IdCity", "_h", *HOUR_MEASURES]
+    rows = hours.select(columns).withColumn("_listed", F.lit(False))
+    return rows.unionByName(listed.select(*columns, F.lit(True).alias("_listed")))
 
-    The latter holds the last known value of each measure before ``a``, if there is one.
-    """
+
+def _until(weather_hour: DataFrame, b: int) -> DataFrame:
     hour = epoch_hour(F.col("Date"), F.col("Hour"))
-    until = weather_hour.filter(F.col("Date") <= _date_of(b - 1)).withColumn("_h", hour).filter(F.col("_h") < b)
-    rows = until.filter(F.col("Date") >= _date_of(a)).filter(F.col("_h") >= a)
-    known = until.filter(F.col("_h") < a).groupBy("IdCity").agg(
-        *(F.max_by(m, F.when(F.col(m).isNotNull(), F.col("_h"))).alias(m) for m in HOUR_MEASURES)
-    )
-    roster = city.select("IdCity").distinct()
-    before = roster.join(known, "IdCity", "left").withColumn("_h", F.lit(a - 1).cast("bigint"))
-    columns = ["IdCity", "_h", *HOUR_MEASURES]
-    return rows.join(roster, "IdCity", "left_semi").select(columns).unionByName(before.select(columns))
+    return weather_hour.filter(F.col("Date") <= _date_of(b - 1)).withColumn("_h", hour).filter(F.col("_h") < b)
 
 
 def _date_of(hour: int) -> Column:
     return F.date_from_unix_date(F.lit(hour // 24))
 
 
-def fill_gaps(weather_hour: DataFrame, city: DataFrame, start: datetime, end: datetime) -> DataFrame:
+def fill_gaps(
+    weather_hour: DataFrame, city: DataFrame, start: datetime, end: datetime, known: DataFrame | None = None
+) -> DataFrame:
     """Every hour of ``[start, end)`` for each city of the roster ``city``.
 
     A missing hour, and a missing measure in a present hour, takes the city's last known value,
     also one from before ``start``: filling two periods one after the other gives what filling
     both at once gives. Before the first known value it is null. ``Filled`` marks hours that had no
-    row. Rows per city are bounded by the hours of the period.
+    row. Rows before ``start`` are read for that, unless ``known`` holds the last known values at ``start``
+    (:func:`known_values`). One scan and one window by city either way.
     """
     a, b = _hours(start, end)
-    order = Window.partitionBy("IdCity").orderBy("_h")
-    known = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = _placed(weather_hour, city, a, b).withColumns(
-        {m: F.last(m, ignorenulls=True).over(known) for m in HOUR_MEASURES}
-        | {"_until": F.lead("_h", 1, b).over(order)}
+    hours = _until(weather_hour, b)
+    if known is not None:
+        hours = hours.filter((F.col("Date") >= _date_of(a)) & (F.col("_h") >= a)).select("IdCity", "_h", *HOUR_MEASURES)
+        hours = hours.unionByName(known.select("IdCity", F.lit(a - 1).cast("bigint").alias("_h"), *HOUR_MEASURES))
+    of_city = Window.partitionBy("IdCity")
+    order = of_city.orderBy("_h", "_listed")
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = _placed(hours, city, a).withColumns(
+        {m: F.last(m, ignorenulls=True).over(so_far) for m in HOUR_MEASURES}
+        | {"_until": F.lead("_h", 1, b).over(order), "_listed": F.max("_listed").over(of_city)}
     )
     since = F.greatest(F.col("_h"), F.lit(a).cast("bigint"))
     none = F.array().cast("array<bigint>")
-    each = F.when(since < F.col("_until"), F.sequence(since, F.col("_until") - 1)).otherwise(none)
-    hours = placed.withColumn("_g", F.explode(each))
+    each = F.when(F.col("_listed") & (since < F.col("_until")), F.sequence(since, F.col("_until") - 1)).otherwise(none)
+    filled = placed.withColumn("_g", F.explode(each))
     seconds = F.col("_g") * 3600
-    return hours.select(
+    return filled.select(
         "IdCity",
         obs_date(seconds).alias("Date"),
         obs_hour(seconds).alias("Hour"),
@@ -73,14 +78,24 @@ def fill_gaps(weather_hour: DataFrame, city: DataFrame, start: datetime, end: da
     )
 
 
+def known_values(filled: DataFrame, end: datetime) -> DataFrame:
+    """The last known values of each city at ``end``: those of the last hour before it in a filled period."""
+    hour = _hours(end, end)[1] - 1
+    last = (F.col("Date") == _date_of(hour)) & (F.col("Hour") == hour % 24)
+    return filled.filter(last).select("IdCity", F.lit(end.date()).alias("AsOf"), *HOUR_MEASURES)
+
+
 def gap_report(weather_hour: DataFrame, city: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Per city of the roster the hours present and missing in ``[start, end)`` and the longest gap."""
     a, b = _hours(start, end)
+    hours = _until(weather_hour, b).filter((F.col("Date") >= _date_of(a)) & (F.col("_h") >= a))
     order = Window.partitionBy("IdCity").orderBy("_h")
-    gaps = _placed(weather_hour, city, a, b).withColumn("_after", F.lead("_h", 1, b).over(order) - F.col("_h") - 1)
+    gaps = _placed(hours, city, a).withColumn("_after", F.lead("_h", 1, b).over(order) - F.col("_h") - 1)
     present = F.count_if(F.col("_h") >= a)
-    return gaps.groupBy("IdCity").agg(
+    each = gaps.groupBy("IdCity").agg(
         present.alias("HoursPresent"),
         (F.lit(b - a) - present).alias("HoursMissing"),
         F.max("_after").alias("LongestGap"),
+        F.max("_listed").alias("_listed"),
     )
+    return each.filter("_listed").drop("_listed")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +28,7 @@ from skylattice.operators.gaps import fill_gaps, gap_report
 from skylattice.operators.hourly import hourly, to_city
 from skylattice.operators.monthly import monthly, monthly_join, monthly_measure, week_dim, weekly
 from skylattice.operators.rolling import anomalies, rolling
-from skylattice.plans.jobs import load_countries, load_dims
+from skylattice.plans.jobs import fill_job, increment_job, load_countries, load_dims
 from skylattice.schemas import DAY_FAMILIES, RAW_LANDED, TABLES, to_table
 from skylattice.sinks.tables import WriteConflict, write_table
 from skylattice.sources import star
@@ -209,14 +209,11 @@ def city_country(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def month_summary_join(spark: SparkSession, sf: str) -> DataFrame:
-    """From stored daily tables, as the monthly job reads them: one pass over the raw data."""
-    store = FileStore(spark, new_dir(spark, "tables"))
+    """From four stored daily tables: one pass over the raw data writes the columns that all four read."""
     path = new_dir(spark, "days")
     daily_wide(spark, sf).write.parquet(path)
-    wide, families = spark.read.parquet(path), ("Temp", "Humidity", "Rain", "Wind")
-    for f in families:
-        write_table(store, day_table(wide, f), DAY_FAMILIES[f][0], "append")
-    return monthly_join(*(store.read(DAY_FAMILIES[f][0]) for f in families))
+    wide = spark.read.parquet(path)
+    return monthly_join(*(day_table(wide, f) for f in ("Temp", "Humidity", "Rain", "Wind")))
 
 
 def _loaded(load: Callable[[DataFrame, FileStore], None], name: str) -> Query:
@@ -371,6 +368,66 @@ def table_stream(spark: SparkSession, sf: str) -> DataFrame:
     return store.read("weather_hour")
 
 
+def stream_and_batch(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that a stream wrote takes batch writes as well.
+
+    The stream writes its closed hours, twice run; a batch then appends the hours that stayed open, and
+    the dates from the split on are replaced by hours of a quarter of their wind.
+    """
+    documents, state = new_dir(spark, "documents"), new_dir(spark, "state")
+    store = FileStore(spark, new_dir(spark, "tables"))
+    seen, cities = star.observations(spark, sf), star.cities(spark, sf)
+    seen.write.json(documents)
+    for _ in range(2):
+        into_table(hourly_stream(read_document_stream(spark, documents), cities), store, "weather_hour", state).awaitTermination()
+    whole = hourly(seen, cities)
+    write_table(store, whole, "weather_hour", "skip")
+    within = in_dates("Date", SPLIT, None)
+    late = whole.filter(within).withColumn("Wind", F.col("Wind") / 4)
+    write_table(store, late, "weather_hour", "replace", within)
+    return store.read("weather_hour")
+
+
+def landed_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The same documents under other file names, by stream and by batch: each lands once."""
+    first, again, raw, state = (new_dir(spark, n) for n in ("documents", "again", "raw", "state"))
+    seen = star.observations(spark, sf)
+    seen.filter("dt % 3 > 0").write.json(first)
+    seen.filter("dt % 3 < 2").repartition(3).write.json(again)
+    land_stream(spark, first, raw, state).awaitTermination()
+    land_raw(spark, again, raw)
+    land_raw(spark, first, raw)
+    landed = read_raw(spark, raw)
+    return landed.groupBy(F.col("obs_date").alias("Date")).agg(
+        F.count("*").alias("documents"), F.count("rain").alias("with_rain")
+    )
+
+
+def _by_lots(name: str) -> Query:
+    """Three lots, the third with observations of all dates, and the second run again."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        store = FileStore(spark, new_dir(spark, "tables"))
+        write_table(store, star.cities(spark, sf), "city", "append")
+        seen, split = star.observations(spark, sf), (SPLIT.toordinal() - 719163) * 86400
+        lots = {"early": f"dt % 7 > 0 and dt < {split}", "later": f"dt % 7 > 0 and dt >= {split}", "late": "dt % 7 = 0"}
+        for lot in ("early", "later", "late", "later"):
+            increment_job(seen.filter(lots[lot]), store, lot)
+        return store.read(name)
+
+    return run
+
+
+def gap_fill_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The gaps of two periods one after the other: the second reads the values known at its start."""
+    store = FileStore(spark, new_dir(spark, "tables"))
+    write_table(store, star.cities(spark, sf), "city", "append")
+    write_table(store, weather_hour(spark, sf), "weather_hour", "append")
+    fill_job(store, FIRST, SPLIT - timedelta(days=1))
+    fill_job(store, SPLIT, LAST)
+    return store.read("hour_filled")
+
+
 QUERIES: dict[str, Query] = {
     "hourly_calendar": weather_hour,
     "hourly_trailing": hourly_trailing,
@@ -423,11 +480,16 @@ QUERIES: dict[str, Query] = {
     "rolling_7d": lambda spark, sf: rolling(daily_wide(spark, sf), ROLLING, 7),
     "units": units,
     "gap_fill": gap_fill,
+    "gap_fill_kept": gap_fill_kept,
     "gap_report": gaps,
     "alerts": lambda spark, sf: alerts(weather_hour(spark, sf), RULES),
     "anomalies": lambda spark, sf: anomalies(weather_hour(spark, sf), "Temp", 168, 2.0),
     "sql_surface": sql_surface,
     "table_stream": table_stream,
+    "stream_and_batch": stream_and_batch,
+    "landed_once": landed_once,
+    "hourly_increments": _by_lots("weather_hour"),
+    "condition_increments": _by_lots("weather_condition_day"),
     "hourly_stream": _streamed(hourly_stream, "weather_hour"),
     "condition_stream": _streamed(condition_stream, "weather_condition_day"),
 }

@@ -6,6 +6,7 @@ is a ``FileStore`` or ``JdbcStore``; ``replace`` needs the former.
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 from functools import reduce
 
@@ -22,11 +23,13 @@ from skylattice.operators.dims import (
     number_countries,
 )
 from skylattice.operators.filters import in_dates
+from skylattice.operators.gaps import fill_gaps, known_values
 from skylattice.operators.hourly import hourly
 from skylattice.operators import quality
 from skylattice.operators.health import health_snapshot
+from skylattice.operators.increments import condition_sums, conditions_of, hour_sums, hours_of
 from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
-from skylattice.schemas import DAY_FAMILIES, TABLES
+from skylattice.schemas import DAY_FAMILIES, STATES, TABLES, to_table
 from skylattice.sinks.tables import write_table
 from skylattice.sources.tables import FileStore, JdbcStore
 from skylattice.storage import staged
@@ -60,6 +63,30 @@ def hourly_backfill(
     write_table(store, rows, "weather_hour", on_conflict, _within(span))
 
 
+def increment_job(raw: DataFrame, store: FileStore, lot: str, tz: str = "UTC") -> None:
+    """Add the observations of a lot to the kept sums, and renew the hours and conditions they touch.
+
+    ``raw`` holds the lot alone. Its sums replace those of an earlier run under the same name, so a run
+    that was lost or is repeated counts nothing twice. Read are the lot and the sums of the dates in it;
+    these dates are written anew in ``weather_hour`` and ``weather_condition_day``.
+    """
+    if not re.fullmatch(r"[\w.-]+", lot):
+        raise ValueError(f"a lot is named by letters, digits, '_', '.' and '-', not {lot!r}")
+    city = store.read("city")
+    for state, sums, result, rows in (
+        ("cell_hour", hour_sums, "weather_hour", hours_of),
+        ("cell_condition", condition_sums, "weather_condition_day", conditions_of),
+    ):
+        table = STATES[state]
+        with staged(to_table(sums(raw, tz).withColumn("Lot", F.lit(lot)), table)) as own:
+            dates = [r.Date for r in own.select("Date").distinct().collect()]  # folders of the write
+            if not dates:
+                continue
+            touched = F.col("Date").isin(dates)
+            store.replace(own, table, touched & (F.col("Lot") == lot))
+            write_table(store, rows(store.read(state).filter(touched), city), result, "replace", touched)
+
+
 def daily_job(store: Store, as_of: datetime, on_conflict: str = "error", tz: str = "UTC") -> None:
     """The five daily tables for yesterday."""
     _daily(store, period("day", as_of, tz), on_conflict)
@@ -79,6 +106,22 @@ def _daily(store: Store, span: Period, on_conflict: str) -> None:
             write_table(store, day_table(wide, family), name, on_conflict, _within(span), stored=True)
 
 
+def fill_job(store: FileStore, first: date, last: date, tz: str = "UTC") -> None:
+    """``hour_filled`` for ``first`` to ``last``, and the values known at its end.
+
+    Values from before come from the job's run up to ``first``, if there was one; then only the period is
+    read. Otherwise all earlier hours are.
+    """
+    span = date_period(first, last, tz)
+    start, end = span.dates
+    held = store.held("last_known").filter(F.col("AsOf") == F.lit(start))
+    known = held if held.take(1) else None
+    rows = fill_gaps(store.read("weather_hour"), store.read("city"), span.start, span.end, known)
+    write_table(store, rows, "hour_filled", "replace", in_dates("Date", start, end))
+    filled = store.read("hour_filled").filter(in_dates("Date", start, end))
+    write_table(store, known_values(filled, span.end), "last_known", "replace", F.col("AsOf") == F.lit(end))
+
+
 def condition_job(
     raw: DataFrame, store: Store, as_of: datetime, on_conflict: str = "error", tz: str = "UTC"
 ) -> None:

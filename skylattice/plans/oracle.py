@@ -330,4 +330,12 @@ _SELECT = {
         where epoch(cast(Date as timestamp)) + 86400 <= mark""",
 }
 
+_SELECT |= {
+    "hourly_increments": _SELECT["hourly_calendar"],
+    "condition_increments": _SELECT["condition_backfill"],
+    "gap_fill_kept": _SELECT["gap_fill"],
+    "landed_once": _SELECT["raw_stream"],
+    "stream_and_batch": f"""select * replace (case when Date >= date '{SPLIT}' then Wind / 4 else Wind end as Wind) from wh""",
+}
+
 ORACLES: dict[str, str] = {name: f"{PRELUDE}\n{select}" for name, select in _SELECT.items()}

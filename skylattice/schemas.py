@@ -33,9 +33,10 @@ RAW = """
     cod int
 """
 RAW_WITH_CORRUPT = f"{RAW}, {CORRUPT} string"
-#: The text of the landed document, with every field it had, declared or not.
-DOCUMENT = "document"
-RAW_LANDED = f"{RAW_WITH_CORRUPT}, {DOCUMENT} string"
+#: The landed document with every field it had, declared or not; the text itself is kept only where it
+#: is no JSON. The digest of the text tells documents apart.
+BODY, DOCUMENT, DIGEST = "body", "document", "digest"
+RAW_LANDED = f"{RAW_WITH_CORRUPT}, {BODY} variant, {DOCUMENT} string, {DIGEST} binary"
 
 SEED = "country string, city string, lat double, lon double, seq bigint"
 
@@ -145,6 +146,61 @@ TABLES = {
 }
 
 
+# The sums that an average is kept as.
+PARTS = ("high", "low", "rest", "count")
+
+#: What jobs keep for their next run: for each lot the sums of a cell and hour, and the counts of its
+#: conditions; hours without gaps, and the values last known at the end of a filled period.
+STATES = {
+    t.name: t
+    for t in [
+        Table(
+            "cell_hour",
+            {"lon_c": "int", "lat_c": "int", "Date": "date", "Hour": "int", "Lot": "string"}
+            | {f"{m}_{p}": "bigint" for m in HOUR_MEASURES for p in PARTS},
+            ("lon_c", "lat_c", "Date", "Hour", "Lot"),
+            ("Date", "Hour", "Lot"),
+            ("Date", "Lot"),
+        ),
+        Table(
+            "cell_condition",
+            {
+                "lon_c": "int",
+                "lat_c": "int",
+                "Date": "date",
+                "WeatherMain": "string",
+                "WeatherDescription": "string",
+                "Lot": "string",
+                "cnt": "bigint",
+            },
+            ("lon_c", "lat_c", "Date", "WeatherMain", "WeatherDescription", "Lot"),
+            ("Date", "Lot"),
+            ("Date", "Lot"),
+        ),
+        Table(
+            "hour_filled",
+            {"IdCity": "bigint", "Date": "date", "Hour": "int"}
+            | dict.fromkeys(HOUR_MEASURES, "double")
+            | {"Filled": "boolean"},
+            ("IdCity", "Date", "Hour"),
+            ("IdCity", "Date", "Hour", "Filled"),
+            ("Date",),
+        ),
+        Table(
+            "last_known",
+            {"IdCity": "bigint", "AsOf": "date"} | dict.fromkeys(HOUR_MEASURES, "double"),
+            ("IdCity", "AsOf"),
+            ("IdCity", "AsOf"),
+            ("AsOf",),
+        ),
+    ]
+}
+
+
+def declared(name: str) -> Table:
+    return TABLES[name] if name in TABLES else STATES[name]
+
+
 def to_table(df: DataFrame, table: Table) -> DataFrame:
     """Select and cast the columns of ``table``, in table order."""
     return df.select(*(F.col(c).cast(t).alias(c) for c, t in table.columns.items()))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.operators.dims import insert_if_absent
-from skylattice.schemas import TABLES, Table, to_table
+from skylattice.schemas import Table, declared, to_table
 from skylattice.sources.tables import FileStore, JdbcStore
 from skylattice.storage import staged
 
@@ -34,17 +34,18 @@ def write_table(
     on_conflict: str = "error",
     within: Column | None = None,
     stored: bool = False,
+    order: list[Column] | None = None,
 ) -> None:
     """Write ``df`` to table ``name`` of ``store``.
 
     ``within`` is a predicate on the table's partition columns that holds for every new row. It
     limits the look-up of existing keys to the partitions concerned and tells ``replace`` which
     periods to overwrite. ``stored`` says that ``df`` derives cheaply from stored rows and
-    need not be staged.
+    need not be staged. With ``order`` and ``skip`` a key may stand twice in the batch: the first row wins.
     """
     if on_conflict not in MODES:
         raise ValueError(f"on_conflict must be one of {MODES}, not {on_conflict!r}")
-    table = TABLES[name]
+    table = declared(name)
     rows = to_table(df, table)
     if on_conflict == "append":
         store.append(rows, table)
@@ -52,7 +53,7 @@ def write_table(
     if on_conflict == "replace" and not (isinstance(store, FileStore) and table.partition_by and within is not None):
         raise ValueError("replace needs a partitioned file table and the predicate within")
     with nullcontext(rows) if stored else staged(rows) as fresh:
-        _check(fresh, table, within)
+        _check(fresh, table, within, once=order is None or on_conflict != "skip")
         if on_conflict == "replace":
             store.replace(fresh, table, within)
             return
@@ -64,11 +65,11 @@ def write_table(
             if clash:
                 raise WriteConflict(f"{name}: key exists, e.g. {clash}")
         else:
-            fresh = insert_if_absent(fresh, existing, keys)
+            fresh = insert_if_absent(fresh, existing, keys, order)
         store.append(to_table(fresh, table), table)
 
 
-def _check(rows: DataFrame, table: Table, within: Column | None) -> None:
+def _check(rows: DataFrame, table: Table, within: Column | None, once: bool) -> None:
     """Count all violations in one pass, by key, and raise if there are any."""
     broken = {f"null in NOT NULL column {c}": F.col(c).isNull() for c in table.not_null}
     if within is not None:
@@ -77,7 +78,7 @@ def _check(rows: DataFrame, table: Table, within: Column | None) -> None:
     per_key = rows.groupBy(*table.keys).agg(F.count("*").alias("_n"), *counted)
     found = per_key.agg(
         *(F.sum(f"`{what}`").alias(what) for what in broken),
-        F.count_if(F.col("_n") > 1).alias("key twice in the batch"),
+        F.count_if((F.col("_n") > 1) & F.lit(once)).alias("key twice in the batch"),
     ).first()
     problems = [f"{n} x {what}" for what, n in found.asDict().items() if n]
     if problems:

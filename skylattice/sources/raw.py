@@ -9,10 +9,15 @@ from pyspark.sql import functions as F
 
 from skylattice.functions.time import obs_date
 from skylattice.operators.filters import between_half_open
-from skylattice.schemas import CORRUPT, DOCUMENT, OBS_DATE, RAW, RAW_WITH_CORRUPT
-from skylattice.storage import exists
+from skylattice.schemas import BODY, CORRUPT, DIGEST, DOCUMENT, OBS_DATE, RAW, RAW_LANDED, RAW_WITH_CORRUPT
+from skylattice.storage import exists, staged
 
+#: A folder with this log belongs to a file stream: readers see only what the log lists.
 STREAM_LOG = "_spark_metadata"
+#: Dates of a batch up to which the look-up of landed documents names them one by one.
+DATES = 400
+#: Digests up to which those met before are broadcast.
+SMALL = 1_000_000
 
 
 def json_options(multiline: bool = False) -> dict[str, str]:
@@ -64,8 +69,12 @@ def parse_documents(lines: DataFrame, text: str = "value") -> DataFrame:
 
 
 def undeclared(landed: DataFrame, path: str) -> Column:
-    """A field of the kept text by JSON path, as text: ``undeclared(df, "$.snow.1h")``."""
-    return F.get_json_object(landed[DOCUMENT], path)
+    """A field of a landed document by JSON path, as text: ``undeclared(df, "$.snow.kind")``.
+
+    Documents are parsed once, on landing; only texts that were no JSON are looked at again.
+    """
+    kept = F.get_json_object(landed[DOCUMENT], path)
+    return F.coalesce(F.try_variant_get(landed[BODY], path, "string"), kept)
 
 
 def with_obs_date(raw: DataFrame) -> DataFrame:
@@ -78,14 +87,45 @@ def land_raw(
 ) -> None:
     """Append JSON documents to the raw table, partitioned by observation date.
 
-    Nothing is lost: the text of each document is kept next to its fields, and malformed documents
-    land in the partition without a date. With ``multiline`` a file is one document. The rebalance
-    writes few files per date and splits a date that is too large for one task. Use
-    ``streaming.land_stream`` where a re-run must not land a file twice; a folder takes one of
-    the two, as readers of a stream's folder see only what the stream committed.
+    Nothing is lost: a document lands with all its fields, and a malformed one with its text, in the
+    partition without a date. With ``multiline`` a file is one document. Use
+    ``streaming.land_stream`` where a re-run should not read a file twice; both may write to one folder.
+    """
+    land(parse_documents(spark.read.text(incoming_path, wholetext=multiline)), raw_path)
+
+
+def land(documents: DataFrame, raw_path: str) -> None:
+    """Append parsed documents that have not landed yet.
+
+    Two documents are the same if their texts are, under whatever file names they came. The look-up
+    reads the digests of the dates in the batch only. The rebalance writes few files per date and splits a date
+    that is too large for one task.
     """
+    spark = documents.sparkSession
     if exists(spark, f"{raw_path}/{STREAM_LOG}"):
-        raise ValueError(f"{raw_path} belongs to a stream")
-    texts = spark.read.text(incoming_path, wholetext=multiline)
-    landed = with_obs_date(parse_documents(texts)).hint("rebalance", OBS_DATE)
-    landed.write.mode("append").partitionBy(OBS_DATE).parquet(raw_path)
+        raise ValueError(f"{raw_path} holds the log of a file stream, which hides what others write")
+    body = F.try_parse_json(DOCUMENT)
+    rows = with_obs_date(documents).withColumns({DIGEST: F.unhex(F.md5(DOCUMENT)), BODY: body})
+    rows = rows.withColumn(DOCUMENT, F.when(F.col(BODY).isNull(), F.col(DOCUMENT)))
+    with staged(rows) as batch, staged(_met_before(batch, raw_path)) as odd:
+        n = odd.count()
+        if n:  # digests and numbers only, broadcast up to a million of them
+            told = batch.join(F.broadcast(odd) if n <= SMALL else odd, DIGEST, "left")
+            once = told.filter("_n > 1 and not _known").dropDuplicates([DIGEST])
+            batch = told.filter("_n is null").unionByName(once).drop("_n", "_known")
+        batch.hint("rebalance", OBS_DATE).write.mode("append").partitionBy(OBS_DATE).parquet(raw_path)
+
+
+def _met_before(batch: DataFrame, raw_path: str) -> DataFrame:
+    """Digests that stand in the batch several times (``_n``) or have landed already (``_known``)."""
+    spark = batch.sparkSession
+    each = batch.groupBy(DIGEST).agg(F.count("*").alias("_n"))
+    if not exists(spark, raw_path):
+        return each.withColumn("_known", F.lit(False)).filter("_n > 1")
+    landed = spark.read.schema(f"{RAW_LANDED}, {OBS_DATE} date").parquet(raw_path).select(DIGEST, OBS_DATE)
+    dates = [r[0] for r in batch.select(OBS_DATE).distinct().limit(DATES + 1).collect()]
+    if len(dates) <= DATES:
+        landed = landed.filter(F.col(OBS_DATE).isin([d for d in dates if d]) | F.col(OBS_DATE).isNull())
+    known = landed.select(DIGEST).distinct().withColumn("_known", F.lit(True))
+    told = each.join(known, DIGEST, "left").withColumn("_known", F.coalesce("_known", F.lit(False)))
+    return told.filter("_n > 1 or _known")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from skylattice.schemas import SEED, TABLES, Table, to_table
+from skylattice.schemas import SEED, TABLES, Table, declared, to_table
+from skylattice.sources.raw import STREAM_LOG
 from skylattice.storage import delete, exists
 
 
@@ -89,7 +90,7 @@ class FileStore:
 
     def read(self, name: str) -> DataFrame:
         """The table by its declared schema; one that was never written is an error."""
-        table = TABLES[name]
+        table = declared(name)
         if not exists(self.spark, self.path(name)):
             raise MissingTable(self.path(name))
         return to_table(self.spark.read.schema(table.ddl).parquet(self.path(name)), table)
@@ -97,18 +98,20 @@ class FileStore:
     def held(self, name: str) -> DataFrame:
         """What a table to be written holds: nothing yet, or its rows."""
         if not exists(self.spark, self.path(name)):
-            return self.spark.createDataFrame([], TABLES[name].ddl)
+            return self.spark.createDataFrame([], declared(name).ddl)
         return self.read(name)
 
     def append(self, rows: DataFrame, table: Table) -> None:
+        self._refuse_streamed(table)
         self._writer(rows, table).mode("append").parquet(self.path(table.name))
 
     def replace(self, rows: DataFrame, table: Table, within: Column) -> None:
         """Overwrite the partitions that ``within`` selects.
 
         Partitions that get rows are overwritten one by one; those left without rows are then
-        deleted. Running it again gives the same table.
+        deleted. A job lost in between leaves both; running it again gives the same table.
         """
+        self._refuse_streamed(table)
         parts = list(table.partition_by)
         held = self.held(table.name).filter(within).select(*parts).distinct()
         stale = held.join(rows.select(*parts).distinct(), parts, "left_anti").collect()
@@ -118,6 +121,11 @@ class FileStore:
             folder = "/".join(f"{c}={row[c]}" for c in parts)
             delete(self.spark, f"{self.path(table.name)}/{folder}")
 
+    def _refuse_streamed(self, table: Table) -> None:
+        """Readers of a folder with a file stream's log see nothing that others write there."""
+        if exists(self.spark, f"{self.path(table.name)}/{STREAM_LOG}"):
+            raise ValueError(f"{table.name} holds the log of a file stream, which hides what others write")
+
     def _writer(self, rows: DataFrame, table: Table) -> DataFrameWriter:
         """Few files per partition, each ordered by key so that its statistics prune look-ups."""
         order = dict.fromkeys([*table.partition_by, *table.keys])

@@ -73,6 +73,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty file that says that something is done."""
+    files, target = _located(spark, path)
+    files.mkdirs(target.getParent())
+    files.createNewFile(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete one folder on whatever file system holds it."""
     files, target = _located(spark, path)

@@ -9,21 +9,26 @@ the RocksDB provider (``session.STREAMING``); a backlog needs a bound on the fil
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skylattice.functions.time import obs_date, obs_hour
 from skylattice.operators.conditions import CONDITION, best_condition, exploded
 from skylattice.operators.hourly import CELL, by_cell, cell_averages, to_city
-from skylattice.schemas import OBS_DATE, RAW_WITH_CORRUPT, TABLES, to_table
-from skylattice.sources.raw import STREAM_LOG, json_options, parse_documents, with_obs_date
-from skylattice.sources.tables import FileStore
-from skylattice.storage import exists
+from skylattice.schemas import RAW_WITH_CORRUPT, TABLES, Table, to_table
+from skylattice.sinks.tables import write_table
+from skylattice.sources.raw import json_options, land, parse_documents
+from skylattice.sources.tables import FileStore, JdbcStore
+from skylattice.storage import delete, exists, mark, staged
 
 
 #: Files in one batch of a stream, unless the caller says otherwise.
 FILES = 1000
+#: Batches whose application stays on record. Only the last one can be replayed.
+KEPT = 100
 
 
 def read_raw_stream(
@@ -55,24 +60,52 @@ def land_stream(
     multiline: bool = False,
     files: int = FILES,
 ) -> StreamingQuery:
-    """Land every new JSON file exactly once, then stop; start it again for later files.
+    """Land every new JSON file, then stop; start it again for later files.
 
-    A backlog goes in batches of ``files`` files, each committed by itself.
+    A backlog goes in batches of ``files`` files. Documents land once (``sources.raw.land``), also where a
+    batch is replayed or a document comes again under another file name.
     """
-    begun = exists(spark, checkpoint) or exists(spark, f"{raw_path}/{STREAM_LOG}")
-    if exists(spark, raw_path) and not begun:
-        raise ValueError(f"{raw_path} holds files that no stream wrote")
-    landed = with_obs_date(read_document_stream(spark, incoming_path, multiline, files))
-    return run_available(landed, raw_path, checkpoint, OBS_DATE)
+    documents = read_document_stream(spark, incoming_path, multiline, files)
+    return _each_batch(documents, checkpoint, lambda batch, _: land(batch, raw_path))
 
 
-def into_table(df: DataFrame, store: FileStore, name: str, checkpoint: str) -> StreamingQuery:
-    """Process all available input into table ``name`` of ``store``, in the table's partitions.
+def into_table(
+    df: DataFrame, store: FileStore | JdbcStore, name: str, checkpoint: str, on_conflict: str = "skip"
+) -> StreamingQuery:
+    """Process all available input into table ``name`` of ``store`` by the checked writes.
 
-    A table takes either a stream or the checked writes: its readers see what the stream committed.
+    The table stays one that batch jobs read and write as well. A batch that is on record as applied is
+    not applied again, and one that was lost before its record is written with ``skip``: rows that it had
+    written already stay as they are. The record lies in the checkpoint and goes with it.
     """
-    rows = to_table(df, TABLES[name])
-    return run_available(rows, store.path(name), checkpoint, *TABLES[name].partition_by)
+    table = TABLES[name]
+
+    def apply(batch: DataFrame, number: int) -> None:
+        done = f"{checkpoint}/applied"
+        if exists(batch.sparkSession, f"{done}/{number}"):
+            return
+        with staged(batch) as fresh:
+            within = _periods(fresh, table)
+            if within is not None:
+                write_table(store, fresh, name, on_conflict, within, stored=True)
+        mark(batch.sparkSession, f"{done}/{number}")
+        delete(batch.sparkSession, f"{done}/{number - KEPT}")
+
+    return _each_batch(to_table(df, table), checkpoint, apply)
+
+
+def _periods(rows: DataFrame, table: Table) -> Column | None:
+    """A predicate for the table's partitions that ``rows`` fall into; nothing if there are no rows."""
+    if not table.partition_by:
+        return F.lit(True) if rows.take(1) else None
+    found = rows.select(*table.partition_by).distinct().collect()  # the folders that the write makes
+    each = (reduce(Column.__and__, (F.col(c) == F.lit(r[c]) for c in table.partition_by)) for r in found)
+    return reduce(Column.__or__, each) if found else None
+
+
+def _each_batch(df: DataFrame, checkpoint: str, apply) -> StreamingQuery:
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).foreachBatch(apply).start()
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, *partition_by: str) -> StreamingQuery:

@@ -104,11 +104,57 @@ def test_stream_lands_each_file_once(spark, tmp_path):
         land_stream(spark, *paths).awaitTermination()
     raw = read_raw(spark, paths[1])
     assert raw.count() == 4 and raw.filter("_corrupt is not null").count() == 1
-    with pytest.raises(ValueError):
-        land_raw(spark, *paths[:2])
-    land_raw(spark, paths[0], str(tmp_path / "batch"))
-    with pytest.raises(ValueError):
-        land_stream(spark, paths[0], str(tmp_path / "batch"), str(tmp_path / "other"))
+    land_raw(spark, *paths[:2])
+    assert read_raw(spark, paths[1]).count() == 4
+
+
+def test_same_documents_land_once(spark, tmp_path):
+    """Under several file names, in one batch and in several, by batch and by stream."""
+    paths = [str(tmp_path / p) for p in ("in", "raw", "state")]
+    write(tmp_path / "in", "a.json", *DOCS, DOCS[0], "{broken", "{broken")
+    land_raw(spark, *paths[:2])
+    assert read_raw(spark, paths[1]).count() == 4
+    write(tmp_path / "in", "b.json", DOCS[1], doc("2024-01-02T00:00:01"))
+    land_stream(spark, *paths).awaitTermination()
+    raw = read_raw(spark, paths[1], schema=RAW_LANDED)
+    assert raw.count() == 5 and raw.select("digest").distinct().count() == 5
+    assert rows(raw.filter("document is not null").select("document")) == [("{broken",)]
+
+
+def test_a_lost_batch_lands_once(spark, tmp_path):
+    paths = [str(tmp_path / p) for p in ("in", "raw", "state")]
+    write(tmp_path / "in", "a.json", *DOCS)
+    land_stream(spark, *paths).awaitTermination()
+    for commit in (tmp_path / "state" / "commits").iterdir():
+        commit.unlink()  # as if the program had ended before it could say that the batch was done
+    land_stream(spark, *paths).awaitTermination()
+    assert read_raw(spark, paths[1]).count() == 3
+
+
+def test_a_file_stream_keeps_its_folder(spark, tmp_path):
+    from skylattice.streaming.observations import read_raw_stream, run_available
+
+    write(tmp_path / "in", "a.json", *DOCS)
+    folder = str(tmp_path / "out")
+    run_available(read_raw_stream(spark, str(tmp_path / "in")), folder, str(tmp_path / "state")).awaitTermination()
+    with pytest.raises(ValueError, match="log of a file stream"):
+        land_raw(spark, str(tmp_path / "in"), folder)
+
+
+def test_looking_for_landed_documents_reads_their_dates_only(spark, tmp_path):
+    from skylattice.sources.raw import _met_before, parse_documents, with_obs_date
+
+    write(tmp_path / "in", "a.json", *DOCS)
+    land_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    write(tmp_path / "new", "b.json", DOCS[1], DOCS[1])
+    parsed = parse_documents(spark.read.text(str(tmp_path / "new")))
+    batch = with_obs_date(parsed).withColumn("digest", F.unhex(F.md5("document")))
+    found = _met_before(batch, str(tmp_path / "raw"))
+    assert rows(found.select("_n", "_known")) == [(2, True)]
+    text = plan(found)
+    landed = text[text.index(str(tmp_path / "raw")) :]
+    assert "PartitionFilters: [((obs_date" in landed and "2024-01-02" in landed
+    assert "ReadSchema: struct<digest:binary>" in landed
 
 
 def test_sql_over_a_registered_view(spark, raw):

@@ -89,6 +89,30 @@ def test_declared_constraints_are_checked(store, wind, mode):
     assert held(store) == []
 
 
+def test_skip_mode_with_an_order_keeps_the_first_of_a_key(store, wind):
+    write_table(store, wind((1, A, 1.0)), "wind_day")
+    batch = wind((1, A, 9.0), (2, A, 5.0), (2, A, 3.0))
+    write_table(store, batch, "wind_day", "skip", order=[F.col("WindAvg")])
+    assert held(store) == [(1, A, 1.0), (2, A, 3.0)]
+    with pytest.raises(WriteConflict, match="NOT NULL"):
+        write_table(store, wind((3, A, None)), "wind_day", "skip", order=[F.col("WindAvg")])
+
+
+def test_replace_lost_before_the_last_step_is_mended_by_a_rerun(store, wind, monkeypatch):
+    write_table(store, wind((1, A, 1.0), (1, B, 1.0)), "wind_day")
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr("skylattice.sources.tables.delete", lost)
+        with pytest.raises(RuntimeError, match="lost"):
+            write_table(store, wind((1, B, 5.0)), "wind_day", "replace", in_dates("Date", A, C))
+    assert held(store) == [(1, A, 1.0), (1, B, 5.0)]
+    write_table(store, wind((1, B, 5.0)), "wind_day", "replace", in_dates("Date", A, C))
+    assert held(store) == [(1, B, 5.0)]
+
+
 def test_rows_are_evaluated_once_per_write(spark, store, wind):
     seen = spark.sparkContext.accumulator(0)
 

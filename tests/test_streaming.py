@@ -4,10 +4,13 @@ from datetime import date
 import pytest
 from conftest import SF, doc, rows
 
+from pyspark.sql import functions as F
+
 from skylattice.operators.conditions import condition_daily
 from skylattice.operators.hourly import hourly
 from skylattice.schemas import TABLES
 from skylattice.session import STREAMING
+from skylattice.sinks.tables import WriteConflict, write_table
 from skylattice.sources import star
 from skylattice.sources.raw import parse_documents
 from skylattice.sources.tables import FileStore
@@ -36,6 +39,11 @@ def feed(tmp_path, name, *docs):
     (tmp_path / "in" / name).write_text("\n".join(json.dumps(d) for d in docs))
 
 
+def forget(path):
+    path.unlink()
+    path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+
+
 def run(spark, tmp_path, build, city, table):
     stream = build(read_raw_stream(spark, str(tmp_path / "in")), city, "15 minutes")
     run_available(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
@@ -86,6 +94,50 @@ def test_documents_of_a_text_column_stream_into_a_table(spark, tmp_path, city):
     assert rows(found) == [(1, date(2024, 1, 1), 10, 1.5)]
 
 
+def test_a_stream_s_table_takes_batch_writes(spark, tmp_path, city, hours):
+    """Rows that other writers add are seen, and a replayed batch adds nothing."""
+    feed(tmp_path, "1.txt", doc("2024-01-01T10:10:00", temp=1.0), doc("2024-01-01T12:30:00", temp=5.0))
+    store, state = FileStore(spark, str(tmp_path / "t")), str(tmp_path / "state")
+
+    def stream():
+        documents = read_document_stream(spark, str(tmp_path / "in"), files=1)
+        into_table(hourly_stream(documents, city, "15 minutes"), store, "weather_hour", state).awaitTermination()
+
+    def held():
+        return rows(store.read("weather_hour").select("Date", "Hour", "Temp"), "Date", "Hour")
+
+    first, second, other = (date(2024, 1, 1), 10, 1.0), (date(2024, 1, 1), 12, 5.0), (date(2024, 1, 2), 0, 7.0)
+    stream()
+    assert held() == [first]
+    write_table(store, hours({"IdCity": 1, "Date": other[0], "Hour": 0, "Temp": 7.0}), "weather_hour")
+    assert held() == [first, other]
+    with pytest.raises(WriteConflict, match="key exists"):
+        write_table(store, hours({"IdCity": 1, "Date": first[0], "Hour": 10, "Temp": 9.0}), "weather_hour")
+    feed(tmp_path, "2.txt", doc("2024-01-02T10:10:00"))
+    stream()
+    assert held() == [first, second, other]
+    # The last batch again: once on record as applied, once not.
+    for applied in (True, False):
+        last = max((tmp_path / "state" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+        forget(last)
+        if not applied:
+            forget(tmp_path / "state" / "applied" / last.name)
+        stream()
+        assert held() == [first, second, other]
+
+
+def test_no_write_goes_into_a_file_stream_s_folder(spark, tmp_path, city, hours):
+    feed(tmp_path, "1.json", doc("2024-01-01T10:10:00"), doc("2024-01-01T12:30:00"))
+    store = FileStore(spark, str(tmp_path / "t"))
+    stream = hourly_stream(read_raw_stream(spark, str(tmp_path / "in")), city)
+    run_available(stream, store.path("weather_hour"), str(tmp_path / "state")).awaitTermination()
+    row = hours({"IdCity": 1, "Date": date(2024, 1, 2), "Hour": 0})
+    for mode, within in (("append", None), ("error", None), ("skip", None), ("replace", F.col("Date") == "2024-01-02")):
+        with pytest.raises(ValueError, match="log of a file stream"):
+            write_table(store, row, "weather_hour", mode, within)
+    assert store.read("weather_hour").count() == 1
+
+
 def test_binary_texts_are_parsed(spark):
     texts = spark.createDataFrame([(bytearray(json.dumps(doc(5)), "utf-8"),)], "value binary")
     assert [r.dt for r in parse_documents(texts).collect()] == [5]
