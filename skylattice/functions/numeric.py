@@ -3,7 +3,7 @@
 Sums of doubles depend on the order in which partitions arrive, and an average that lies on a
 rounding tie then flips between runs. Sums here run over whole numbers in BIGINT instead: they
 are the same for every partitioning and retry, and nearly as fast as sums of doubles. A reading is
-split into high and low millionths and, below 1000, the millionths of a millionth that are left;
+split into high and low millionths and the millionths of a millionth that are left;
 no part can overflow in a group of two billion readings, with or without ANSI mode.
 """
 
@@ -20,8 +20,6 @@ MILLION = 1_000_000
 #: Readings from this magnitude on are no measurements: they count as missing, and
 #: ``quality.unusable`` reports them.
 LIMIT = 9e12
-#: Below this magnitude a reading keeps twelve decimals, above it six.
-FINE = 1000.0
 _HALF = 1 << 32
 
 
@@ -41,13 +39,19 @@ def millionths(x: Column) -> Column:
 
 
 def parts(x: Column) -> dict[str, Column]:
-    """What to sum of a reading: high and low millionths, the rest; and the reading to count."""
-    whole = millionths(x)
-    rest = F.rint((x * F.lit(float(MILLION)) - F.rint(x * F.lit(float(MILLION)))) * F.lit(float(MILLION)))
+    """What to sum of a reading: high and low millionths, the rest; and the reading to count.
+
+    The rest is in millionths of a millionth, as far as a double of that magnitude tells decimals from noise:
+    fourteen significant digits at least.
+    """
+    whole, size = millionths(x), F.abs(x)
+    scaled = x * F.lit(float(MILLION))
+    rest = (scaled - F.rint(scaled)) * F.lit(float(MILLION))
+    unit = F.when(size < F.lit(1e3), F.lit(1.0)).when(size < F.lit(1e5), F.lit(1e2)).when(size < F.lit(1e7), F.lit(1e4))
     return {
         "high": F.shiftright(whole, 32),
         "low": whole.bitwiseAND(F.lit(_HALF - 1)),
-        "rest": F.when(F.abs(x) < F.lit(FINE), rest.cast("bigint")),
+        "rest": (F.rint(rest / unit) * unit).cast("bigint"),
         "count": whole,
     }
 
@@ -55,14 +59,16 @@ def parts(x: Column) -> dict[str, Column]:
 def combined(high: Column, low: Column, rest: Column, count: Column) -> Column:
     """The average of the summed parts.
 
-    One division of two whole numbers, so the double is the one nearest to the exact value.
+    One division of two whole numbers, each the double nearest to it: both terms of a sum are exact, up to
+    3.7e13 also where readings are finer than millionths.
     """
-    total = high.cast("decimal(20,0)") * F.lit(_HALF).cast("decimal(10,0)") + low.cast("decimal(20,0)")
-    fine = total.cast("decimal(30,0)") * F.lit(MILLION).cast("decimal(7,0)") + rest.cast("decimal(20,0)")
-    n = count.cast("double")
-    return F.when(
-        F.coalesce(rest, F.lit(0)) == 0, F.try_divide(total.cast("double"), n * F.lit(float(MILLION)))
-    ).otherwise(F.try_divide(fine.cast("double"), n * F.lit(float(MILLION)) * F.lit(float(MILLION))))
+    above = (high + F.shiftright(low, 32)).cast("double") * F.lit(float(_HALF))
+    below = low.bitwiseAND(F.lit(_HALF - 1))
+    n = count.cast("double") * F.lit(float(MILLION))
+    fine = above * F.lit(float(MILLION)) + (below * F.lit(MILLION) + rest).cast("double")
+    return F.when(F.coalesce(rest, F.lit(0)) == 0, F.try_divide(above + below.cast("double"), n)).otherwise(
+        F.try_divide(fine, n * F.lit(float(MILLION)))
+    )
 
 
 def ratio(total: Column, count: Column) -> Column:
@@ -71,7 +77,10 @@ def ratio(total: Column, count: Column) -> Column:
 
 
 def mean(x: Column) -> Column:
-    """Unrounded average of the measurements, null without any."""
+    """Unrounded average of the measurements, null without any.
+
+    A reading whose magnitude is 9e12 or more, NaN or infinite is no measurement and left out.
+    """
     p = parts(x)
     return combined(F.sum(p["high"]), F.sum(p["low"]), F.sum(p["rest"]), F.count(p["count"]))
 

@@ -1,4 +1,6 @@
+import random
 from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from conftest import at, rows
@@ -185,3 +187,22 @@ def test_averages_hold_for_any_size(spark, ansi, values, wanted):
         assert df.agg(mean(F.col("x"))).first()[0] == wanted
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize(
+    "x", [1234.0000004, 999.999999999999, 1000.0000000001, 99999.0000001, 123456.789, 1234567.0000004, 98765432.000001, 0.1, 3e-12]
+)
+@pytest.mark.parametrize("sign", [1.0, -1.0])
+def test_mean_keeps_fourteen_digits_at_every_magnitude(spark, x, sign):
+    df = spark.createDataFrame([(sign * x,)] * 2, "x double")
+    found = df.agg(mean(F.col("x")).alias("m")).first().m
+    assert f"{found:.14g}" == f"{sign * x:.14g}"
+
+
+def test_mean_of_decimals_has_no_binary_noise(spark):
+    rng = random.Random(3)
+    for low, places in ((0, 6), (1_000, 6), (100_000, 4), (10_000_000, 3), (10**9, 2)):
+        values = [round(low + rng.random() * low + rng.random(), places) for _ in range(301)]
+        exact = sum(Decimal(repr(v)) for v in values) / len(values)
+        found = spark.createDataFrame([(v,) for v in values], "x double").agg(mean(F.col("x")).alias("m")).first().m
+        assert abs(Decimal(found) - exact) <= exact * Decimal(2) ** -52
