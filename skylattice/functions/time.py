@@ -28,6 +28,11 @@ def obs_date(dt: Column, tz: str = "UTC") -> Column:
     return F.to_date(obs_time(dt, tz))
 
 
+def to_day(text: Column) -> Column:
+    """Text as a date, null where it is none."""
+    return text.try_cast("date")
+
+
 def obs_hour(dt: Column, tz: str = "UTC") -> Column:
     return F.hour(obs_time(dt, tz))
 

@@ -1,4 +1,4 @@
-"""Threshold alerts on hourly rows."""
+"""Threshold alerts on hourly rows, by rules in code or in a table."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.functions.time import hour_start
-from skylattice.schemas import TABLES, to_table
+from skylattice.schemas import HOUR_MEASURES, TABLES, to_table
 
 
 @dataclass(frozen=True)
@@ -51,3 +51,49 @@ def alerts(weather_hour: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         }
     ).filter(F.col("AlertType").isNotNull())
     return to_table(fired, TABLES["WeatherAlerts"])
+
+
+def alerts_by_rules(weather_hour: DataFrame, rules: DataFrame) -> DataFrame:
+    """``WeatherAlerts`` rows by an ``AlertRules`` table: at most one per city and hour.
+
+    A rule holds for one city or, without ``IdCity``, for all; from ``ValidFrom`` to ``ValidTo``, each open if
+    null. Of the rules that fire, the one of the smallest ``Seq`` names the alert and ``Details`` lists all in
+    that order. A rule of an unknown measure never fires.
+
+    The rules of a city meet its hours by ``IdCity`` as one list; those of all cities meet the readings by
+    measure, at most one row for each measure, which is broadcast. Only readings that fire are grouped.
+    """
+    rule = F.struct("Seq", "AlertType", "Above", "Limit", "ValidFrom", "ValidTo", "Measure")
+    of_all, of_city = rules.filter(F.col("IdCity").isNull()), rules.filter(F.col("IdCity").isNotNull())
+    shared = of_all.filter(F.col("Measure").isin(HOUR_MEASURES)).groupBy("Measure").agg(F.collect_list(rule).alias("_shared"))
+    own = of_city.groupBy("IdCity").agg(F.collect_list(rule).alias("_own"))
+    readings = weather_hour.join(own, "IdCity", "left").select(
+        "IdCity",
+        "Date",
+        "Hour",
+        "_own",
+        F.inline(F.array(*(F.struct(F.lit(m).alias("Measure"), F.col(m).alias("_x")) for m in HOUR_MEASURES))),
+    )
+
+    def fires(r: Column) -> Column:
+        valid = F.coalesce(F.col("Date") >= r["ValidFrom"], F.lit(True)) & F.coalesce(F.col("Date") <= r["ValidTo"], F.lit(True))
+        beyond = F.when(r["Above"], F.col("_x") > r["Limit"]).otherwise(F.col("_x") < r["Limit"])
+        return (r["Measure"] == F.col("Measure")) & valid & F.coalesce(beyond, F.lit(False))
+
+    def told(r: Column) -> Column:
+        sign = F.when(r["Above"], ">").otherwise("<")
+        text = F.format_string("%s %.2f %s %.2f", r["Measure"], F.col("_x"), sign, r["Limit"])
+        return F.struct(r["Seq"].alias("Seq"), r["AlertType"].alias("AlertType"), text.alias("Detail"))
+
+    lists = [F.coalesce(c, F.array().cast(shared.schema["_shared"].dataType)) for c in ("_own", "_shared")]
+    met = readings.join(F.broadcast(shared), "Measure", "left")
+    fired = met.withColumn("_fired", F.filter(F.concat(*lists), fires)).filter(F.size("_fired") > 0)
+    fired = fired.select("IdCity", "Date", "Hour", F.transform("_fired", told).alias("_fired"))
+    by_hour = fired.groupBy("IdCity", "Date", "Hour").agg(F.array_sort(F.flatten(F.collect_list("_fired"))).alias("_all"))
+    rows = by_hour.select(
+        "IdCity",
+        hour_start(F.col("Date"), F.col("Hour")).alias("Timestamp"),
+        F.col("_all")[0]["AlertType"].alias("AlertType"),
+        F.array_join(F.transform("_all", lambda x: x["Detail"]), "; ").alias("Details"),
+    )
+    return to_table(rows, TABLES["WeatherAlerts"])

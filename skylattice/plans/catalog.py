@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylattice.functions.numeric import mean
+from skylattice.functions.sql import register_functions
 from skylattice.functions.periods import date_period, period
 from skylattice.functions.units import convert
 from skylattice.operators import health, quality
-from skylattice.operators.alerts import Rule, alerts
+from skylattice.operators.alerts import Rule, alerts, alerts_by_rules
 from skylattice.operators.conditions import (
     CONDITION,
     condition_counts,
@@ -38,6 +39,7 @@ from skylattice.storage import new_dir
 from skylattice.streaming.observations import (
     condition_stream,
     hourly_stream,
+    into_hours,
     into_table,
     land_stream,
     read_document_stream,
@@ -348,6 +350,82 @@ def sql_surface(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def hourly_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The hourly averages as SQL text over views, with the library's functions."""
+    register_functions(spark)
+    register(star.observations(spark, sf), "observations")
+    register(star.cities(spark, sf), "cities")
+    readings = {
+        "Temp": "main.temp", "FeelsLike": "main.feels_like", "Clouds": "clouds.all", "Rain": "nvl(rain.`1h`, 0D)",
+        "Wind": "wind.speed", "Pressure": "main.pressure", "Humidity": "main.humidity",
+    }
+    parts = ", ".join(
+        f"sum(reading_high({m})) AS {m}_h, sum(reading_low({m})) AS {m}_l, sum(reading_rest({m})) AS {m}_r,"
+        f" count(reading_low({m})) AS {m}_n"
+        for m in readings
+    )
+    averages = ", ".join(f"round_2(average_of({m}_h, {m}_l, {m}_r, {m}_n)) AS {m}" for m in readings)
+    return spark.sql(
+        f"""
+        WITH seen AS (
+            SELECT grid_cell(coord.lon) AS lon, grid_cell(coord.lat) AS lat, obs_date(dt) AS Date, obs_hour(dt) AS Hour,
+                {", ".join(f"{x} AS {m}" for m, x in readings.items())}
+            FROM observations WHERE obs_date(dt) IS NOT NULL),
+        sums AS (SELECT lon, lat, Date, Hour, {parts} FROM seen GROUP BY lon, lat, Date, Hour),
+        place AS (SELECT IdCity, grid_cell(Lon) AS lon, grid_cell(Lat) AS lat FROM cities)
+        SELECT IdCity, Date, Hour, {averages} FROM sums JOIN place USING (lon, lat)
+        """
+    )
+
+
+def rule_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A rule for the city of every customer, and one for all cities of every nation, with limited validity."""
+    measure = F.element_at(F.array(*(F.lit(m) for m in ("Temp", "Wind", "Rain", "Pressure"))), (F.col("k") % 4 + 1).cast("int"))
+    base = F.element_at(F.array(*map(F.lit, (120.0, 8.0, 1.5, 1060.0))), (F.col("k") % 4 + 1).cast("int"))
+    own = star.table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), (F.col("c_custkey") * 2).alias("IdCity"))
+    shared = star.table(spark, sf, "nation").select((F.col("n_nationkey") + 10**9).alias("k"), F.lit(None).cast("bigint").alias("IdCity"))
+    rules = own.unionByName(shared)
+    day = F.lit(FIRST)
+    return to_table(
+        rules.select(
+            F.col("k").alias("Seq"),
+            F.concat(F.lit("rule "), F.col("k").cast("string")).alias("AlertType"),
+            measure.alias("Measure"),
+            (F.col("k") % 3 > 0).alias("Above"),
+            (base + F.col("k") % 7).alias("Limit"),
+            "IdCity",
+            F.when(F.col("k") % 2 == 0, F.date_add(day, (F.col("k") % 20).cast("int"))).alias("ValidFrom"),
+            F.when(F.col("k") % 5 == 0, F.date_add(day, (F.col("k") % 25).cast("int"))).alias("ValidTo"),
+        ),
+        TABLES["AlertRules"],
+    )
+
+
+def refused_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Two loads that drew the same ids: the second is refused, though its names are new."""
+    store = FileStore(spark, new_dir(spark, "dims"))
+    held = star.countries(spark, sf)
+    write_table(store, held, "country")
+    drawn = held.withColumn("CountryName", F.concat(F.lit("NEW "), "CountryName"))
+    for rows in (drawn, drawn.withColumn("IdCountry", F.lit(99))):
+        try:
+            write_table(store, rows, "country", "skip")
+        except WriteConflict:
+            continue
+        raise AssertionError("the write met existing ids")
+    return store.read("country")
+
+
+def hourly_open(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents streamed into the hourly table with the hours that are still running."""
+    documents, state = new_dir(spark, "documents"), new_dir(spark, "state")
+    store = FileStore(spark, new_dir(spark, "tables"))
+    write_table(store, star.cities(spark, sf), "city", "append")
+    star.observations(spark, sf).write.json(documents)
+    into_hours(read_document_stream(spark, documents), store, state, "stream").awaitTermination()
+    return store.read("weather_hour")
+
+
 def _streamed(build: Callable[[DataFrame, DataFrame], DataFrame], name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         out, state = new_dir(spark, "stream"), new_dir(spark, "state")
@@ -483,11 +561,15 @@ QUERIES: dict[str, Query] = {
     "gap_fill_kept": gap_fill_kept,
     "gap_report": gaps,
     "alerts": lambda spark, sf: alerts(weather_hour(spark, sf), RULES),
+    "alert_rules": lambda spark, sf: alerts_by_rules(weather_hour(spark, sf), rule_table(spark, sf)),
+    "refused_ids": refused_ids,
     "anomalies": lambda spark, sf: anomalies(weather_hour(spark, sf), "Temp", 168, 2.0),
     "sql_surface": sql_surface,
     "table_stream": table_stream,
     "stream_and_batch": stream_and_batch,
     "landed_once": landed_once,
+    "hourly_open": hourly_open,
+    "hourly_sql": hourly_sql,
     "hourly_increments": _by_lots("weather_hour"),
     "condition_increments": _by_lots("weather_condition_day"),
     "hourly_stream": _streamed(hourly_stream, "weather_hour"),

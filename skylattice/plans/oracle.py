@@ -335,6 +335,25 @@ _SELECT |= {
     "condition_increments": _SELECT["condition_backfill"],
     "gap_fill_kept": _SELECT["gap_fill"],
     "landed_once": _SELECT["raw_stream"],
+    "hourly_open": _SELECT["hourly_calendar"],
+    "hourly_sql": _SELECT["hourly_calendar"],
+    "refused_ids": "select cast(n_nationkey as int) as IdCountry, n_name as CountryName from nation",
+    "alert_rules": f"""
+        select IdCity, cast(Date as timestamp) + to_hours(Hour) as Timestamp, arg_min(alert, seq) as AlertType,
+            string_agg(printf('%s %.2f %s %.2f', measure, x, case when above then '>' else '<' end, lim), '; ' order by seq) as Details
+        from (unpivot (select IdCity, Date, Hour, Temp, Wind, Rain, Pressure from wh)
+            on Temp, Wind, Rain, Pressure into name measure value x) h
+        join (
+            select k as seq, 'rule ' || k as alert, ['Temp', 'Wind', 'Rain', 'Pressure'][k % 4 + 1] as measure,
+                k % 3 > 0 as above, [120.0, 8.0, 1.5, 1060.0][k % 4 + 1] + k % 7 as lim, city,
+                case when k % 2 = 0 then date '{FIRST}' + cast(k % 20 as int) end as a,
+                case when k % 5 = 0 then date '{FIRST}' + cast(k % 25 as int) end as b
+            from (select c_custkey as k, c_custkey * 2 as city from customer
+                union all select n_nationkey + 1000000000, null from nation)) r
+        using (measure)
+        where (city is null or city = IdCity) and (a is null or Date >= a) and (b is null or Date <= b)
+            and case when above then x > lim else x < lim end
+        group by IdCity, Date, Hour""",
     "stream_and_batch": f"""select * replace (case when Date >= date '{SPLIT}' then Wind / 4 else Wind end as Wind) from wh""",
 }
 

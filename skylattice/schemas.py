@@ -43,13 +43,17 @@ SEED = "country string, city string, lat double, lon double, seq bigint"
 
 @dataclass(frozen=True)
 class Table:
-    """One relational table: column types, key, columns that may not be null, partitioning."""
+    """One relational table: column types, key, columns that may not be null, partitioning.
+
+    ``unique`` names further keys, such as the number beside a name.
+    """
 
     name: str
     columns: dict[str, str]
     keys: tuple[str, ...]
     not_null: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
 
     @property
     def ddl(self) -> str:
@@ -89,6 +93,7 @@ TABLES = {
             {"IdCountry": "int", "CountryName": "string"},
             ("CountryName",),
             ("IdCountry", "CountryName"),
+            unique=(("IdCountry",),),
         ),
         Table(
             "city",
@@ -101,6 +106,7 @@ TABLES = {
             },
             ("CityName", "IdCountry"),
             ("IdCity", "CityName", "Lon", "Lat"),
+            unique=(("IdCity",),),
         ),
         Table(
             "weather_hour",
@@ -142,6 +148,21 @@ TABLES = {
             ("IdCity", "Timestamp"),
             ("IdCity", "Timestamp", "AlertType"),
         ),
+        Table(
+            "AlertRules",
+            {
+                "Seq": "bigint",
+                "AlertType": "string",
+                "Measure": "string",
+                "Above": "boolean",
+                "Limit": "double",
+                "IdCity": "bigint",
+                "ValidFrom": "date",
+                "ValidTo": "date",
+            },
+            ("Seq",),
+            ("Seq", "AlertType", "Measure", "Above", "Limit"),
+        ),
     ]
 }
 

@@ -1,7 +1,8 @@
 """Checked table writes.
 
 ``append`` writes unconditionally. The other modes stage the rows first and check them against
-the table's declaration: no null in a NOT NULL column, no key twice in the batch.
+the table's declaration: no null in a NOT NULL column, no key twice in the batch, its further keys
+(the ids of a dimension) included.
 
 * ``error``: fail when a key exists already; nothing is written.
 * ``skip``: write only rows whose key is absent, so a second run adds nothing.
@@ -59,26 +60,40 @@ def write_table(
             return
         existing = store.held(name)
         existing = existing if within is None else existing.filter(within)
-        keys = list(table.keys)
         if on_conflict == "error":
-            clash = fresh.join(existing.select(*keys), keys, "left_semi").take(3)
-            if clash:
-                raise WriteConflict(f"{name}: key exists, e.g. {clash}")
+            _refuse(fresh, existing, name, table.keys)
         else:
-            fresh = insert_if_absent(fresh, existing, keys, order)
+            fresh = insert_if_absent(fresh, existing, list(table.keys), order)
+        for key in table.unique:
+            _refuse(fresh, existing, name, key)
         store.append(to_table(fresh, table), table)
 
 
+def _refuse(rows: DataFrame, existing: DataFrame, name: str, key: tuple[str, ...]) -> None:
+    clash = rows.join(existing.select(*key), list(key), "left_semi").take(3)
+    if clash:
+        raise WriteConflict(f"{name}: key exists ({', '.join(key)}), e.g. {clash}")
+
+
 def _check(rows: DataFrame, table: Table, within: Column | None, once: bool) -> None:
     """Count all violations in one pass, by key, and raise if there are any."""
     broken = {f"null in NOT NULL column {c}": F.col(c).isNull() for c in table.not_null}
     if within is not None:
         broken["row outside the given period"] = ~within
     counted = [F.count_if(broke).alias(what) for what, broke in broken.items()]
-    per_key = rows.groupBy(*table.keys).agg(F.count("*").alias("_n"), *counted)
+    keys = (table.keys, *table.unique)
+    columns = list(dict.fromkeys(c for key in keys for c in key))
+    # All keys in one pass, told apart by which columns a group leaves out.
+    marks = [int("".join("0" if c in key else "1" for c in columns), 2) for key in keys]
+    sets = [[F.col(c) for c in key] for key in keys]
+    per_key = rows.groupingSets(sets, *columns).agg(F.count("*").alias("_n"), F.grouping_id().alias("_set"), *counted)
+    twice = {
+        f"key twice in the batch ({', '.join(key)})": (F.col("_n") > 1) & (F.col("_set") == mark) & F.lit(once or mark != marks[0])
+        for key, mark in zip(keys, marks, strict=True)
+    }
     found = per_key.agg(
-        *(F.sum(f"`{what}`").alias(what) for what in broken),
-        F.count_if((F.col("_n") > 1) & F.lit(once)).alias("key twice in the batch"),
+        *(F.sum(F.when(F.col("_set") == marks[0], F.col(f"`{what}`"))).alias(what) for what in broken),
+        *(F.count_if(double).alias(what) for what, double in twice.items()),
     ).first()
     problems = [f"{n} x {what}" for what, n in found.asDict().items() if n]
     if problems:

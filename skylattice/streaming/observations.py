@@ -94,6 +94,22 @@ def into_table(
     return _each_batch(to_table(df, table), checkpoint, apply)
 
 
+def into_hours(raw: DataFrame, store: FileStore, checkpoint: str, lots: str, tz: str = "UTC") -> StreamingQuery:
+    """Keep ``weather_hour`` and ``weather_condition_day`` up to date with a stream of observations.
+
+    Every batch is a lot of ``jobs.increment_job``, named ``lots`` and its number: the hour that is still
+    running has its averages so far, and observations count however late they come. A replayed batch
+    replaces its own sums.
+    """
+    from skylattice.plans.jobs import increment_job
+
+    def apply(batch: DataFrame, number: int) -> None:
+        with staged(batch) as lot:
+            increment_job(lot, store, f"{lots}-{number}", tz)
+
+    return _each_batch(raw, checkpoint, apply)
+
+
 def _periods(rows: DataFrame, table: Table) -> Column | None:
     """A predicate for the table's partitions that ``rows`` fall into; nothing if there are no rows."""
     if not table.partition_by:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from skylattice.functions import periods
 from skylattice.functions.numeric import cell, difference, mean, round2
-from skylattice.functions.time import epoch_seconds, hour_start, obs_date, obs_hour, obs_time
+from skylattice.functions.time import epoch_seconds, hour_start, obs_date, obs_hour, obs_time, to_day
 from skylattice.functions.units import convert, human_size, size_mb
 
 
@@ -189,6 +189,11 @@ def test_averages_hold_for_any_size(spark, ansi, values, wanted):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_text_to_date(spark):
+    df = spark.createDataFrame([("2024-02-29",), ("2024-02-30",), ("x",), (None,)], "t string")
+    assert rows(df.select(to_day(F.col("t")))) == [(date(2024, 2, 29),), (None,), (None,), (None,)]
+
+
 @pytest.mark.parametrize(
     "x", [1234.0000004, 999.999999999999, 1000.0000000001, 99999.0000001, 123456.789, 1234567.0000004, 98765432.000001, 0.1, 3e-12]
 )
