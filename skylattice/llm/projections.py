@@ -9,7 +9,10 @@ of each of two sets, so millions of them cost a few thousand products a vector.
 
 The number of directions and the collisions that a pair must have are calibrated: pairs of vectors
 with just the cosine that links are drawn and projected, and the count is the largest that
-``Settings.recall`` of them reach. Closer pairs reach it more often.
+``Settings.recall`` of them reach. Closer pairs reach it more often. Each end of a projection carries a
+sketch of its vector, the signs of products with ``Settings.signs`` further directions. Vectors that only share a
+crowded region collide often and differ in many signs; a collision counts if they differ in no more than six
+standard deviations above what a pair that just links does, so that only near pairs are written.
 
 Equal vectors form a class and are projected once. Defined results: vectors that are null, empty,
 zero, or hold null or non-finite components link with nothing, as do rows without ``vec_id``;
@@ -42,6 +45,8 @@ class Settings:
     #: Half a window, in standard deviations of the difference of a pair that just links.
     window: float = 1.5
     pairs: int = 600
+    #: Directions of the sketch, a multiple of 64.
+    signs: int = 256
     seed: int = 23
 
 
@@ -54,6 +59,8 @@ class Plan:
     level: float
     window: float
     least: int
+    signs: np.ndarray
+    differ: int
 
 
 #: Pairs in one batch of results.
@@ -84,6 +91,11 @@ def ends(x: np.ndarray, y: np.ndarray, level: float) -> tuple[np.ndarray, np.nda
     return np.concatenate(at), np.concatenate(direction), np.concatenate(value)
 
 
+def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of 64 signs differ."""
+    return np.bitwise_count((a ^ b).view(np.uint64)).astype(np.int64)  # of signed numbers it would count other bits
+
+
 def calibrate(n: int, size: int, settings: Settings) -> Plan:
     """Directions, level and count for ``n`` vectors of ``size`` components.
 
@@ -100,7 +112,10 @@ def calibrate(n: int, size: int, settings: Settings) -> Plan:
     w /= np.linalg.norm(w, axis=1, keepdims=True)
     v = settings.cosine * u + math.sqrt(1 - settings.cosine**2) * w
     bases = max(4, math.ceil(math.sqrt(settings.collisions / (0.5 * share) / 4)))
-    while True:
+    signs = np.random.default_rng([settings.seed, size, 1]).standard_normal((settings.signs, size))
+    odds = math.acos(settings.cosine) / math.pi
+    differ = math.ceil(settings.signs * odds + 6 * math.sqrt(settings.signs * odds * (1 - odds)))
+    for _ in range(50):
         base = np.random.default_rng([settings.seed, size])
         first, second = (base.standard_normal((bases, size)) for _ in range(2))
         counts = np.zeros(settings.pairs, dtype=np.int64)
@@ -111,9 +126,15 @@ def calibrate(n: int, size: int, settings: Settings) -> Plan:
         met = np.abs(a[2][ia] - b[2][ib]) <= settings.window * apart
         np.add.at(counts, both[met] // (4 * bases * bases), 1)
         least = int(np.sort(counts)[math.floor((1 - settings.recall) * settings.pairs)])
-        if least >= 3 or bases >= 1 << 14:
-            return Plan(first, second, level, settings.window * apart, max(least, 1))
+        if least >= 3:
+            return Plan(first, second, level, settings.window * apart, least, signs, differ)
         bases = math.ceil(bases * 1.2)
+    raise RuntimeError(f"no number of directions reaches a recall of {settings.recall} for {n} vectors of {size} components")
+
+
+def sketch(u: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """The signs of a vector's products, 64 in a number."""
+    return np.packbits(u @ signs.T > 0, axis=1).view(np.int64)
 
 
 def classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -153,7 +174,9 @@ def collisions(found: DataFrame, plan: Plan) -> DataFrame:
                 u = _unit(_matrix(batch.column(1), size))
                 at, direction, value = ends(u @ plan.first.T, u @ plan.second.T, plan.level)
                 names = batch.column(0).to_numpy()[at]
-                yield pa.record_batch([pa.array(direction), pa.array(value), pa.array(names)], ["direction", "value", "class"])
+                marks = sketch(u, plan.signs)[at]
+                columns = [direction, value, names, *marks.T]
+                yield pa.record_batch([pa.array(np.ascontiguousarray(c)) for c in columns], schema_names)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width, size = plan_window, 0
@@ -170,13 +193,15 @@ def collisions(found: DataFrame, plan: Plan) -> DataFrame:
             if carried is not None:
                 old = len(carried[0])
                 columns = [np.concatenate(x) for x in zip(carried, columns, strict=True)]
-            direction, value, name = columns
+            direction, value, name, *marks = columns
             for step in range(1, len(value)):
                 near = (direction[step:] == direction[:-step]) & (value[step:] - value[:-step] <= width)
                 if not near.any():
                     break
                 near[: max(0, old - step)] = False  # both were here before
                 i = np.flatnonzero(near)
+                apart = sum(differing(m[i], m[i + step]) for m in marks)
+                i = i[apart <= differ]
                 for k in range(0, len(i), OUT_PAIRS):
                     part = i[k : k + OUT_PAIRS]
                     out.append((name[part], name[part + step]))
@@ -190,8 +215,11 @@ def collisions(found: DataFrame, plan: Plan) -> DataFrame:
         if out:
             yield flush()
 
-    plan_window = plan.window
-    rows = found.select("class", "vector").mapInArrow(project, "direction long, value double, class long")
+    plan_window, differ = plan.window, plan.differ
+    marks = [f"mark{k}" for k in range(len(plan.signs) // 64)]
+    schema_names = ["direction", "value", "class", *marks]
+    schema = "direction long, value double, class long" + "".join(f", {m} long" for m in marks)
+    rows = found.select("class", "vector").mapInArrow(project, schema)
     tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Windows of one direction must meet: rows go by direction, and in it by value.
     ordered = rows.repartition(tasks, "direction").sortWithinPartitions("direction", "value")
@@ -222,20 +250,20 @@ def verified(pairs: DataFrame, found: DataFrame, cosine: float) -> DataFrame:
 
 
 def _of_one_sign(found: DataFrame) -> DataFrame:
-    """``(a, b)`` of the classes of one component: the cosine is 1 for a same sign, else -1."""
-    rows = found.select(F.col("class").alias("a"), (F.col("vector")[0] > 0).alias("sign"))
-    return rows.join(rows.withColumnRenamed("a", "b"), "sign").where("a < b").select("a", "b")
+    """``class, rows, root`` of the classes of one component: all of a sign link, as the cosine is 1 or -1."""
+    rows = found.where(F.size("vector") == 1).select("class", "size", (F.col("vector")[0] > 0).alias("sign"))
+    signs = rows.groupBy("sign").agg(F.sum("size").alias("rows"), F.min("class").alias("root"))
+    return rows.select("class", "sign").join(F.broadcast(signs), "sign").drop("sign")  # two rows
 
 
 def links(found: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``(a, b)``: classes that link, each pair once. ``found`` is staged."""
+    """``(a, b)``: classes of several components that link, each pair once. ``found`` is staged."""
     spaces = [r[0] for r in found.select(F.size("vector")).distinct().collect()]
     pairs = found.sparkSession.createDataFrame([], "a long, b long")
     for size in sorted(spaces):  # one vector length as a rule
-        own = found.where(F.size("vector") == size)
-        if size == 1:
-            pairs = pairs.unionByName(_of_one_sign(own))
+        if size == 1:  # not by pairs, see _of_one_sign
             continue
+        own = found.where(F.size("vector") == size)
         plan = calibrate(own.count(), size, settings)
         counted = collisions(own, plan).groupBy("a", "b").agg(F.count("*").alias("n"))
         pairs = pairs.unionByName(verified(counted.where(F.col("n") >= plan.least).select("a", "b"), own, settings.cosine))
@@ -251,12 +279,13 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings()) -> Data
     sizes = found.select(F.col("class").alias("b"), "size")
     others = both.join(sizes, "b").groupBy(F.col("a").alias("class")).agg(F.sum("size").alias("others"))
     roots = components(edges).withColumnsRenamed({"node": "class"})
+    one = _of_one_sign(found).withColumnRenamed("root", "of_sign")
     named = found.select("k1", "k2", "class", "size").join(others, "class", "left").join(roots, "class", "left")
-    named = named.select(
+    named = named.join(one, "class", "left").select(
         "k1",
         "k2",
-        (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-        F.coalesce("root", "class").alias("component_id"),
+        (F.coalesce("rows", F.col("size") + F.coalesce("others", F.lit(0))) - 1).alias("n_links"),
+        F.coalesce("of_sign", "root", "class").alias("component_id"),
     )
     good = F.col("vector")
     out = rows.join(named, ["k1", "k2"], "left").select(

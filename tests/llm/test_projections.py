@@ -67,16 +67,69 @@ def cloud(n, size, seed=1):
     return np.concatenate(rows).astype(np.float32)
 
 
+def frame(spark, vectors):
+    return spark.createDataFrame([(i, v.tolist(), 0, 0, "") for i, v in enumerate(vectors)], SCHEMA).repartition(5)
+
+
+def recall(spark, vectors):
+    """Share of the links between different vectors that are found; none may be false."""
+    unit = np.unique(vectors.astype(np.float32), axis=0).astype(np.float64)
+    _, found = P.classes(frame(spark, unit.astype(np.float32)))
+    got = {(r.a, r.b) for r in P.links(P.stage(found, "vectors")).collect()}
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    cosine = unit @ unit.T
+    want = {(a, b) for a, b in zip(*np.nonzero(np.triu(cosine >= 0.95 + 1e-12, 1)), strict=True)}
+    assert all(cosine[a, b] >= 0.95 - 1e-12 for a, b in got) and len(want) > 30
+    return len(got & want) / len(want)
+
+
 @pytest.mark.parametrize("size,shift", [(64, 0.0), (16, 0.0), (64, 0.6)])
-def test_recall_against_brute_force(spark, size, shift):
-    vectors = cloud(700, size) + np.float32(shift)
-    df = spark.createDataFrame([(i, v.tolist(), 0, 0, "") for i, v in enumerate(vectors)], SCHEMA).repartition(5)
+def test_recall_over_different_vectors(spark, size, shift):
+    assert recall(spark, cloud(700, size) + np.float32(shift)) >= 0.95
+
+
+def test_recall_of_pairs_that_just_link(spark):
+    """All pairs at cosines from 0.95 to 0.96, in clusters whose other pairs do not link."""
+    draw = np.random.default_rng(9)
+    middle = draw.standard_normal((8, 64))
+    base = middle[draw.integers(0, 8, 600)] * 0.8 + draw.standard_normal((600, 64))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    away = draw.standard_normal((600, 64))
+    away -= (away * base).sum(axis=1, keepdims=True) * base
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    c = draw.uniform(0.9501, 0.96, (600, 1))
+    assert recall(spark, np.concatenate([base, c * base + np.sqrt(1 - c * c) * away])) >= 0.93
+
+
+def test_copies_count_as_links(spark):
+    vectors = cloud(300, 32)
     unit = vectors.astype(np.float64)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     links = (unit @ unit.T >= 0.95).sum(axis=1) - 1
-    got = np.array([r.n_links for r in sorted(P.near_duplicates(df).collect(), key=lambda r: r.vec_id)])
-    assert (got <= links).all()
-    assert got.sum() >= 0.95 * links.sum()
+    got = np.array([r.n_links for r in sorted(P.near_duplicates(frame(spark, vectors)).collect(), key=lambda r: r.vec_id)])
+    assert (got <= links).all() and got[-50:].min() >= 50
+
+
+def test_crowded_regions_write_few_collisions(spark):
+    """Vectors of a few clusters collide often; only those near one another are written."""
+    draw = np.random.default_rng(10)
+    middle = draw.standard_normal((4, 64))
+    vectors = middle[draw.integers(0, 4, 1500)] * 0.7 + draw.standard_normal((1500, 64))
+    _, found = P.classes(frame(spark, vectors.astype(np.float32)))
+    found = P.stage(found, "vectors")
+    plan = P.calibrate(1500, 64, P.Settings())
+    assert P.collisions(found, plan).count() < 1500
+
+
+def test_sketches_differ_as_angles_do():
+    draw = np.random.default_rng(11)
+    u, v = draw.standard_normal((2, 500, 32))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    v -= (v * u).sum(axis=1, keepdims=True) * u
+    w = 0.95 * u + np.sqrt(1 - 0.95**2) * v / np.linalg.norm(v, axis=1, keepdims=True)
+    plan = P.calibrate(500, 32, P.Settings())
+    near, far = (sum(P.differing(a, b) for a, b in zip(P.sketch(u, plan.signs).T, P.sketch(x, plan.signs).T, strict=True)) for x in (w, v))
+    assert near.max() <= plan.differ and far.min() > plan.differ
 
 
 def test_embeddings(spark):
