@@ -7,8 +7,9 @@ Fisher-Yates shuffle. Buckets one after another are the shuffled corpus; cut int
 gives shards whose row counts differ by one at most (law ``rows``).
 
 Defined results: a null text has no bytes (size 1) and checksum 0; an empty table gives no rows;
-rows that repeat get a place each. A record's bucket depends on ``doc_id`` and text. A bucket that
-is larger than a task should hold (only rows equal in both can cause that) is permuted in runs of
+rows that repeat get a place each. A record's bucket depends on ``doc_id`` and text; rows equal in both go
+by their other columns. The number of buckets follows the bytes of the table, so a bucket that
+is larger than a task should hold comes of rows equal in both only; it is permuted in runs of
 the second hash's order, which is uniform already, so memory stays bounded. Input columns named
 as an output column are replaced.
 """
@@ -28,8 +29,10 @@ from pyspark.sql.window import Window
 #: Bytes of text a bucket should hold, and the most a task permutes at once.
 BUCKET_BYTES = 8 << 20
 RUN_BYTES = 64 << 20
-#: Fewest and most buckets; the most bounds the table of offsets (two longs each).
-LEAST_BITS, MOST_BITS = 8, 20
+#: Fewest buckets, and up to how many their table of offsets (two longs each) is broadcast.
+LEAST_BITS, SMALL_BITS = 8, 20
+#: Bytes of buckets that go to one task.
+TASK_BYTES = 64 << 20
 OUT_BATCH = 512
 
 
@@ -44,11 +47,13 @@ def _bucket(bits: int):
 
 
 def scatter(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame, int]:
-    """``docs`` with ``__key`` and ``__bucket``, the offsets of the buckets, and the row count."""
+    """``docs`` with ``__key`` and ``__bucket``, the offsets of the buckets, and the number of tasks."""
     keyed = _keyed(docs, seed)
     bytes_of = F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 1
     total = keyed.agg(F.sum(bytes_of)).first()[0] or 0
-    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, total / BUCKET_BYTES)))))
+    # Small buckets while their offsets are a small table, then larger ones, of half a run at most.
+    aim = min(RUN_BYTES / 2, max(BUCKET_BYTES, total / (1 << SMALL_BITS)))
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(1, total / aim))))
     counts = keyed.groupBy(_bucket(bits).alias("__bucket")).agg(F.count("*").alias("n"))
     # Prefix sums in two levels: inside pages of 1024 buckets, then over the pages.
     page = F.col("__bucket") - F.pmod(F.col("__bucket"), F.lit(1024))
@@ -59,7 +64,8 @@ def scatter(docs: DataFrame, seed: int) -> tuple[DataFrame, DataFrame, int]:
     pages = pages.withColumn("before", F.coalesce(F.sum("rows").over(outer), F.lit(0)))
     offsets = counts.withColumn("inside", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(pages, "page")
     offsets = offsets.select("__bucket", (F.col("before") + F.col("inside")).alias("__offset"))
-    return keyed.withColumn("__bucket", _bucket(bits)), offsets, bits
+    tasks = max(_shuffle(docs), min(1 << bits, math.ceil(total / TASK_BYTES)))
+    return keyed.withColumn("__bucket", _bucket(bits)), F.broadcast(offsets) if bits <= SMALL_BITS else offsets, tasks
 
 
 def permuted(table: pa.Table, seed: int, bucket: int, run: int) -> pa.Table:
@@ -74,7 +80,7 @@ def permuted(table: pa.Table, seed: int, bucket: int, run: int) -> pa.Table:
 
 def shuffled(docs: DataFrame, seed: int = 17) -> DataFrame:
     """``docs`` with ``position``, the 0-based place in the shuffled corpus; stored bucket by bucket."""
-    rows, offsets, bits = scatter(docs, seed)
+    rows, offsets, tasks = scatter(docs, seed)
     place = T.StructField("__place", T.LongType())
     schema = T.StructType([*rows.schema.fields, place])
 
@@ -106,9 +112,9 @@ def shuffled(docs: DataFrame, seed: int = 17) -> DataFrame:
             yield from flush()
 
     second = F.xxhash64(F.col("__key"), F.lit(seed + 1))
-    spread = rows.repartition(max(1, 1 << min(bits, 16)) if bits > 12 else _shuffle(docs), "__bucket")
-    ordered = spread.sortWithinPartitions("__bucket", second, "doc_id")
-    placed = ordered.mapInArrow(task, schema).join(F.broadcast(offsets), "__bucket")
+    others = [c for c, kind in docs.dtypes if not any(x in kind for x in ("map<", "variant"))]
+    ordered = rows.repartition(tasks, "__bucket").sortWithinPartitions("__bucket", second, "doc_id", F.xxhash64(*others))
+    placed = ordered.mapInArrow(task, schema).join(offsets, "__bucket")
     position = (F.col("__offset") + F.col("__place")).alias("position")
     return placed.select(*[c for c in docs.columns if c != "position"], position)
 

@@ -50,6 +50,48 @@ def test_large_bucket_is_permuted_in_runs(spark, monkeypatch):
     check(S.shard(df, 4).collect(), 1000, 4)
 
 
+def plain_positions(rows, bits, seed):
+    """Places by the method, without Spark: scatter, sort by the second hash, Fisher-Yates, buckets in a row."""
+    buckets = {}
+    for key, second, doc_id, others, row in rows:
+        buckets.setdefault((key % (1 << 64)) >> (64 - bits), []).append((second, doc_id, others, row))
+    out = []
+    for bucket in sorted(buckets):
+        held = [x[3] for x in sorted(buckets[bucket])]
+        draw = np.random.default_rng([seed, bucket, 0])
+        for i, j in zip(range(len(held) - 1, 0, -1), draw.integers(0, np.arange(len(held), 1, -1)), strict=True):
+            held[i], held[j] = held[j], held[i]
+        out += held
+    return out
+
+
+@pytest.mark.parametrize("bucket_bytes", [300, 8 << 20])
+def test_against_a_plain_version(spark, monkeypatch, bucket_bytes):
+    """Also where buckets are small and many, and where rows repeat with other columns."""
+    monkeypatch.setattr(S, "BUCKET_BYTES", bucket_bytes)
+    monkeypatch.setattr(S, "LEAST_BITS", 2)
+    rows = [(i % 150, f"text {i % 150} " * (i % 9), f"row {i}") for i in range(450)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, other string")
+    total = sum(len(t.encode()) + 1 for _, t, _ in rows)
+    bits = max(2, int(np.ceil(np.log2(max(1, total / bucket_bytes)))))
+    assert bits > 5 or bucket_bytes > 300
+    key = S._keyed(df, 17)
+    hashed = key.select("__key", S.F.xxhash64("__key", S.F.lit(18)), "doc_id", S.F.xxhash64(*df.columns), "other").collect()
+    want = plain_positions([tuple(r) for r in hashed], bits, 17)
+    for n in (1, 7):
+        got = S.shuffled(df.repartition(n)).orderBy("position").collect()
+        assert [r.position for r in got] == list(range(450))
+        assert [r.other for r in got] == want
+
+
+def test_many_buckets_join_their_offsets_without_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(S, "SMALL_BITS", 3)
+    monkeypatch.setattr(S, "LEAST_BITS", 2)
+    monkeypatch.setattr(S, "RUN_BYTES", 400)
+    df = spark.createDataFrame([(i, "word " * (i % 7)) for i in range(400)], "doc_id long, text string")
+    check(S.shard(df, 5).collect(), 400, 5)
+
+
 def test_permutation_is_uniform():
     table = pa.table({"x": [0, 1, 2]})
     seen = Counter(tuple(S.permuted(table, 1, b, 0)["x"].to_pylist()) for b in range(6000))
