@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from skylattice.llm.common import BLANK, stage
 
 #: Share of a host's pages above which a line is boilerplate, and the fewest pages that show it.
-RATIO, PAGES = 0.3, 3
+RATIO, PAGES = 0.3, 2
 #: Elements that end a line.
 BLOCKS = (
     "address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|"
