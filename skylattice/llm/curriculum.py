@@ -236,6 +236,32 @@ def plan(
     return rows.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
+def ordered(docs: DataFrame, **settings) -> DataFrame:
+    """:func:`plan` with ``places``: where each copy of a document stands in the training order, from 0.
+
+    The order is by position (nine decimals) and ``doc_id``. Copies are sorted by ranges of position; a
+    place is the number of copies in the ranges before and of those before it in its range.
+    """
+    rows = stage(plan(docs, **settings).withColumn("__row", F.monotonically_increasing_id()), "plan")
+    copies = rows.select("__row", "doc_id", F.posexplode("positions").alias("__copy", "__at"))
+    copies = copies.withColumn("__at", F.round("__at", 9))
+    order = ["__at", F.asc_nulls_first("doc_id"), "__copy", "__row"]
+    copies = copies.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The upper bits of the running number are the range, the lower ones the place in it.
+    numbered = copies.withColumn("__n", F.monotonically_increasing_id()).select("__row", "__copy", "__n")
+    numbered = stage(numbered, "order")
+    span, inside = F.shiftright("__n", 33), F.col("__n").bitwiseAND(F.lit((1 << 33) - 1))
+    ranges = numbered.groupBy(span.alias("__range")).agg(F.count("*").alias("__copies_in"))
+    ahead = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    ranges = ranges.select("__range", F.coalesce(F.sum("__copies_in").over(ahead), F.lit(0)).alias("__before"))
+    placed = numbered.withColumn("__range", span).join(F.broadcast(ranges), "__range")
+    places = placed.groupBy("__row").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__copy", (F.col("__before") + inside).alias("place")))), lambda x: x["place"]).alias("places")
+    )
+    none = F.array().cast("array<long>")
+    return rows.join(places, "__row", "left").withColumn("places", F.coalesce("places", none)).drop("__row")
+
+
 def mix(docs: DataFrame, **settings) -> DataFrame:
     """The training corpus: a row for each copy, ``position`` added, sorted by range of position."""
     rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("__row"))

@@ -57,7 +57,7 @@ OP7 = rf"""
             case when words > 0 then cast(floor(target / words) as int) else 0 end as passes
         from s5 join small on s5.source is not distinct from small.source),
     r as (
-        select p.doc_id, p.source, p.size, p.power > s6.small as big, s6.words, s6.target, s6.passes, s6.kind,
+        select p.doc_id, p.digest, p.source, p.size, p.power > s6.small as big, s6.words, s6.target, s6.passes, s6.kind,
             s6.weight, s6.target - s6.passes * s6.words as rest,
             coalesce(sum(case when p.power > s6.small then size else 0 end) over w, 0) as l0,
             coalesce(sum(case when p.power > s6.small then 0 else size end) over w, 0) as s0,
@@ -72,15 +72,26 @@ OP7 = rf"""
     c as (
         select *, case when size = 0 then 0 else passes + cast(
             case when big then first_part else s0 + size / 2 < rest - given end as int) end as copies,
-            case when passes > 0 then l0 + s0 else rest * (l0 + s0) / words end / target * weight as demand
-        from g)
-    select doc_id, size, words as source_size, target, size * copies as taken,
-        case when copies > 0 then (
-            select round(max_by(least(b, a + case when u + sqrt(greatest(u * u + 2 * (v - u) / (b - a) * (demand - q), 0)) > 0
+            l0 + s0 as start
+        from g),
+    x as (
+        select c.*, i, (case when i <= passes then (i - 1) * words + start
+            else passes * words + rest * start / words end) / target * weight as demand
+        from c, range(1, 4) t(i) where i <= copies),
+    t as (
+        select doc_id, digest, i, (
+            select max_by(least(b, a + case when u + sqrt(greatest(u * u + 2 * (v - u) / (b - a) * (demand - q), 0)) > 0
                 then 2 * (demand - q) / (u + sqrt(greatest(u * u + 2 * (v - u) / (b - a) * (demand - q), 0)))
-                else 0 end), q), 6)
-            from {_PIECES} where p.kind = c.kind and (q <= demand or q = 0)) end as starts
-    from c"""
+                else 0 end), q)
+            from {_PIECES} where p.kind = x.kind and (q <= demand or q = 0)) as spot
+        from x),
+    o as (
+        select *, row_number() over (order by round(spot, 9), doc_id nulls first, i) - 1 as place from t),
+    n as (
+        select doc_id, digest, string_agg(place, ',' order by i) as places, round(min_by(spot, i), 6) as starts
+        from o group by all)
+    select c.doc_id, size, words as source_size, target, size * copies as taken, starts, coalesce(places, '') as places
+    from c left join n on c.doc_id = n.doc_id and c.digest = n.digest"""
 
 def _op3() -> str:
     from skylattice.llm.site_lines import BLOCK, ENTITIES, HIDDEN, HOST, PAGES, RATIO

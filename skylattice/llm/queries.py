@@ -100,9 +100,10 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_curriculum(spark: SparkSession, sf: str) -> DataFrame:
-    rows = curriculum.plan(table(spark, sf, "documents"))
+    rows = curriculum.ordered(table(spark, sf, "documents"))
     starts = F.round(F.get("positions", F.lit(0)), 6).alias("starts")
-    return rows.select("doc_id", "size", "source_size", "target", "taken", starts)
+    places = F.array_join(F.col("places").cast("array<string>"), ",").alias("places")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", starts, places)
 
 
 def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:

@@ -87,6 +87,24 @@ def test_mix_is_in_training_order(spark):
     assert mixed.columns == [*docs.columns, "position"]
 
 
+def test_places_are_those_of_the_mix(spark):
+    """Each copy has one place, and places follow positions."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(5)
+    rows = C.ordered(docs).collect()
+    copies = sorted((place, round(at, 9), r.doc_id) for r in rows for place, at in zip(r.places, r.positions, strict=True))
+    assert [c[0] for c in copies] == list(range(len(copies)))
+    assert [c[1:] for c in copies] == sorted(c[1:] for c in copies)
+    assert [c[2] for c in copies] == [r.doc_id for r in C.mix(docs).collect()]
+    assert {r.doc_id: r.places for r in C.ordered(docs.repartition(2)).collect()} == {r.doc_id: r.places for r in rows}
+
+
+def test_places_of_odd_rows(spark):
+    rows = C.ordered(odd(spark)).collect()
+    assert len(rows) == len(ODD)
+    assert sorted(p for r in rows for p in r.places) == list(range(sum(r.copies for r in rows)))
+    assert C.ordered(empty(spark)).collect() == []
+
+
 def integral(pieces, t):
     total = 0.0
     for t0, t1, w0, w1 in pieces:
