@@ -41,7 +41,7 @@ class Settings:
     recall: float = 0.98
     #: Vectors expected above the level of a projection, and collisions expected of a linked pair.
     above: int = 8
-    collisions: float = 14.0
+    collisions: float = 9.0
     #: Half a window, in standard deviations of the difference of a pair that just links.
     window: float = 1.5
     pairs: int = 600
@@ -126,7 +126,7 @@ def calibrate(n: int, size: int, settings: Settings) -> Plan:
         met = np.abs(a[2][ia] - b[2][ib]) <= settings.window * apart
         np.add.at(counts, both[met] // (4 * bases * bases), 1)
         least = int(np.sort(counts)[math.floor((1 - settings.recall) * settings.pairs)])
-        if least >= 3:
+        if least >= 2:
             return Plan(first, second, level, settings.window * apart, least, signs, differ)
         bases = math.ceil(bases * 1.2)
     raise RuntimeError(f"no number of directions reaches a recall of {settings.recall} for {n} vectors of {size} components")
