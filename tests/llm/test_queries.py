@@ -20,7 +20,7 @@ def test_query_matches_its_oracle(spark, duck, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(contract.queries())
     assert set(ORACLES) <= set(contract.oracle_sql())
 
@@ -31,6 +31,9 @@ COLUMNS = {
     "op6_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_projections": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op10_shards": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+    "op11_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op12_nra_search": "item_id bigint, rank int, doc_id bigint, score bigint",
+    "op13_anchor_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
 }
 
 
