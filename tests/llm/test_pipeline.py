@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from skylattice.llm import quality
+from skylattice.llm.common import stage
 from skylattice.llm.queries import table, vocabulary
 
 
@@ -22,7 +23,7 @@ def steps(spark):
     docs = table(spark, SF, "documents")
     found = [docs.collect()]
     for name, function in pipeline.STAGES:
-        docs = pipeline.stage(function(spark, docs, SF), name)
+        docs = stage(function(spark, docs, SF), name)
         found.append(docs.collect())
     return found
 
@@ -95,7 +96,7 @@ def test_odd_rows_pass_through_every_stage(spark, make):
     docs = make(spark)
     for name, function in pipeline.STAGES:
         columns = docs.columns
-        docs = pipeline.stage(function(spark, docs, SF), name)
+        docs = stage(function(spark, docs, SF), name)
         assert name == "bpe" or docs.columns == columns
     rows = docs.collect()
     if make is empty:
