@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from skylattice.functions.units import human_size, size_mb
+from skylattice.storage import exists
 
 
 def table_stats(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> DataFrame:
@@ -79,8 +80,14 @@ def health_snapshot(stats: DataFrame, as_of: datetime) -> DataFrame:
 
 
 def append_health(stats: DataFrame, as_of: datetime, target: str) -> None:
-    """Append a snapshot to the health history at ``target``."""
-    health_snapshot(stats, as_of).write.mode("append").parquet(target)
+    """Append a snapshot to the history at ``target``; one of that moment that is there already stays."""
+    snapshot = health_snapshot(stats, as_of)
+    spark = stats.sparkSession
+    if exists(spark, target):
+        held = spark.read.schema(snapshot.schema).parquet(target)
+        if held.filter(F.col("as_of") == F.lit(as_of.replace(tzinfo=None)).cast("timestamp_ntz")).take(1):
+            return
+    snapshot.write.mode("append").parquet(target)
 
 
 def stats_trend(history: DataFrame) -> DataFrame:

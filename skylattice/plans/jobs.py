@@ -26,7 +26,7 @@ from skylattice.operators.filters import in_dates
 from skylattice.operators.gaps import fill_gaps, known_values
 from skylattice.operators.hourly import hourly
 from skylattice.operators import quality
-from skylattice.operators.health import health_snapshot
+from skylattice.operators.health import append_health
 from skylattice.operators.increments import condition_sums, conditions_of, hour_sums, hours_of
 from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
 from skylattice.schemas import DAY_FAMILIES, STATES, TABLES, to_table
@@ -185,7 +185,7 @@ def quality_job(raw: DataFrame, store: Store, target: str, as_of: datetime) -> N
         "duplicates": reduce(DataFrame.unionByName, twice),
     }
     for name, report in reports.items():
-        health_snapshot(report, as_of).write.mode("append").parquet(f"{target}/{name}")
+        append_health(report, as_of, f"{target}/{name}")
 
 
 def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -53,3 +53,10 @@ def test_analyze(spark, tmp_path):
     info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED analyzed").collect()}
     assert "4 rows" in info["Statistics"]
     spark.sql("DROP TABLE analyzed")
+
+
+def test_a_snapshot_of_one_moment_is_kept_once(spark, tmp_path):
+    stats = spark.createDataFrame([("t", 3, 5)], "table_name string, row_count bigint, size_bytes bigint")
+    for as_of in (datetime(2024, 1, 1, 5), datetime(2024, 1, 1, 5), datetime(2024, 1, 2, 5)):
+        health.append_health(stats, as_of, str(tmp_path / "health"))
+    assert spark.read.parquet(str(tmp_path / "health")).count() == 2
