@@ -8,7 +8,8 @@ ends a word carries the word-end mark, the others do not. Fragments repeat far m
 texts, so each task keeps the ids of those it has seen (tables of bounded size).
 
 The vocabulary is a tokenizers JSON file, named by its path; special strings in a text become
-their ids, as that library does it. Defined results: a null text is encoded as an empty one (no
+their ids, as that library does it. A file whose normaliser, cutting, model or decoder differ from what
+is done here is refused. Defined results: a null text is encoded as an empty one (no
 ids, empty decoded text). Other columns, whatever their names, stay, except that input columns
 named as an output column are replaced.
 """
@@ -62,6 +63,39 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in prints else chr(256 + hidden.index(b)) for b in range(256)]
 
 
+#: Steps of a tokenizer file that :class:`Codec` follows (fixed values of the file format).
+STEPS = {
+    "decoder": None,
+    "post_processor": None,
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    },
+}
+MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "byte_fallback": False, "ignore_merges": False}
+SPLIT = {"type": "Split", "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+ADDED = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
+
+
+def refuse_others(spec: dict, path: str) -> None:
+    """Raise where a tokenizer file asks for steps that would give other ids or another text than here."""
+
+    def differing(given: dict, wanted: dict, where: str) -> list[str]:
+        return [f"{where}{name}" for name, value in wanted.items() if given.get(name, value) != value]
+
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    odd = [name for name, value in STEPS.items() if spec.get(name) != value]
+    odd += differing(spec["model"], MODEL, "model.")
+    if [c.get("type") for c in cuts] != ["Split", "ByteLevel"]:
+        odd.append("pre_tokenizer")
+    else:
+        odd += differing(cuts[0], SPLIT, "pre_tokenizer.") + differing(cuts[1], BYTES, "pre_tokenizer.")
+    odd += [f"added token {a['content']!r}" for a in spec["added_tokens"] if differing(a, ADDED, "") or not a["content"].startswith("<|")]
+    if odd:
+        raise ValueError(f"{path}: encoding here does not follow its {', '.join(odd)}")
+
+
 class Codec:
     """Encoder and decoder of one vocabulary file, made once in each Python worker."""
 
@@ -69,6 +103,7 @@ class Codec:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        refuse_others(spec, path)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]

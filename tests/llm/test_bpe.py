@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import numpy as np
@@ -86,3 +87,21 @@ def test_documents(spark, library):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    ("step", "value"),
+    [
+        ("decoder", {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}),
+        ("normalizer", {"type": "NFC"}),
+        ("post_processor", {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": False, "use_regex": True}),
+        ("pre_tokenizer", {"type": "Whitespace"}),
+    ],
+)
+def test_files_with_other_steps_are_refused(tmp_path, step, value):
+    with open(PATH, encoding="utf-8") as f:
+        spec = json.load(f)
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(spec | {step: value}), encoding="utf-8")
+    with pytest.raises(ValueError, match=step):
+        bpe.Codec(str(other))
