@@ -5,7 +5,13 @@ card, account and social-security numbers, IP addresses, and names behind a form
 entity gets a surrogate drawn by a keyed digest of its type and canonical form, so the same entity has
 the same surrogate in every document (coreference), however it is written. Surrogates keep type and
 format: digits stay digits, letters keep script and case, separators stay, a card number stays valid or
-invalid, a private address private (IPv6 addresses are written out in eight groups), a given name keeps the gender of its form of address.
+invalid, a telephone number its leading zeros, a private address private (IPv6 addresses are written out in eight
+groups), a given name keeps the gender of its form of address.
+
+A name that a document shows behind a form of address is replaced wherever else it stands in that document, unless
+the text also uses the word in lower case. A given name has one gender in a document: that of its forms of
+address, neutral if they differ or tell none. Names are composed of syllables and endings by script and gender,
+some 10^7 given and 10^8 family names, so few draw again.
 
 Collision check: over all distinct entities, two that draw the same surrogate, or one that draws
 another's real value, draw again (all but the smallest), until all surrogates differ. Only
@@ -29,25 +35,38 @@ from skylattice.llm.common import small, stage
 MASCULINE = ["Mr", "Mister", "Herr", "Monsieur", "Señor", "Sr", "Signor", "г-н", "господин", "κύριος"]
 FEMININE = ["Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mlle", "Señora", "Sra", "Signora", "г-жа", "госпожа", "κυρία"]
 NEUTRAL = ["Dr", "Prof", "Doctor", "Professor", "доктор"]
+
+#: Surrogate names are syllables, a consonant and a vowel each, and an ending that tells gender.
+SYLLABLES = {
+    script: [c + v for c in consonants for v in vowels]
+    for script, consonants, vowels in [
+        ("latin", "bdfghjklmnprstvz", "aeiou"),
+        ("cyrillic", "бвгдзклмнпрстфхш", "аеиоу"),
+        ("greek", "βγδζθκλμνπρστφχψ", "αεηιω"),
+    ]
+}
 GIVEN = {
-    ("latin", "m"): "Adam Bruno Carl David Erik Felix Georg Hugo Ivan Jonas Karl Leo Martin Noah Oscar Paul Rafael Simon Tomas Victor".split(),
-    ("latin", "f"): "Anna Bella Clara Diana Elena Fiona Greta Helena Irene Julia Karla Lena Maria Nora Olivia Paula Rosa Sofia Teresa Vera".split(),
-    ("latin", "n"): "Alex Ariel Charlie Eden Jamie Jules Kim Lou Luca Morgan Noel Robin Sacha Sam Sasha Toni".split(),
-    ("cyrillic", "m"): "Андрей Борис Виктор Глеб Денис Егор Иван Кирилл Лев Максим Олег Павел Роман Сергей Тимур Юрий".split(),
-    ("cyrillic", "f"): "Алина Вера Галина Дарья Елена Зоя Ирина Ксения Лидия Мария Нина Ольга Полина Светлана Тамара Юлия".split(),
-    ("cyrillic", "n"): "Саша Женя Валя Шура Слава".split(),
-    ("greek", "m"): "Αλέξης Γιώργος Δημήτρης Κώστας Λεωνίδας Μάριος Νίκος Πέτρος Σπύρος Τάσος".split(),
-    ("greek", "f"): "Άννα Βασιλική Γεωργία Δήμητρα Ειρήνη Κατερίνα Μαρία Νίκη Σοφία Χρύσα".split(),
-    ("greek", "n"): "Άρης Ζωή Φοίβη".split(),
-}
+    ("latin", "m"): "bert dor fried las nand rik sten ton".split(),
+    ("latin", "f"): "bella dina leen lia nette rosa sina wina".split(),
+    ("latin", "n"): "by dy ley mi ne ry sey vy".split(),
+    ("cyrillic", "m"): "дан лай мир рей сей тон фим хар".split(),
+    ("cyrillic", "f"): "вия дина лия мила ния рина сия тина".split(),
+    ("cyrillic", "n"): "ша ся ня ля".split(),
+    ("greek", "m"): "νης δης λος μος ρος στος τας κος".split(),
+    ("greek", "f"): "δα κη λια μη να ρια σια τη".split(),
+    ("greek", "n"): "δι κι λι ρι".split(),
+}
 FAMILY = {
-    "latin": "Albers Benson Castro Duval Ekberg Fischer Garnier Hansen Ibarra Jansen Keller Lindner Moreau Novak Ortega Perrin Quintero Rossi Sommer Thorne Ulrich Vidal Weber Ximenes Young Zeller".split(),
-    "cyrillic": "Абрамов Борисов Васильев Григорьев Данилов Егоров Зайцев Ильин Крылов Лебедев Макаров Носов Орлов Павлов Романов Соколов Титов Ушаков Фролов Чернов".split(),
-    "greek": "Αγγελόπουλος Βλάχος Γεωργίου Δημητρίου Ιωάννου Κωνσταντίνου Μακρής Νικολάου Παππάς Σταύρου".split(),
-}
+    "latin": "berg der ford ler man ner sen ski son ton well wick".split(),
+    "cyrillic": "бов вин дов ков лев нин ров шин".split(),
+    "greek": "δης κης λος νος ρας τος".split(),
+}
+#: Syllables of a given and of a family name.
+GIVEN_SYLLABLES, FAMILY_SYLLABLES = 3, 4
 
 #: What stands before a secret: a keyword, which may be a part of a word, a sign, and opening quotes.
 SECRET = (
+    r"(?!(?i:secrets?|tokens?):\x20\p{L}{1,7}\x20\p{Ll})"  # prose: a colon and short words
     r"(?i:passwords?|passwd|pwd|tokens?|secrets?|api[_\-\x20]?keys?)"
     r"(?:(?i:keys?|values?|hash|phrase|id|\d+)(?![\p{L}\p{N}])|[_\-.][\p{L}\p{N}_\-.]*|(?<=\p{Ll})\p{Lu}[\p{L}\p{N}_\-.]*)?"
     r"(?:\\?[\"'])?[\x20\x09]*+(?::=|=>|={1,3}|:)[\x20\x09]*+(?:\\?[\"'])?"
@@ -63,7 +82,8 @@ _TITLES = [form for word in MASCULINE + FEMININE + NEUTRAL for form in (word, wo
 TITLE = "(?:" + "|".join(sorted(_TITLES, key=len, reverse=True)) + r")\.?\x20"
 #: Signs before an e-mail address that are not a part of it.
 SIGNS = r"^[._%+\-]*"
-WORD = r"\p{Lu}[\p{L}'’\-]+"
+#: A word of a name, without the ending of a possessive.
+WORD = r"(?=\p{Lu}(?:\p{L}|['’\-]\p{L}{2}))\p{Lu}\p{L}*+(?:['’\-]\p{L}{2,}+)*+"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 GROUP = r"[0-9A-Fa-f]{1,4}"
 #: Telephone numbers without a plus sign or brackets: American ones, others behind a zero.
@@ -81,7 +101,7 @@ PATTERNS = {
     rf"|(?<![\p{{L}}\p{{N}}.\-])(?:{NATIONAL})(?![\d\-])",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}\-])",
     "card": NOT_IN_WORD + r"(?:\d{4}[\x20\-]\d{4}[\x20\-]\d{4}[\x20\-]\d{1,7}|\d{4}[\x20\-]\d{6}[\x20\-]\d{4,5}|\d{13,19})" + NOT_IN_NUMBER,
-    "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
+    "ip": rf"(?<![\p{{L}}\p{{N}}.])(?<!(?i:version|release)\x20)(?:{OCTET}\.){{3}}{OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
     "ip6": rf"(?<![\p{{L}}\p{{N}}:.])(?=[A-Fa-f:]*\d)(?:{GROUP}(?::{GROUP}){{7}}|(?:{GROUP}:{GROUP}|[0-9A-Fa-f]{{3,4}})(?::{GROUP}){{0,5}}::(?:{GROUP}(?::{GROUP}){{0,5}})?)"
     r"(?![\p{L}\p{N}:])",
     "account": NOT_IN_WORD + r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?" + NOT_IN_NUMBER,
@@ -96,14 +116,76 @@ TRIGGER = rf"[0-9@]|(?=[A{_FIRST}])(?:AKIA|{TITLE}\p{{Lu}})|(?=[pPtTsSaA]){SECRE
 DRAWS = 4
 #: What secrets without letters and digits are drawn from.
 SYMBOLS = "!#$%&*+-/=?@^_~"
-SYLLABLES = {"latin": "ba de li mo ru ta ve so".split(), "cyrillic": "ба де ли мо ру та ве со".split(), "greek": "βα δε λι μο ρυ τα νε σο".split()}
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
 
 
-def mentions(text: Column) -> Column:
+def _bound(x: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(x), body), F.lit(0))
+
+
+def people(text: Column) -> Column:
+    """The distinct words of names behind a form of address, with what the document tells of them.
+
+    ``bare`` words are replaced without a form of address, too.
+    """
+
+    def words(m: Column) -> Column:
+        title = F.regexp_extract(m, "^" + TITLE, 0)
+        return _bound(
+            F.struct(F.split(F.regexp_replace(m, "^" + TITLE, ""), " ").alias("words"), _gender(title).alias("gender")),
+            lambda x: F.transform(
+                x["words"],
+                lambda w, i: F.struct(
+                    F.lower(w).alias("word"),
+                    ((i == 0) & (F.size(x["words"]) > 1)).alias("given"),
+                    x["gender"].alias("gender"),
+                    F.when((x["gender"] == "f") & w.rlike(r"\p{IsCyrillic}.*[аА]$"), "а").otherwise("").alias("ending"),
+                    w.alias("written"),
+                ),
+            ),
+        )
+
+    none = F.array().cast("array<struct<word:string,given:boolean,gender:string,ending:string,written:string,bare:boolean>>")
+    titled = F.regexp_extract_all(text, F.lit(PATTERNS["name"]), F.lit(0))
+    common = F.regexp_extract_all(text, F.lit(NOT_IN_WORD + r"\p{Ll}[\p{L}'’\-]*"), F.lit(0))
+    fields = ("word", "given", "gender", "ending", "written")
+    found = _bound(
+        F.array_distinct(F.flatten(F.transform(titled, words))),
+        lambda known: _bound(
+            F.array_except(F.transform(known, lambda x: x["word"]), common),
+            lambda rare: F.transform(
+                known, lambda x: F.struct(*[x[f].alias(f) for f in fields], F.array_contains(rare, x["word"]).alias("bare"))
+            ),
+        ),
+    )
+    return F.when(text.rlike(NOT_IN_WORD + TITLE + r"\p{Lu}"), found).otherwise(none)
+
+
+def _with_bare(known: Column) -> Column:
+    """The pattern of all entities of a document that knows some names."""
+
+    def forms(x: Column) -> Column:
+        w = x["written"]
+        return F.array(w, F.upper(w), F.concat(F.substring(w, 1, 1), F.lower(F.substring(w, F.lit(2), F.length(w)))))
+
+    words = F.array_distinct(F.flatten(F.transform(F.filter(known, lambda x: x["bare"]), forms)))
+    word = F.concat(F.lit(r"(?:"), F.array_join(F.reverse(F.array_sort(words)), "|"), F.lit(r")(?![\p{L}\p{N}])"))
+    bare = F.concat(F.lit("|" + NOT_IN_WORD + r"(?=\p{Lu})"), word, F.lit(r"(?:\x20(?=\p{Lu})"), word, F.lit("){0,2}"))
+    return F.when(F.exists(known, lambda x: x["bare"]), F.concat(F.lit(ANY), bare)).otherwise(F.lit(ANY))
+
+
+def mentions(text: Column, known: Column) -> Column:
     """All entities of a text as written, from left to right."""
     none = F.array().cast("array<string>")
-    return F.when(text.rlike(TRIGGER), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
+    plain = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    named = F.regexp_extract_all(text, _with_bare(known), F.lit(0))
+    return F.when(text.rlike(TRIGGER), F.when(F.size(known) > 0, named).otherwise(plain)).otherwise(none)
+
+
+def between(text: Column, known: Column) -> Column:
+    """What stands before, between and behind the mentions of a text."""
+    return F.when(F.size(known) > 0, F.split(text, _with_bare(known), -1)).otherwise(F.split(text, ANY, -1))
 
 
 def kind(m: Column) -> Column:
@@ -118,6 +200,7 @@ def kind(m: Column) -> Column:
         ("ip", m.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$")),
         ("ssn", m.rlike(r"^\d{3}-\d{2}-\d{4}$")),
         ("phone", m.rlike(rf"^(?:\+|\(|(?:{NATIONAL})$)")),
+        ("name", ~m.rlike(r"\p{N}")),
     ]
     return reduce(lambda rest, t: F.when(t[1], t[0]).otherwise(rest), reversed(tests), F.lit("card"))
 
@@ -138,17 +221,29 @@ def _part(before: Column, what: Column, canon: Column, written: Column, ending:
     return F.struct(*[c.alias(n) for n, c in named])
 
 
-def _name_part(mention: Column):
-    """A word of a name: given name (of a gender) if it is the first of several, else family name."""
+def _name_part(mention: Column, known: Column):
+    """A word of a name: given name (of a gender) if it is the first of several, else family name.
+
+    Without a form of address, a word is what the names of the document tell.
+    """
 
     def part(word: Column, i: Column) -> Column:
-        given = (i == 0) & (F.size(mention["words"]) > 1)
-        # The feminine form of a Cyrillic family name belongs to the masculine one.
-        ending = F.when(~given & (mention["gender"] == "f") & word.rlike(r"\p{IsCyrillic}.*а$"), "а").otherwise("")
-        canon = F.lower(F.when(ending == "", word).otherwise(F.regexp_replace(word, "а$", "")))
-        kinds = F.when(given, F.concat(F.lit("given "), script(word), F.lit(" "), mention["gender"]))
-        kinds = kinds.otherwise(F.concat(F.lit("family "), script(word)))
-        return _part(F.when(i == 0, mention["title"]).otherwise(" "), kinds, canon, word, ending)
+        def told(hits: Column) -> Column:
+            first = (i == 0) & (F.size(mention["words"]) > 1)
+            as_given, as_family = F.exists(hits, lambda x: x["given"]), F.exists(hits, lambda x: ~x["given"])
+            given = F.when(mention["title"] != "", first).otherwise(as_given & (first | ~as_family))
+            m = F.exists(hits, lambda x: x["given"] & (x["gender"] == "m")) | (mention["gender"] == "m")
+            f = F.exists(hits, lambda x: x["given"] & (x["gender"] == "f")) | (mention["gender"] == "f")
+            gender = F.when(m & ~f, "m").when(f & ~m, "f").otherwise("n")
+            # The feminine form of a Cyrillic family name belongs to the masculine one.
+            own = (mention["gender"] == "f") & word.rlike(r"\p{IsCyrillic}.*[аА]$")
+            ending = F.when(~given & (own | F.exists(hits, lambda x: ~x["given"] & (x["ending"] != ""))), "а").otherwise("")
+            canon = F.lower(F.when(ending == "", word).otherwise(F.regexp_replace(word, "[аА]$", "")))
+            kinds = F.when(given, F.concat(F.lit("given "), script(word), F.lit(" "), gender))
+            kinds = kinds.otherwise(F.concat(F.lit("family "), script(word)))
+            return _part(F.when(i == 0, mention["title"]).otherwise(" "), kinds, canon, word, ending)
+
+        return _bound(F.filter(known, lambda x: x["word"] == F.lower(word)), told)
 
     return part
 
@@ -160,7 +255,7 @@ def _whole_address(m: Column) -> Column:
     return F.array_join(F.transform(F.concat(left, zeros, right), lambda g: F.lpad(g, 4, "0")), ":")
 
 
-def _parts(x: Column) -> Column:
+def _parts(x: Column, known: Column) -> Column:
     """The entities of a typed mention, each with what stands before it."""
     value = x["value"]
     bare = F.upper(F.regexp_replace(x["m"], r"[^\p{L}\p{N}]", ""))
@@ -177,11 +272,14 @@ def _parts(x: Column) -> Column:
     before = F.when(secret, F.regexp_extract(x["m"], "^" + SECRET, 0)).when(email, F.regexp_extract(x["m"], SIGNS, 0)).otherwise("")
     written = F.when(secret, value).when(email, F.regexp_replace(x["m"], SIGNS, "")).otherwise(x["m"])
     one = F.array(_part(before, x["kind"], canon, written))
-    return F.when(x["kind"] == "name", F.transform(x["words"], _name_part(x))).otherwise(one)
+    return F.when(x["kind"] == "name", F.transform(x["words"], _name_part(x, known))).otherwise(one)
+
 
+def parsed(found: Column, known: Column) -> Column:
+    """For each mention its entities: what stands before, type, canonical form, and as written.
 
-def parsed(found: Column) -> Column:
-    """For each mention its entities: what stands before, type, canonical form, and as written."""
+    ``known`` are the :func:`people` of the document.
+    """
     typed = F.transform(
         found,
         lambda m: F.struct(
@@ -196,7 +294,7 @@ def parsed(found: Column) -> Column:
     typed = F.transform(
         typed, lambda x: F.struct(*[x[n].alias(n) for n in names], _gender(x["title"]).alias("gender"))
     )
-    return F.transform(typed, _parts)
+    return _bound(known, lambda p: F.transform(typed, lambda x: _parts(x, p)))
 
 
 def _number(key: str, what: Column, canon: Column, tries: Column, i: Column) -> Column:
@@ -254,23 +352,30 @@ def _drawn_address(canon: Column, draw, tries: Column) -> Column:
     return F.array_join(octets, ".")
 
 
-def _pick(names: list[str], n: Column) -> Column:
-    return F.get(F.array(*[F.lit(x) for x in names]), F.pmod(n, F.lit(len(names))).cast("int"))
+def _drawn_name(what: Column, draw, tries: Column) -> Column:
+    """Syllables and an ending, all taken from one number; later draws are longer."""
 
+    def by_script(choices: dict[str, Column]) -> Column:
+        return F.when(what.contains("cyrillic"), choices["cyrillic"]).when(what.contains("greek"), choices["greek"]).otherwise(choices["latin"])
 
-def _drawn_name(what: Column, draw, tries: Column) -> Column:
-    pools = {f"given {s} {g}": names for (s, g), names in GIVEN.items()} | {f"family {s}": n for s, n in FAMILY.items()}
-    picked, more = F.lit(None).cast("string"), F.lit(None).cast("string")
+    def literal(names: list[str]) -> Column:
+        return F.array(*[F.lit(x) for x in names])
+
+    count = F.when(what.startswith("given"), GIVEN_SYLLABLES).otherwise(FAMILY_SYLLABLES)
+    count = (count + F.greatest(tries - DRAWS + 1, F.lit(0))).cast("int")
+    endings = by_script({s: literal(names) for s, names in FAMILY.items()})
+    for (s, g), names in GIVEN.items():
+        endings = F.when(what == f"given {s} {g}", literal(names)).otherwise(endings)
+    syllables = by_script({s: literal(names) for s, names in SYLLABLES.items()})
 
-    def syllable(syllables: list[str]):
-        return lambda i: _pick(syllables, draw(i))
+    def syllable(i: Column) -> Column:
+        # Four syllables of a number, then the next number.
+        part = F.floor(draw(F.floor(i / 4)) / F.pow(F.lit(len(SYLLABLES["latin"])), F.pmod(i, F.lit(4)))).cast("long")
+        return F.get(syllables, F.pmod(part, F.size(syllables).cast("long")).cast("int"))
 
-    for name, names in pools.items():
-        picked = F.when(what == name, _pick(names, draw(F.lit(0)))).otherwise(picked)
-        syllables = SYLLABLES[name.split()[1]]
-        tail = F.transform(F.sequence(F.lit(1), F.greatest(tries - DRAWS + 2, F.lit(1))), syllable(syllables))
-        more = F.when(what == name, F.array_join(tail, "")).otherwise(more)
-    return F.lower(F.when(tries < DRAWS, picked).otherwise(F.concat(picked, more)))
+    body = F.array_join(F.transform(F.sequence(F.lit(0), count - 1), syllable), "")
+    ending = F.get(endings, F.pmod(draw(F.lit(-1)), F.size(endings).cast("long")).cast("int"))
+    return F.concat(body, ending)
 
 
 def drawn(key: str, what: Column, canon: Column, tries: Column) -> Column:
@@ -282,7 +387,9 @@ def drawn(key: str, what: Column, canon: Column, tries: Column) -> Column:
     hexadecimal = (what == "secret") & canon.rlike("^[0-9a-f]+$") | (what == "ip6")
     # Parts that say nothing of a person stay: key prefix, country of an account, top-level domain,
     # kind of a private address.
-    head = F.when(what == "key", 4).when(what == "account", 2).when((what == "ip6") & canon.rlike("^f[cde]"), 4).otherwise(0)
+    # A telephone number keeps the zeros before it and the one of the American form.
+    trunk = F.length(F.regexp_extract(canon, r"^(?:0+|1(?=\d{10}$))", 0))
+    head = F.when(what == "key", 4).when(what == "phone", trunk).when(what == "account", 2).when((what == "ip6") & canon.rlike("^f[cde]"), 4).otherwise(0)
     tail = F.when(what == "email", F.length(F.regexp_extract(canon, r"(?:\.example)?\.\p{L}+$", 0))).otherwise(0)
     numbers, n = what.isin("phone", "card", "ssn"), F.length(canon)
     each = F.transform(
@@ -291,7 +398,7 @@ def drawn(key: str, what: Column, canon: Column, tries: Column) -> Column:
             c.alias("c"),
             draw(i).alias("n"),
             ((i < head) | (i >= n - tail)).alias("stays"),
-            (numbers & (i == 0)).alias("leads"),
+            (numbers & (i == F.when(what == "phone", trunk).otherwise(0))).alias("leads"),
         ),
     )
     plain = F.array_join(F.transform(each, lambda x: _drawn_character(x, hexadecimal)), "")
@@ -352,7 +459,7 @@ def _cased(written: Column, new: Column) -> Column:
     return F.array_join(pairs, "")
 
 
-def replaced(key: str, found: Column, again: Column) -> Column:
+def replaced(key: str, found: Column, known: Column, again: Column) -> Column:
     """The surrogates of mentions, in their format; ``again`` maps entities to their draw."""
 
     def renewed(p: Column) -> Column:
@@ -378,7 +485,7 @@ def replaced(key: str, found: Column, again: Column) -> Column:
             .otherwise(_laid_out(written, new)),
         )
 
-    steps = F.transform(parsed(found), lambda parts: F.transform(parts, renewed))
+    steps = F.transform(parsed(found, known), lambda parts: F.transform(parts, renewed))
     steps = F.transform(steps, lambda parts: F.transform(parts, drawn_part))
     return F.transform(steps, lambda parts: F.array_join(F.transform(parts, laid), ""))
 
@@ -390,8 +497,9 @@ def _text_key(text: Column) -> list[Column]:
 def anonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with surrogates in ``text``, and ``n_entities``, the number of mentions replaced."""
     keep = [c for c in docs.columns if c != "n_entities"]
-    found = docs.select("text").where(F.col("text").rlike(TRIGGER))
-    pairs = found.select(*_text_key(F.col("text")), F.explode(F.flatten(parsed(mentions(F.col("text"))))).alias("e"))
+    found = docs.select("text").where(F.col("text").rlike(TRIGGER)).withColumn("__people", people(F.col("text")))
+    parts = parsed(mentions(F.col("text"), F.col("__people")), F.col("__people"))
+    pairs = found.select(*_text_key(F.col("text")), F.explode(F.flatten(parts)).alias("e"))
     pairs = stage(pairs.select("__t1", "__t2", "e.kind", "e.canon").distinct(), "entities")
     again = collisions(pairs.select("kind", "canon").distinct(), key)
     # Texts that hold an entity that drew again, with its draw.
@@ -400,14 +508,15 @@ def anonymise(docs: DataFrame, key: str) -> DataFrame:
     marks = stage(marks.agg(F.map_from_entries(F.collect_list(entry)).alias("__again")), "marks")
     rows = docs.select(*[c for c in keep], *_text_key(F.col("text")))
     rows = rows.join(small(marks, 100_000), ["__t1", "__t2"], "left")
-    rows = rows.withColumn("__found", mentions(F.col("text")))
-    between = F.split(F.col("text"), ANY, -1)
+    rows = rows.withColumn("__people", people(F.col("text")))
+    rows = rows.withColumn("__found", mentions(F.col("text"), F.col("__people")))
+    others = between(F.col("text"), F.col("__people"))
     new = F.zip_with(
-        replaced(key, F.col("__found"), F.col("__again")),
-        F.slice(between, F.lit(2), F.size("__found")),
+        replaced(key, F.col("__found"), F.col("__people"), F.col("__again")),
+        F.slice(others, F.lit(2), F.size("__found")),
         lambda surrogate, rest: F.concat(surrogate, rest),
     )
-    text = F.when(F.size("__found") > 0, F.concat(F.get(between, F.lit(0)), F.array_join(new, ""))).otherwise(F.col("text"))
+    text = F.when(F.size("__found") > 0, F.concat(F.get(others, F.lit(0)), F.array_join(new, ""))).otherwise(F.col("text"))
     rows = rows.withColumn("__new", text)
     columns = [F.col("__new").alias("text") if c == "text" else F.col(c) for c in keep]
     return rows.select(*columns, F.size("__found").cast("long").alias("n_entities"))
