@@ -16,9 +16,9 @@ from skylattice.functions.periods import date_period
 from skylattice.operators.health import all_stats, append_health
 from skylattice.plans import jobs
 from skylattice.schemas import TABLES
-from skylattice.session import build
+from skylattice.session import CO_LOCATED, build
 from skylattice.sources.raw import read_raw
-from skylattice.sources.tables import FileStore, JdbcStore, seed_cities
+from skylattice.sources.tables import CatalogStore, FileStore, JdbcStore, seed_cities
 from skylattice.storage import exists
 from skylattice.streaming.observations import land_stream
 
@@ -27,6 +27,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="skylattice", description=__doc__)
     place = parser.add_mutually_exclusive_group(required=True)
     place.add_argument("--root", help="folder of the tables")
+    place.add_argument("--database", help="catalog database of bucketed tables")
     place.add_argument("--jdbc", help="JSON file describing the database")
     parser.add_argument("--on-conflict", default="error", choices=["append", "error", "skip", "replace"])
     parser.add_argument("--tz", default="UTC", help="zone of dates and hours")
@@ -51,6 +52,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
         sub.add_argument("--end-date", type=date.fromisoformat, required=required)
         if not required:
             _raw_arguments(sub)
+    job.add_parser("analyze", help="column statistics of the tables of --database")
     land = job.add_parser("land")
     land.add_argument("--incoming", required=True)
     land.add_argument("--raw", required=True, help="folder of raw observations")
@@ -70,7 +72,9 @@ def _raw_arguments(parser: argparse.ArgumentParser) -> None:
     )
 
 
-def _store(spark: SparkSession, args: argparse.Namespace) -> FileStore | JdbcStore:
+def _store(spark: SparkSession, args: argparse.Namespace) -> FileStore | CatalogStore | JdbcStore:
+    if args.database:
+        return CatalogStore(spark, args.database)
     if args.root:
         return FileStore(spark, args.root)
     with open(args.jdbc) as f:
@@ -88,7 +92,9 @@ def main(argv: list[str] | None = None) -> None:
         raise SystemExit("health reads the stored files: it needs --root")
     if args.job == "daily-backfill":
         date_period(args.start_date, args.end_date)
-    spark = build("skylattice", args.master)
+    if args.job == "analyze" and not args.database:
+        raise SystemExit("analyze is for catalog tables: it needs --database")
+    spark = build("skylattice", args.master, **(CO_LOCATED if args.database else {}))
     store = _store(spark, args)
     mode = {"on_conflict": args.on_conflict, "tz": args.tz}
     raw = _read_raw(spark, args) if "raw" in args and args.job != "land" else None
@@ -112,6 +118,8 @@ def main(argv: list[str] | None = None) -> None:
         if not args.root:
             raise SystemExit("increment keeps its sums in files: it needs --root")
         jobs.increment_job(raw, store, args.lot, args.tz)
+    elif args.job == "analyze":
+        jobs.analyze_job(store)
     elif args.job == "quality":
         jobs.quality_job(raw, store, args.reports, args.as_of)
     elif args.job == "land":

@@ -34,8 +34,8 @@ from skylattice.schemas import DAY_FAMILIES, RAW_LANDED, TABLES, to_table
 from skylattice.sinks.tables import WriteConflict, write_table
 from skylattice.sources import star
 from skylattice.sources.raw import land_raw, read_raw, undeclared
-from skylattice.sources.tables import FileStore, register, seed_cities
-from skylattice.storage import new_dir
+from skylattice.sources.tables import CatalogStore, FileStore, register, seed_cities
+from skylattice.storage import new_dir, staged
 from skylattice.streaming.observations import (
     condition_stream,
     hourly_stream,
@@ -218,6 +218,18 @@ def month_summary_join(spark: SparkSession, sf: str) -> DataFrame:
     return monthly_join(*(day_table(wide, f) for f in ("Temp", "Humidity", "Rain", "Wind")))
 
 
+def month_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The monthly table as its job writes it into a catalog of tables bucketed by city."""
+    path = new_dir(spark, "catalog")
+    store = CatalogStore(spark, "sky_" + path.rsplit("-", 1)[-1], 8, path)
+    with staged(daily_wide(spark, sf)) as wide:
+        for family in ("Temp", "Humidity", "Rain", "Wind"):
+            write_table(store, day_table(wide, family), DAY_FAMILIES[family][0], "error", stored=True)
+    days = [store.read(DAY_FAMILIES[f][0]) for f in ("Temp", "Humidity", "Rain", "Wind")]
+    write_table(store, monthly_join(*days), "AVG_month", "error")
+    return store.read("AVG_month")
+
+
 def _loaded(load: Callable[[DataFrame, FileStore], None], name: str) -> Query:
     """Two loads: the seed entries of finished orders first, then the whole list."""
 
@@ -532,6 +544,7 @@ QUERIES: dict[str, Query] = {
     "city_country": city_country,
     "month_summary": lambda spark, sf: monthly(daily_wide(spark, sf)),
     "month_summary_join": month_summary_join,
+    "month_catalog": month_catalog,
     "month_summary_years": lambda spark, sf: monthly(daily(orders_as_hours(spark, sf))),
     "month_one": lambda spark, sf: monthly(daily(orders_as_hours(spark, sf)), 1999, 12),
     "weekly": lambda spark, sf: weekly(daily_wide(spark, sf)),

@@ -1,7 +1,7 @@
 """The scheduled and ad-hoc jobs: read, one operator, checked write.
 
 Each job takes the raw observations or a store and an explicit ``as_of`` or date range. A store
-is a ``FileStore`` or ``JdbcStore``; ``replace`` needs the former.
+is a ``FileStore``, a ``CatalogStore`` or a ``JdbcStore``; ``replace`` needs one of the first two.
 """
 
 from __future__ import annotations
@@ -26,15 +26,15 @@ from skylattice.operators.filters import in_dates
 from skylattice.operators.gaps import fill_gaps, known_values
 from skylattice.operators.hourly import hourly
 from skylattice.operators import quality
-from skylattice.operators.health import append_health
+from skylattice.operators.health import analyze, append_health
 from skylattice.operators.increments import condition_sums, conditions_of, hour_sums, hours_of
 from skylattice.operators.monthly import monthly, monthly_join, week_dim, weekly
 from skylattice.schemas import DAY_FAMILIES, STATES, TABLES, to_table
 from skylattice.sinks.tables import write_table
-from skylattice.sources.tables import FileStore, JdbcStore
+from skylattice.sources.tables import CatalogStore, FileStore, JdbcStore
 from skylattice.storage import staged
 
-Store = FileStore | JdbcStore
+Store = FileStore | CatalogStore | JdbcStore
 
 
 def hourly_job(
@@ -188,6 +188,13 @@ def quality_job(raw: DataFrame, store: Store, target: str, as_of: datetime) -> N
         append_health(report, as_of, f"{target}/{name}")
 
 
+def analyze_job(store: CatalogStore) -> None:
+    """Column statistics of every table that was written."""
+    for name in TABLES:
+        if store.spark.catalog.tableExists(store.name(name)):
+            analyze(store.spark, store.name(name))
+
+
 def summaries_from_hours(weather_hour: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Monthly and weekly summaries straight from hourly rows, without stored daily tables."""
     wide = daily(weather_hour)

@@ -229,6 +229,7 @@ _SELECT = {
         from seed join nation on country = n_name""",
     "month_summary": _summary("day", "year(Date)", "month(Date)", "Month"),
     "month_summary_join": _summary("day", "year(Date)", "month(Date)", "Month"),
+    "month_catalog": _summary("day", "year(Date)", "month(Date)", "Month"),
     "month_summary_years": _summary("oday", "year(Date)", "month(Date)", "Month"),
     "month_one": f"""select * from ({_summary("oday", "year(Date)", "month(Date)", "Month")})
         where Year = 1999 and Month = 12""",

@@ -17,6 +17,10 @@ BATCH = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+#: Joins on several columns take tables bucketed by one of them as they lie. A key of that one column that
+#: holds much of the data then stays in one task, so it is set where the buckets are even, as cities' days are.
+CO_LOCATED = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
 STREAMING = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

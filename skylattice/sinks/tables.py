@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from skylattice.operators.dims import insert_if_absent
 from skylattice.schemas import Table, declared, to_table
-from skylattice.sources.tables import FileStore, JdbcStore
+from skylattice.sources.tables import CatalogStore, FileStore, JdbcStore
 from skylattice.storage import staged
 
 MODES = ("append", "error", "skip", "replace")
@@ -29,7 +29,7 @@ class WriteConflict(ValueError):
 
 
 def write_table(
-    store: FileStore | JdbcStore,
+    store: FileStore | CatalogStore | JdbcStore,
     df: DataFrame,
     name: str,
     on_conflict: str = "error",
@@ -51,8 +51,8 @@ def write_table(
     if on_conflict == "append":
         store.append(rows, table)
         return
-    if on_conflict == "replace" and not (isinstance(store, FileStore) and table.partition_by and within is not None):
-        raise ValueError("replace needs a partitioned file table and the predicate within")
+    if on_conflict == "replace" and not (isinstance(store, FileStore | CatalogStore) and table.partition_by and within is not None):
+        raise ValueError("replace needs a partitioned file or catalog table and the predicate within")
     with nullcontext(rows) if stored else staged(rows) as fresh:
         _check(fresh, table, within, once=order is None or on_conflict != "skip")
         if on_conflict == "replace":

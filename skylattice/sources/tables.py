@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from skylattice.operators.health import analyze
 from skylattice.schemas import SEED, TABLES, Table, declared, to_table
 from skylattice.sources.raw import STREAM_LOG
 from skylattice.storage import delete, exists
@@ -133,6 +135,79 @@ class FileStore:
         return spread.write.partitionBy(*table.partition_by)
 
 
+@dataclass
+class CatalogStore:
+    """Tables of a catalog database, facts partitioned by period and bucketed by city.
+
+    Tables of one bucketing join on the city without a shuffle; where the join has further keys, the
+    session needs ``session.CO_LOCATED``. Each write is followed by column statistics, for which Spark reads the
+    table once; with ``analysed=False`` they are left to ``analyze_job``. ``location`` is the shared folder
+    of a database that does not exist yet; by default it lies in the warehouse.
+    """
+
+    spark: SparkSession
+    database: str
+    buckets: int = 64
+    location: str | None = None
+    analysed: bool = True
+
+    def __post_init__(self) -> None:
+        if not re.fullmatch(r"\w+", self.database):
+            raise ValueError(f"a database is named by letters, digits and '_', not {self.database!r}")
+        where = f" LOCATION '{self.location}'" if self.location else ""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}{where}")
+
+    def name(self, name: str) -> str:
+        return f"{self.database}.{declared(name).name}"
+
+    def read(self, name: str) -> DataFrame:
+        """The table; one that was never written is an error."""
+        if not self.spark.catalog.tableExists(self.name(name)):
+            raise MissingTable(self.name(name))
+        return to_table(self.spark.table(self.name(name)), declared(name))
+
+    def held(self, name: str) -> DataFrame:
+        """What a table to be written holds: nothing yet, or its rows."""
+        if not self.spark.catalog.tableExists(self.name(name)):
+            return self.spark.createDataFrame([], declared(name).ddl)
+        return self.read(name)
+
+    def append(self, rows: DataFrame, table: Table) -> None:
+        writer = self._spread(rows, table).write.format("parquet").mode("append")
+        if table.partition_by:
+            writer = writer.partitionBy(*table.partition_by)
+        if "IdCity" in table.columns:
+            writer = writer.bucketBy(self.buckets, "IdCity").sortBy("IdCity")
+        writer.saveAsTable(self.name(table.name))
+        self._settle(table)
+
+    def replace(self, rows: DataFrame, table: Table, within: Column) -> None:
+        """Overwrite the partitions that ``within`` selects, then drop those left without rows.
+
+        A job lost in between leaves both; running it again gives the same table.
+        """
+        name, parts = self.name(table.name), list(table.partition_by)
+        if not self.spark.catalog.tableExists(name):
+            self.append(rows, table)
+            return
+        held = self.read(table.name).filter(within).select(*parts).distinct()
+        stale = held.join(rows.select(*parts).distinct(), parts, "left_anti").collect()
+        spread = self._spread(rows, table).select(*self.spark.table(name).columns)
+        spread.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+        for row in stale:
+            spec = ", ".join(f"`{c}` = '{row[c]}'" for c in parts)
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({spec})")
+        self._settle(table)
+
+    def _spread(self, rows: DataFrame, table: Table) -> DataFrame:
+        """One task a bucket, so a write leaves one file for each bucket and partition."""
+        return rows.repartition(self.buckets, "IdCity") if "IdCity" in table.columns else rows
+
+    def _settle(self, table: Table) -> None:
+        if self.analysed:
+            analyze(self.spark, self.name(table.name))
+
+
 @dataclass
 class JdbcStore:
     """Tables of a relational database through Spark's JDBC source.
