@@ -83,6 +83,7 @@ def into_table(
     def apply(batch: DataFrame, number: int) -> None:
         done = f"{checkpoint}/applied"
         if exists(batch.sparkSession, f"{done}/{number}"):
+            batch.write.format("noop").mode("overwrite").save()  # the state of the batch is still to be committed
             return
         with staged(batch) as fresh:
             within = _periods(fresh, table)
@@ -143,13 +144,22 @@ def _timed(raw: DataFrame, delay: str) -> DataFrame:
     )
 
 
+def _to_city(closed: DataFrame, city: DataFrame) -> DataFrame:
+    """The cities of closed windows, always by a merge.
+
+    The batch that closes windows may have no new rows: Spark then takes them for nothing and would gather all
+    that the state emits in the driver to broadcast it. A stream's plan is not corrected by measured sizes either.
+    """
+    return to_city(closed.hint("merge"), city)
+
+
 def hourly_stream(raw: DataFrame, city: DataFrame, delay: str = "15 minutes") -> DataFrame:
     """``weather_hour`` rows of closed hours (UTC)."""
     timed = _timed(raw, delay).withColumn("w", F.window("event_time", "1 hour"))
     closed = cell_averages(timed, [*CELL, "w"])
     begun = F.unix_seconds("w.start")
     rows = closed.withColumns({"Date": obs_date(begun), "Hour": obs_hour(begun)})
-    return to_table(to_city(rows, city), TABLES["weather_hour"])
+    return to_table(_to_city(rows, city), TABLES["weather_hour"])
 
 
 def condition_stream(raw: DataFrame, city: DataFrame, delay: str = "15 minutes") -> DataFrame:
@@ -170,4 +180,4 @@ def condition_stream(raw: DataFrame, city: DataFrame, delay: str = "15 minutes")
         obs_date(F.unix_seconds("w.start")).alias("Date"),
         *(F.col(f"best.{c}") for c in CONDITION),
     )
-    return to_table(to_city(rows, city), TABLES["weather_condition_day"])
+    return to_table(_to_city(rows, city), TABLES["weather_condition_day"])

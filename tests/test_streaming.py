@@ -141,3 +141,16 @@ def test_no_write_goes_into_a_file_stream_s_folder(spark, tmp_path, city, hours)
 def test_binary_texts_are_parsed(spark):
     texts = spark.createDataFrame([(bytearray(json.dumps(doc(5)), "utf-8"),)], "value binary")
     assert [r.dt for r in parse_documents(texts).collect()] == [5]
+
+
+@pytest.mark.parametrize("build", [hourly_stream, condition_stream])
+def test_closed_windows_are_never_broadcast(spark, tmp_path, city, build):
+    """The last batch has no rows of its own, so its size says nothing about what the state emits."""
+    docs = [doc(f"2024-01-0{d}T10:10:00") for d in (1, 2, 3, 4)]
+    feed(tmp_path, "1.json", *docs)
+    stream = build(read_raw_stream(spark, str(tmp_path / "in")), city, "15 minutes")
+    query = run_available(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
