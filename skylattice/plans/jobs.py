@@ -63,16 +63,18 @@ def hourly_backfill(
     write_table(store, rows, "weather_hour", on_conflict, _within(span))
 
 
-def increment_job(raw: DataFrame, store: FileStore, lot: str, tz: str = "UTC") -> None:
+def increment_job(raw: DataFrame, store: FileStore, lot: str, tz: str = "UTC", city: DataFrame | None = None) -> None:
     """Add the observations of a lot to the kept sums, and renew the hours and conditions they touch.
 
+    Rows are kept for the cities of the store or for those of ``city``, such as one of each place.
+
     ``raw`` holds the lot alone. Its sums replace those of an earlier run under the same name, so a run
     that was lost or is repeated counts nothing twice. Read are the lot and the sums of the dates in it;
     these dates are written anew in ``weather_hour`` and ``weather_condition_day``.
     """
     if not re.fullmatch(r"[\w.-]+", lot):
         raise ValueError(f"a lot is named by letters, digits, '_', '.' and '-', not {lot!r}")
-    city = store.read("city")
+    city = store.read("city") if city is None else city
     for state, sums, result, rows in (
         ("cell_hour", hour_sums, "weather_hour", hours_of),
         ("cell_condition", condition_sums, "weather_condition_day", conditions_of),
@@ -106,9 +108,11 @@ def _daily(store: Store, span: Period, on_conflict: str) -> None:
             write_table(store, day_table(wide, family), name, on_conflict, _within(span), stored=True)
 
 
-def fill_job(store: FileStore, first: date, last: date, tz: str = "UTC") -> None:
+def fill_job(store: FileStore, first: date, last: date, tz: str = "UTC", city: DataFrame | None = None) -> None:
     """``hour_filled`` for ``first`` to ``last``, and the values known at its end.
 
+    The roster is that of the store or ``city``, such as one city of each place.
+
     Values from before come from the job's run up to ``first``, if there was one; then only the period is
     read. Otherwise all earlier hours are.
     """
@@ -116,7 +120,8 @@ def fill_job(store: FileStore, first: date, last: date, tz: str = "UTC") -> None
     start, end = span.dates
     held = store.held("last_known").filter(F.col("AsOf") == F.lit(start))
     known = held if held.take(1) else None
-    rows = fill_gaps(store.read("weather_hour"), store.read("city"), span.start, span.end, known)
+    roster = store.read("city") if city is None else city
+    rows = fill_gaps(store.read("weather_hour"), roster, span.start, span.end, known)
     write_table(store, rows, "hour_filled", "replace", in_dates("Date", start, end))
     filled = store.read("hour_filled").filter(in_dates("Date", start, end))
     write_table(store, known_values(filled, span.end), "last_known", "replace", F.col("AsOf") == F.lit(end))
