@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skylattice.functions.time import hour_start
+from skylattice.operators.places import at_cities
 from skylattice.schemas import HOUR_MEASURES, TABLES, to_table
 
 
@@ -53,47 +54,68 @@ def alerts(weather_hour: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return to_table(fired, TABLES["WeatherAlerts"])
 
 
-def alerts_by_rules(weather_hour: DataFrame, rules: DataFrame) -> DataFrame:
+def alerts_by_rules(weather_hour: DataFrame, rules: DataFrame, of_place: DataFrame | None = None) -> DataFrame:
     """``WeatherAlerts`` rows by an ``AlertRules`` table: at most one per city and hour.
 
     A rule holds for one city or, without ``IdCity``, for all; from ``ValidFrom`` to ``ValidTo``, each open if
     null. Of the rules that fire, the one of the smallest ``Seq`` names the alert and ``Details`` lists all in
     that order. A rule of an unknown measure never fires.
 
-    The rules of a city meet its hours by ``IdCity`` as one list; those of all cities meet the readings by
-    measure, at most one row for each measure, which is broadcast. Only readings that fire are grouped.
+    The rules of all cities are one list, tried once an hour. Those of a city meet its hours by ``IdCity``, also as
+    one list. With ``of_place`` (``places.members``) the hours are those of places, and alerts go to every city: the
+    rules of all cities are then tried once a place, and a city's row adds its own.
     """
-    rule = F.struct("Seq", "AlertType", "Above", "Limit", "ValidFrom", "ValidTo", "Measure")
-    of_all, of_city = rules.filter(F.col("IdCity").isNull()), rules.filter(F.col("IdCity").isNotNull())
-    shared = of_all.filter(F.col("Measure").isin(HOUR_MEASURES)).groupBy("Measure").agg(F.collect_list(rule).alias("_shared"))
-    own = of_city.groupBy("IdCity").agg(F.collect_list(rule).alias("_own"))
-    readings = weather_hour.join(own, "IdCity", "left").select(
-        "IdCity",
-        "Date",
-        "Hour",
-        "_own",
-        F.inline(F.array(*(F.struct(F.lit(m).alias("Measure"), F.col(m).alias("_x")) for m in HOUR_MEASURES))),
+    known = rules.filter(F.col("Measure").isin(HOUR_MEASURES)).withColumns(
+        {
+            "at": F.array_position(F.array(*map(F.lit, HOUR_MEASURES)), F.col("Measure")).cast("int") - 1,
+            "says": F.format_string(" %s %.2f", F.when(F.col("Above"), ">").otherwise("<"), F.col("Limit")),
+        }
     )
+    rule = F.collect_list(F.struct("Seq", "AlertType", "Above", "Limit", "ValidFrom", "ValidTo", "at", "says"))
+    shared = known.filter(F.col("IdCity").isNull()).agg(rule.alias("_shared"))
+    own = known.filter(F.col("IdCity").isNotNull()).groupBy("IdCity").agg(rule.alias("_own"))
 
-    def fires(r: Column) -> Column:
+    def fires(r: Column, seen: Column) -> Column:
+        x = F.get(seen, r["at"])["x"]
         valid = F.coalesce(F.col("Date") >= r["ValidFrom"], F.lit(True)) & F.coalesce(F.col("Date") <= r["ValidTo"], F.lit(True))
-        beyond = F.when(r["Above"], F.col("_x") > r["Limit"]).otherwise(F.col("_x") < r["Limit"])
-        return (r["Measure"] == F.col("Measure")) & valid & F.coalesce(beyond, F.lit(False))
-
-    def told(r: Column) -> Column:
-        sign = F.when(r["Above"], ">").otherwise("<")
-        text = F.format_string("%s %.2f %s %.2f", r["Measure"], F.col("_x"), sign, r["Limit"])
-        return F.struct(r["Seq"].alias("Seq"), r["AlertType"].alias("AlertType"), text.alias("Detail"))
-
-    lists = [F.coalesce(c, F.array().cast(shared.schema["_shared"].dataType)) for c in ("_own", "_shared")]
-    met = readings.join(F.broadcast(shared), "Measure", "left")
-    fired = met.withColumn("_fired", F.filter(F.concat(*lists), fires)).filter(F.size("_fired") > 0)
-    fired = fired.select("IdCity", "Date", "Hour", F.transform("_fired", told).alias("_fired"))
-    by_hour = fired.groupBy("IdCity", "Date", "Hour").agg(F.array_sort(F.flatten(F.collect_list("_fired"))).alias("_all"))
-    rows = by_hour.select(
+        return valid & F.coalesce(F.when(r["Above"], x > r["Limit"]).otherwise(x < r["Limit"]), F.lit(False))
+
+    def told(r: Column, seen: Column) -> Column:
+        return F.struct(r["Seq"].alias("Seq"), r["AlertType"].alias("AlertType"), F.concat(F.get(seen, r["at"])["text"], r["says"]).alias("Detail"))
+
+    def fired(of: str) -> Column:
+        """The rules of a list that fire in any row of the hour, in order."""
+        each = F.transform("_rows", lambda seen: F.transform(F.filter(of, lambda r: fires(r, seen)), lambda r: told(r, seen)))
+        return F.array_sort(F.flatten(each))
+
+    def listed(told: Column) -> Column:
+        return F.array_join(F.transform(told, lambda x: x["Detail"]), "; ")
+
+    # An hour that stands twice counts twice, as its alerts are one row all the same.
+    readings = F.array(*(F.struct(F.col(m).alias("x"), F.format_string(f"{m} %.2f", F.col(m)).alias("text")) for m in HOUR_MEASURES))
+    by_hour = weather_hour.groupBy("IdCity", "Date", "Hour").agg(F.collect_list(readings).alias("_rows"))
+    tried = by_hour.withColumn("_shared", shared.scalar()).withColumn("_all", fired("_shared")).drop("_shared")
+    tried = tried.withColumn("_text", listed(F.col("_all")))
+    if of_place is None:
+        met = tried.join(own, "IdCity", "left")
+    else:
+        met = at_cities(tried, of_place.join(own, "IdCity", "left"))
+    none = F.array().cast("array<struct<Seq: bigint, AlertType: string, Detail: string>>")
+    met = met.withColumn("_more", F.coalesce(fired("_own"), none)).filter((F.size("_all") > 0) | (F.size("_more") > 0))
+    both, more = F.array_sort(F.concat("_all", "_more")), listed(F.col("_more"))
+    # Mostly one list comes after the other and need not be sorted into it.
+    before = F.element_at("_more", -1) <= F.get("_all", 0)
+    after = F.element_at("_all", -1) <= F.get("_more", 0)
+
+    def by_case(only_shared: Column, only_own: Column, own_first: Column, own_last: Column, mixed: Column) -> Column:
+        one = F.when(F.size("_more") == 0, only_shared).when(F.size("_all") == 0, only_own)
+        return one.when(before, own_first).when(after, own_last).otherwise(mixed)
+
+    kind, own_kind = F.get("_all", 0)["AlertType"], F.get("_more", 0)["AlertType"]
+    rows = met.select(
         "IdCity",
         hour_start(F.col("Date"), F.col("Hour")).alias("Timestamp"),
-        F.col("_all")[0]["AlertType"].alias("AlertType"),
-        F.array_join(F.transform("_all", lambda x: x["Detail"]), "; ").alias("Details"),
+        by_case(kind, own_kind, own_kind, kind, F.get(both, 0)["AlertType"]).alias("AlertType"),
+        by_case(F.col("_text"), more, F.concat_ws("; ", more, "_text"), F.concat_ws("; ", "_text", more), listed(both)).alias("Details"),
     )
     return to_table(rows, TABLES["WeatherAlerts"])
