@@ -95,18 +95,20 @@ def into_table(
     return _each_batch(to_table(df, table), checkpoint, apply)
 
 
-def into_hours(raw: DataFrame, store: FileStore, checkpoint: str, lots: str, tz: str = "UTC") -> StreamingQuery:
+def into_hours(
+    raw: DataFrame, store: FileStore, checkpoint: str, lots: str, tz: str = "UTC", city: DataFrame | None = None
+) -> StreamingQuery:
     """Keep ``weather_hour`` and ``weather_condition_day`` up to date with a stream of observations.
 
     Every batch is a lot of ``jobs.increment_job``, named ``lots`` and its number: the hour that is still
     running has its averages so far, and observations count however late they come. A replayed batch
-    replaces its own sums.
+    replaces its own sums. Rows are kept for the cities of the store or for those of ``city``.
     """
     from skylattice.plans.jobs import increment_job
 
     def apply(batch: DataFrame, number: int) -> None:
         with staged(batch) as lot:
-            increment_job(lot, store, f"{lots}-{number}", tz)
+            increment_job(lot, store, f"{lots}-{number}", tz, city)
 
     return _each_batch(raw, checkpoint, apply)
 
