@@ -1,7 +1,9 @@
 import numpy as np
 import pytest
 
-from skylattice.llm.common import components, small, stage
+from skylattice.llm import common
+from skylattice.llm.common import components, pieces, small, stage, stage_all, unstage
+from skylattice.storage import exists
 
 
 def expected(edges):
@@ -47,3 +49,19 @@ def test_small_hints_only_within_its_bound(spark):
 
 def test_staged_rows_are_read_back(spark):
     assert sorted(r.id for r in stage(spark.range(5), "x").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_pieces_hold_every_row_once_and_keys_together(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST", 10)
+    parts = [[(r.k, r.id) for r in p.collect()] for p in pieces(spark.range(95).selectExpr("id", "id % 20 as k"), "k")]
+    assert len(parts) == 10 and sorted(sum(parts, [])) == sorted((i % 20, i) for i in range(95))
+    assert sum(len({k for k, _ in p}) for p in parts) == 20
+    assert len(list(pieces(spark.range(3), "id", least=4))) == 4
+    assert [p.count() for p in pieces(spark.range(0), "id")] == [0]
+
+
+def test_parts_are_staged_as_one_table_and_deleted(spark):
+    whole = stage_all((spark.range(k, k + 2) for k in (0, 5, 7)), "x")
+    assert sorted(r.id for r in whole.collect()) == [0, 1, 5, 6, 7, 8]
+    unstage(whole)
+    assert not exists(spark, whole._staged_at)
